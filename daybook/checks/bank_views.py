@@ -39,7 +39,7 @@ _CUSTOMER = """
   case when c_nationkey < 5 then concat(' ', cast(c_custkey as string)) else cast(c_custkey as string) end as recid,
   '{v}' as curr_no,
   case when c_nationkey < 12 then 'Sr' when c_nationkey < 15 then ' ' end as title,
-  {{arr}}(concat(c_name, ' v{v} {v}')) as name_1,
+  {{arr}}(case when c_nationkey < 6 then concat(c_name, ' da Cruz da Cruz') else concat(c_name, ' v{v}') end) as name_1,
   case when c_acctbal > 1000 then {{arr}}(concat(c_mktsegment, ' ')) end as name_2,
   {{arr}}(concat('S', cast(c_custkey as string))) as short_name,
   case when c_acctbal > 500 then {{arr}}(concat('L', cast(c_custkey as string)), 'ALT') when c_acctbal > 0 then {{arr}}('', 'ALT') end as legal_id,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
 
-from daybook.checks import bank_views, silver_sql
+from daybook.checks import bank_views, report_sql, silver_sql
 from daybook.context import Context
 from daybook.plans import MARTS
 
@@ -24,13 +24,16 @@ def flat(df: DataFrame) -> DataFrame:
                        if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in df.schema.fields])
 
 
+PINS = {"batch": 7}
+
+
 def _mart(name: str) -> Query:
-    return lambda spark, sf_dir: flat(MARTS[name](bank(spark, sf_dir)))
+    return lambda spark, sf_dir: flat(MARTS[name](bank(spark, sf_dir, pins=PINS)))
 
 
 def queries() -> dict[str, Query]:
-    return {name: _mart(name) for name in silver_sql.SILVER}
+    return {name: _mart(name) for name in MARTS}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}
+    return {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS}

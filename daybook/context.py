@@ -35,6 +35,11 @@ class Context:
     def day(self):
         return F.lit(self.business_date).cast("date")
 
+    @property
+    def load_day(self) -> str:
+        """Date a report is loaded for: the target date, else the business date."""
+        return self.target_date or self.business_date
+
     def dim(self, name: str) -> DataFrame:
         """Current-state table at its pinned version."""
         return self.read(name, self.pins.get(name))

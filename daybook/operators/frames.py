@@ -39,9 +39,9 @@ def earliest(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], col
     return best.select(*key_names, "_b._v.*")
 
 
-def constants(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small table written out in code, safe to broadcast."""
-    return F.broadcast(spark.createDataFrame([tuple(r) for r in rows], schema))
+def constants(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """Small table written out in code; it stays in the JVM and is safe to broadcast."""
+    return F.broadcast(with_rows(spark.range(1), rows, names).select(*names))
 
 
 def with_rows(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
@@ -166,10 +166,10 @@ def with_totals(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, str], m
 
 
 def listing(df: DataFrame, keys: Sequence[str], order: str, sums: Mapping[str, str], account: str = "account_no",
-            carry: Sequence[str] = ()) -> DataFrame:
+            also: Sequence[str] = ()) -> DataFrame:
     """DATA rows numbered inside their group plus one TOTAL row per group."""
     rows = numbered(df.withColumn("row_type", F.lit("DATA")), keys, [order], "row_no")
-    return with_totals(rows, keys, sums, {account: "TOTAL", "row_type": "TOTAL"}, carry)
+    return with_totals(rows, keys, sums, {account: "TOTAL", "row_type": "TOTAL"}, also)
 
 
 def pivot_sums(value: Column, by: Column, names: Mapping[str, object], dtype: str, zero: bool = True) -> list[Column]:
