@@ -196,6 +196,105 @@ VIEWS: dict[str, str] = {
     "batch": "select case when r_regionkey = 0 then 'BNK/DW.EXTRACT.EOD' else r_name end as recid, date '1998-06-01' as last_run_date, 'DONE' as job_status from region",
 }
 
+# ---- ledger and report layouts -------------------------------------------------------------
+
+def _code(key: str) -> str:
+    """Ledger line of a part: mostly 1000 + n, some lines that the reports treat specially."""
+    special = ("2850", "2830", "3865", "7240", "7045", "5321", "5320", "1890")
+    whens = " ".join(f"when {i} then '{c}'" for i, c in enumerate(special))
+    return f"case {key} % 120 {whens} else cast(1000 + {key} % 120 as string) end"
+
+
+def _names(key: str, names: tuple[str, ...], other: str) -> str:
+    whens = " ".join(f"when {i} then '{n}'" for i, n in enumerate(names))
+    return f"case {key} {whens} else {other} end" if names else other
+
+
+_BRANCH_NO = "l_suppkey % 13"
+_BRANCH = ("case " + _BRANCH_NO + " when 0 then 'RE000010_Head Office' when 1 then 'RE000010_01_ATAURO' when 2 then 'RE000010_02_UPGRADE' "
+           f"else concat('RE000010_', lpad(cast({_BRANCH_NO} as string), 2, '0'), '_CITY', cast({_BRANCH_NO} as string)) end")
+
+
+def _ledger(kind: str, flag: str) -> str:
+    detail = ("concat('PL.', cast(5000 + l_linenumber as string), '.', cast(3001 + l_partkey % 9 as string), '.a.b.c.d.e.', l_returnflag, '.x')"
+              if kind == "PL" else "concat('AC.1.TR.USD.', cast(3001 + l_partkey % 9 as string), '.f.g.h.i.', l_returnflag, '.x')")
+    return f"""select case when l_linenumber in (2, 5) then {_code('l_partkey')} else '' end as line_code,
+      case when l_linenumber in (2, 5) then 'header' when l_returnflag = 'A' and l_linenumber = 1 then 'note' else {detail} end as description,
+      cast(0 as double) as opening_balance, l_tax as debit_movements, l_discount as credit_movements,
+      case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as closing_balance,
+      concat('{kind}_', cast({_BRANCH_NO} as string), '.txt') as source_file, {_BRANCH} as branch, 'CRF_{kind}' as file_type,
+      cast(row_number() over (partition by {_BRANCH_NO} order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) as int) as line_seq,
+      {D} as business_date from lineitem where l_linestatus = '{flag}'"""
+
+
+_ASSET_GROUPS = ("LIQUID_FUNDS", "CALL_DEPOSITS", "OTHERS_DOMESTIC", "FOREIGN_CURRENCY", "INVESTMENT", "CURRENT_LOAN", "PAST_DUE", "PROVISION",
+                 "ACC_RECEIVABLE", "FIXED_ASSETS", "RESERVE_DEPR", "OTHER_ASSETS", "OFFICE_ACCOUNTS", "ASSET_HELD_DEBT")
+_LIAB_GROUPS = ("DEMAND_DEPOSIT", "TIME_DEPOSIT", "PASSBOOK_SAVING", "SUNDRY_OTHERS", "INTEREST_ACCRUED", "RESTRICTED_DEPOSIT", "UNEARNED_BASE",
+                "LOAN_FEE_ADV", "DUE_TO_BRANCH", "PROVISIONING", "CAPITAL_BASE")
+
+
+def _group_seed(groups: tuple[str, ...], last: str) -> str:
+    return (f"select distinct {_code('p_partkey')} as account_code, concat('name ', cast(p_partkey % 120 as string)) as account_name, "
+            f"{_names(f'p_partkey % 120 % {len(groups) + 1}', groups, repr(last))} as parent_group from part")
+
+
+def _layout_seed(rows: int, root: str, codes: tuple[str, ...], summary: int, text: tuple[str, ...]) -> str:
+    n = f"p_partkey % {rows}"
+    return f"""select distinct cast({n} + 1 as int) as order_id,
+      {_names(n, codes, f"case when {n} % 17 = 16 then null when {n} % 5 = 0 then concat('{root}.', cast({n} as string)) else concat('{root}.', cast({n} % 9 as string), '.', cast({n} as string)) end")} as code,
+      {_names(n, text, f"concat('row ', cast({n} as string))")} as description,
+      case when {n} % 3 = 0 then null else {_code(n)} end as line, case when {n} % 3 = 0 then cast({n} % {summary} + 1 as int) end as stt_noline from part"""
+
+
+def _leaf_map(parts: tuple[tuple[str, str, int, int], ...]) -> str:
+    return " union all ".join(
+        f"select '{tag}' as src_tag, code, description, cast(order_id % {span} + {start} as int) as order_id from ({VIEWS[layout]}) x{i} where line is not null"
+        for i, (tag, layout, span, start) in enumerate(parts))
+
+
+def _statement_layout(rows: int, start: int) -> str:
+    n = f"p_partkey % {rows}"
+    return f"""select distinct cast({n} + {start} as int) as order_id, cast({n} % 5 as int) as section, case when {n} % 7 = 0 then null else concat('c', cast({n} as string)) end as code,
+      concat('text ', cast({n} as string)) as description, case when {n} % 4 = 0 then 'subtotal' else 'leaf' end as row_type from part"""
+
+
+_ASSET_TEXT = ("Cash in Vault", "Cash in ATM Vault", "Due from Central Bank", "Items in course of collect.", "CURRENT LOAN", "PAST DUE LOANS",
+               "PROV. FOR L. LOSSES", "Foreign Currency", "Call Deposits", "INVESTMENT", "Vehicles", "RESERVE FOR DEPREC.", "PerformingLoans", "OTHERS")
+_LIAB_TEXT = ("Demand Deposit", "Time Deposits", "2.4.1.2.4", "Interest Accrued", "Salary Payable", "RESTRICTED DEPOSIT", "Unearned Interest",
+              "Other Liabilit/Due To Branch", "Other liabilit/Due To Branch", "Overages ATM", "Provisioning", "Current Financial Year")
+
+
+def _history(texts: tuple[str, ...], codes: str) -> str:
+    n = "l_partkey % 40"
+    return f"""select cast(l_shipdate as date) as load_date, {_BRANCH} as branch_name, cast({n} + 1 as int) as order_id, {codes.format(n=n)} as code,
+      {_names(n, texts, f"concat('row ', cast({n} as string))")} as description, {SIGNED} as amount, cast(l_linenumber as bigint) as total_accounts from lineitem"""
+
+
+VIEWS |= {
+    "ledger_gl": _ledger("GL", "O"),
+    "ledger_pl": _ledger("PL", "F"),
+    "deposit_report": f"""select {_names('l_suppkey % 15', ('BNK', 'DIL', 'GLN', 'MAL', 'ALU', 'OCS', 'BCU', 'SAM', 'ANR', 'SUA', 'VQQ', 'LSP', 'LQC', 'MTT'), "'XXX'")} as branch_name,
+      {_code('l_partkey')} as gl_line, case l_returnflag when 'A' then 'demand' when 'N' then 'time' else 'loan' end as deposit_type,
+      cast(l_orderkey as string) as account_number, {D} as business_date from lineitem""",
+    "map_total_assets": _group_seed(_ASSET_GROUPS, "MISC_ASSETS"),
+    "map_total_liabilities": _group_seed(_LIAB_GROUPS, "PNL"),
+    "map_total_income": _group_seed(("INTEREST_INCOME", "INTEREST_LOAN"), "NON_INTEREST_INCOME") + " where p_size > 10",
+    "map_total_expense": _group_seed(("INTEREST_INDIVIDUAL", "INTEREST_LEGAL"), "OPERATING") + " where p_size > 10",
+    "map_detail_assets": _layout_seed(130, "1", ("1.0",), 19, ()),
+    "map_detail_liabilities": _layout_seed(83, "2", ("2.0", "3.0", "3.06", "3.06.1", "3.06.2", "3-07", "3.02", "2-08"), 13, ()),
+    "map_detail_income": _layout_seed(67, "4", ("4.0",), 5, ()),
+    "map_detail_expense": _layout_seed(72, "5", ("5.0", "5.03.7.6"), 5, ("EXPENSE", "Depr. Non Physical Assets")),
+    "position_layout": _statement_layout(152, 8),
+    "earnings_layout": _statement_layout(136, 7),
+    "income_layout": _statement_layout(136, 6),
+    "assets_history": _history(_ASSET_TEXT, "case {n} when 13 then '1.01.4.1.2' when 14 then 'I23' when 15 then '1.01.4.3' when 16 then null else concat('1.', cast({n} as string)) end"),
+    "liabilities_history": _history(_LIAB_TEXT, "case {n} when 20 then '2.06.2' when 21 then '3.02' when 22 then 'I201' when 23 then '2.06.8' else concat('2.', cast({n} as string)) end"),
+}
+VIEWS |= {
+    "position_leaf_map": _leaf_map((("AST", "map_detail_assets", 84, 10), ("LIB", "map_detail_liabilities", 49, 108))),
+    "earnings_leaf_map": _leaf_map((("INC", "map_detail_income", 53, 9), ("EXP", "map_detail_expense", 73, 66))),
+}
+
 _ALIASES = {"customer": "customer_rec"}
 
 

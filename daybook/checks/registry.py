@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
 
-from daybook.checks import bank_views, report_sql, silver_sql
+from daybook.checks import accounting_sql, bank_views, report_sql, silver_sql
 from daybook.context import Context
 from daybook.plans import MARTS
 
@@ -27,8 +27,18 @@ def flat(df: DataFrame) -> DataFrame:
 PINS = {"batch": 7}
 
 
+HISTORY = {"assets_report": "assets_history", "liabilities_report": "liabilities_history"}
+OVER_HISTORY = ("assets_compared", "liabilities_compared", "balance_sheet_assets", "balance_sheet_liabilities", "liquidity")
+
+
 def _mart(name: str) -> Query:
-    return lambda spark, sf_dir: flat(MARTS[name](bank(spark, sf_dir, pins=PINS)))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ctx = bank(spark, sf_dir, pins=PINS)
+        if name in OVER_HISTORY:  # compare months of a stored report, not the single day of the ledger
+            ctx.marts.update({mart: ctx.dim(view) for mart, view in HISTORY.items()})
+        return flat(MARTS[name](ctx))
+
+    return run
 
 
 def queries() -> dict[str, Query]:
@@ -36,4 +46,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS}
+    return {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS,
+            **accounting_sql.ACCOUNTING}

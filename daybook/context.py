@@ -8,6 +8,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.columns import as_date
+from daybook.operators.staging import materialise
+
+# Marts that several steps of one chain read: they are computed once per run.
+SHARED = frozenset((
+    "trial_balance_detail", "loan_risk", "large_daily_txn", "loan_counts", "deposit_counts", "assets_report",
+    "liabilities_report", "expense_report", "position_leaves", "earnings_leaves", "assets_compared", "liabilities_compared"))
 
 
 @dataclass
@@ -15,7 +21,7 @@ class Context:
     """Access to sealed inputs.
 
     ``read(name, version)`` returns a table, at a pinned version when one is given. ``marts`` holds
-    marts that are already stored; a mart that is not there is built on the fly.
+    marts that are already stored; a mart that is not there is built when a report asks for it.
     """
 
     spark: SparkSession
@@ -56,5 +62,6 @@ class Context:
         if name not in self.marts:
             from daybook.plans import MARTS
 
-            self.marts[name] = MARTS[name](self)
+            built = MARTS[name](self)
+            self.marts[name] = materialise(built) if name in SHARED else built
         return self.marts[name]

@@ -7,12 +7,13 @@ size-checked broadcast choice. The only forced broadcasts are tables written out
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from daybook.operators.staging import materialise
+
 HOT_ROWS = 2_000_000
 
 
@@ -54,23 +55,6 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the folder the session names.
-
-    Only a local session may fall back to a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="daybook-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running total per key in ``order``, which must be unique inside a key.
@@ -112,23 +96,24 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
     Keys with more than ``hot_rows`` rows are cut into range slices; a row without a value in its
     own slice takes the nearest one of the slices before (or after) it.
     """
+    # walking backward is a descending order: a frame that looks ahead would be recomputed per row
+    along = F.col(seq).desc() if backward else F.col(seq).asc()
+
     def fill(w, c):
-        return F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)) if backward \
-            else F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+        return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
     if hot_groups(df, keys, hot_rows).isEmpty():
-        return df.withColumn(out, fill(Window.partitionBy(*keys).orderBy(seq), col))
+        return df.withColumn(out, fill(Window.partitionBy(*keys).orderBy(along), col))
     sliced = materialise(df.repartitionByRange(*keys, seq).withColumn("_slice", F.spark_partition_id()))
     named = F.when(F.col(col).isNotNull(), F.struct(F.col(seq), F.col(col).alias("v")))
     edge = sliced.groupBy(*keys, "_slice").agg((F.min(named) if backward else F.max(named))["v"].alias("_e"))
-    w = Window.partitionBy(*keys).orderBy("_slice")
-    near = F.first("_e", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)) if backward \
-        else F.last("_e", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    w = Window.partitionBy(*keys).orderBy(F.col("_slice").desc() if backward else F.col("_slice").asc())
+    near = F.last("_e", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     edges = edge.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_slice").alias("_s"),
                         near.alias("_near"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)],
                   F.col("_slice") == F.col("_s"))
-    local = sliced.withColumn("_local", fill(Window.partitionBy(*keys, "_slice").orderBy(seq), col))
+    local = sliced.withColumn("_local", fill(Window.partitionBy(*keys, "_slice").orderBy(along), col))
     return local.join(edges, same, "left").select(*df.columns, F.coalesce("_local", "_near").alias(out))
 
 
@@ -142,7 +127,7 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFram
     """Row number over the whole frame without one big partition.
 
     A distributed sort gives every row its partition and its place in it; partition sizes (one row
-    per partition) give the offsets. The sorted rows are checkpointed so that both passes see the
+    per partition) give the offsets. The sorted rows are written out so that both passes see the
     same partitions even when an executor is lost.
     """
     placed = materialise(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
