@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
 
-from daybook.checks import accounting_sql, bank_views, report_sql, silver_sql
+from daybook.checks import accounting_sql, bank_views, report_sql, silver_sql, text_views
 from daybook.context import Context
 from daybook.plans import MARTS
+from daybook.sources import textreports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,10 +42,28 @@ def _mart(name: str) -> Query:
     return run
 
 
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return textreports.parse_ledger(text_views.ledger_lines(spark, sf_dir), text_views.BANK)
+
+
+def _deposits(spark: SparkSession, sf_dir: str) -> textreports.Deposits:
+    return textreports.parse_deposits(text_views.deposit_lines(spark, sf_dir))
+
+
+OPERATORS: dict[str, tuple[Query, str | None]] = {
+    "report_parse_ledger": (_ledger, text_views.LEDGER_SQL),
+    "report_file_statistics": (lambda s, d: textreports.ledger_statistics(_ledger(s, d)), text_views.STATISTICS_SQL),
+    "best_file_per_branch": (lambda s, d: textreports.best_files(textreports.ledger_statistics(_ledger(s, d))),
+                             text_views.BEST_SQL),
+    "report_parse_deposits": (lambda s, d: _deposits(s, d).rows, text_views.DEPOSITS_SQL),
+    "report_reconcile": (lambda s, d: _deposits(s, d).checks, text_views.CHECKS_SQL),
+}
+
+
 def queries() -> dict[str, Query]:
-    return {name: _mart(name) for name in MARTS}
+    return {**{name: _mart(name) for name in MARTS}, **{name: run for name, (run, _) in OPERATORS.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
     return {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS,
-            **accounting_sql.ACCOUNTING}
+            **accounting_sql.ACCOUNTING, **{name: sql for name, (_, sql) in OPERATORS.items() if sql}}
