@@ -6,6 +6,7 @@ code generation. Casts are the ``try_`` kind: dirty bank data must give null, no
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -192,9 +193,25 @@ PARSE_FORMATS = (
 )
 
 
+# Text shape of each layout letter run.
+_SHAPES = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}", "d": r"\d{1,2}",
+           "HH": r"\d{2}", "hh": r"\d{2}", "h": r"\d{1,2}", "mm": r"\d{2}", "ss": r"\d{2}", "SSS": r"\d{3}",
+           "S": r"\d", "a": "(AM|PM|am|pm)", "Z": r"[+-]\d{4}"}
+
+
+def _shape(layout: str) -> str:
+    """Regular expression of the texts a layout reads."""
+    tokens = re.findall(r"'([^']*)'|([A-Za-z])(\2*)|(.)", layout)
+    return "^" + "".join(re.escape(quoted) if quoted else _SHAPES[letter + more] if letter else re.escape(other)
+                         for quoted, letter, more, other in tokens) + "$"
+
+
 def robust_date(col: Column | str, formats: Sequence[str] = PARSE_FORMATS, fallback: Column | None = None) -> Column:
-    """First layout that reads the text; two-digit years belong to this century."""
+    """First layout that reads the text; years below 100 belong to this century.
+
+    A layout is only tried on texts of its shape, which keeps lenient parsing out of the result.
+    """
     text = blank_null(col)
-    parsed = F.coalesce(*[F.to_date(F.try_to_timestamp(text, F.lit(f))) for f in formats])
+    parsed = F.coalesce(*[F.when(text.rlike(_shape(f)), F.to_date(F.try_to_timestamp(text, F.lit(f)))) for f in formats])
     fixed = F.when(F.year(parsed) < 100, F.add_months(parsed, 24000)).otherwise(parsed)
     return fixed if fallback is None else F.coalesce(fixed, fallback)

@@ -81,6 +81,11 @@ class Parsed:
     main: DataFrame
     sub_values: DataFrame
     errors: DataFrame
+    shared: DataFrame
+
+    def release(self) -> None:
+        """Drop the kept parse."""
+        self.shared.unpersist()
 
 
 def column_name(name: str) -> str:
@@ -188,18 +193,21 @@ def _dense(f: Field) -> str:
     return f"case when {has_any} then {filled} end"
 
 
-def parse(df: DataFrame, spec: Spec, recid: str = "RECID", xml: str = "XMLRECORD", keep: Sequence[str] = ()) -> Parsed:
+def parse(df: DataFrame, spec: Spec, recid: str = "RECID", xml: str = "XMLRECORD", keep: Sequence[str] = (),
+          persist: bool = False) -> Parsed:
     """Typed frames of one table. ``keep`` columns are carried through.
 
-    All three frames read the same lazy parse: write ``main`` alone when spilled sub-values and
-    errors are not needed, or stage the input when all three are.
+    All three frames read the same lazy parse. With ``persist`` it is kept (in memory, else on disk)
+    so that writing all three reads the XML once; call ``release`` afterwards.
     """
     fields = [*spec.fields, *spec.locals]
     parsed = _cells(df, [f.position for f in fields], recid, xml, keep)
+    if persist:
+        parsed = parsed.persist()
     broken = F.col("_xml").isNull() | F.col("_r._corrupt_record").isNotNull() | F.col("_r").isNull()
     good = parsed.filter(~broken)
     main = good.select("recid", *keep, *[F.expr(_dense(f) if f.multi else _single(f)).alias(n) for n, f in spec.columns(keep)])
-    return Parsed(main, _spilled(good, spec, keep), parsed.filter(broken).select("recid", *keep))
+    return Parsed(main, _spilled(good, spec, keep), parsed.filter(broken).select("recid", *keep), parsed)
 
 
 def _spilled(good: DataFrame, spec: Spec, keep: Sequence[str]) -> DataFrame:
