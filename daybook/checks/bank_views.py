@@ -311,10 +311,16 @@ class _Frames(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self._spark, self._dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._tables[name]
 
     def __missing__(self, name: str) -> DataFrame:
         sql = view_sql(name, "array")
-        used = {t: self._spark.read.parquet(f"{self._dir}/{t}.parquet") for t in TABLES
+        used = {t: self._table(t) for t in TABLES
                 if re.search(rf"\b(from|join|,) {t}\b", sql)}
         for table in used:
             sql = re.sub(rf"\b(from|join|,) {table}\b", rf"\1 {{{table}}}", sql)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.checks.bank_views import ENTRY_ID, D
+from daybook.operators.frames import numbered
+from daybook.operators.staging import materialise
 
 C = F.col
 BANK = "EXBANK"
@@ -18,10 +19,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _numbered(pieces: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Line numbers over the pieces of a file, as a reader of the file would give them."""
-    from daybook.operators.frames import numbered
-
     lines = pieces.select(*pieces.columns, F.posexplode("lines").alias("piece", "line")).drop("lines")
-    return numbered(lines, [key], [*order, "piece"], "line_seq")
+    return materialise(numbered(lines, [key], [*order, "piece"], "line_seq").select(C(key).alias("file"), key, "line_seq", "line"))
 
 
 def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +45,7 @@ def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     closing = F.array(F.lit("   END OF REPORT"), F.lit(" 2750 Not a row     1.00 1.00 1.00 1.00"))
     ends = files.select("source_file", F.lit(0).alias("part"), *nothing, title.alias("lines")).unionByName(
         files.select("source_file", F.lit(2).alias("part"), *nothing, closing.alias("lines")))
-    lines = _numbered(body.unionByName(ends), "source_file", ["part", *_ORDER.split(", ")])
-    return lines.select(C("source_file").alias("file"), "source_file", "line_seq", "line")
+    return _numbered(body.unionByName(ends), "source_file", ["part", *_ORDER.split(", ")])
 
 
 LEDGER_SQL = f"""
@@ -99,8 +97,8 @@ def deposit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     demand = item.filter(C("gl").isin("4310", "4320")).groupBy("source_file").agg(F.sum("amt").alias("s")).select(
         "source_file", F.lit("4360").alias("gl"), F.lit(0).alias("part"), *nothing,
         F.array(F.concat(F.lit("4360 Total Demand      "), F.format_number("s", 2))).alias("lines"))
-    lines = _numbered(rows.unionByName(heads).unionByName(totals).unionByName(demand), "source_file", ["gl", "part", *_ORDER.split(", ")])
-    return lines.select(C("source_file").alias("file"), "source_file", "line_seq", "line")
+    pieces = rows.unionByName(heads).unionByName(totals).unionByName(demand)
+    return _numbered(pieces, "source_file", ["gl", "part", *_ORDER.split(", ")])
 
 
 DEPOSITS_SQL = f"""

@@ -45,26 +45,50 @@ def constants(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str])
     return F.broadcast(with_rows(spark.range(1), rows, names).select(*names))
 
 
+def _literal(value: object) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, str):
+        return "r'" + value + "'" if "'" not in value and "\\" in value else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 def with_rows(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
     """Every row of ``df`` combined with every row of a small fixed table (a report skeleton)."""
-    layout = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows])
-    return df.select("*", F.inline(layout))
+    cells = ", ".join("struct(" + ", ".join(f"{_literal(v)} as `{n}`" for n, v in zip(names, r)) + ")" for r in rows)
+    return df.select("*", F.expr(f"inline(array({cells}))"))
+
 
+def has_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Does some key have more than ``hot_rows`` rows? Reads the key columns only and combines before the shuffle."""
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).isEmpty()
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+
+def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], hot: bool) -> DataFrame:
+    """Aggregates of a key on each of its rows.
+
+    Without hot keys a window shares the partitioning of other windows over the same keys; with them
+    the aggregates are combined before the shuffle and joined back.
+    """
+    if not hot:
+        whole = Window.partitionBy(*keys)
+        return df.withColumns({n: c.over(whole) for n, c in stats.items()})
+    totals = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(*[c.alias(n) for n, c in stats.items()])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
+    return df.join(totals, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Running total per key in ``order``, which must be unique inside a key.
 
     A plain window puts a whole key into one task. When some key has more than ``hot_rows`` rows,
     rows are range-partitioned on (key, order) instead, so a hot key spans many tasks; each slice
-    is summed on its own and receives the total of the slices before it.
+    is summed on its own and receives the total of the slices before it. Pass ``hot`` when it is
+    known (see ``has_hot``).
     """
     whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if hot_groups(df, keys, hot_rows).isEmpty():
+    if not (has_hot(df, keys, hot_rows) if hot is None else hot):
         return df.withColumn(out, F.sum(value).over(whole))
     sliced = materialise(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_t"))
@@ -81,16 +105,16 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return local.join(carried, same, "left").select(*df.columns, total.cast(kind).alias(out))
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot: bool | None = None,
              hot_rows: int = HOT_ROWS) -> DataFrame:
     """Row number per key; groups too big for one task are numbered in chunks."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return (running_sum(one, keys, order, "_one", out, hot_rows)
+    return (running_sum(one, keys, order, "_one", out, hot, hot_rows)
             .withColumn(out, F.col(out).cast("int")).drop("_one"))
 
 
 def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, backward: bool = False,
-          hot_rows: int = HOT_ROWS) -> DataFrame:
+          hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Last non-null ``col`` up to each row, or with ``backward`` the next one from it on.
 
     Keys with more than ``hot_rows`` rows are cut into range slices; a row without a value in its
@@ -102,7 +126,7 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
     def fill(w, c):
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
-    if hot_groups(df, keys, hot_rows).isEmpty():
+    if not (has_hot(df, keys, hot_rows) if hot is None else hot):
         return df.withColumn(out, fill(Window.partitionBy(*keys).orderBy(along), col))
     sliced = materialise(df.repartitionByRange(*keys, seq).withColumn("_slice", F.spark_partition_id()))
     named = F.when(F.col(col).isNotNull(), F.struct(F.col(seq), F.col(col).alias("v")))
@@ -118,9 +142,9 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
 
 
 def parent_below(df: DataFrame, keys: Sequence[str], seq: str, header: str, out: str,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give each row the nearest header at or after it inside its file."""
-    return carry(df, keys, seq, header, out, backward=True, hot_rows=hot_rows)
+    return carry(df, keys, seq, header, out, backward=True, hot=hot, hot_rows=hot_rows)
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:

@@ -11,7 +11,8 @@ from daybook.context import Context
 from daybook.functions.columns import (as_date, blank_null, company_of_branch, compact_date,
                                        currency_amount, dr_cr, first_text, item, k, later, lookup, money,
                                        name_concat, null_of, num_or_null, padded_account, part)
-from daybook.operators.frames import (earliest, latest, parent_below, running_sum)
+from daybook.operators.frames import earliest, group_stats, has_hot, latest, parent_below, running_sum
+from daybook.operators.staging import materialise
 
 C = F.col
 
@@ -503,9 +504,10 @@ def account_statement(ctx: Context) -> DataFrame:
         k("account_number").alias("account_number"), k("recid").alias("stmt_entry_id"), *cols)
     netted = _netted(ctx, cols).withColumnsRenamed({"parent_account": "account_number", "detail_key": "stmt_entry_id"}) \
         .drop("parent_id", "x_id", "x_detail")
-    entries = plain.unionByName(netted)
-    entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run")
-    totals = entries.groupBy(C("account_number").alias("z_key")).agg(F.sum("amount").alias("period_total"))
+    entries = materialise(plain.unionByName(netted))
+    hot = has_hot(entries, ["account_number"])
+    entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run", hot)
+    entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, hot)
     opening = _newest(ctx.dim("account_statement"), "b", bfwd_balance=money("fqu1_last_balance"))
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("currency").alias("acct_ccy"), k(item("short_title")).alias("account_short_title"),
@@ -519,7 +521,7 @@ def account_statement(ctx: Context) -> DataFrame:
     forward = (ctx.dim("ac_stmt_parameter").filter(k("recid") == "SYSTEM")
                .agg(F.max(F.struct("curr_no", k("fwd_mvmt_reqd").alias("f")))["f"]).scalar())
     out = entries
-    for dim, prefix in ((totals, "z"), (opening, "b"), (account, "a"), (printed, "p")):
+    for dim, prefix in ((opening, "b"), (account, "a"), (printed, "p")):
         out = _enrich(out, dim, prefix, C("account_number"))
     out = _enrich(out, customer, "c", C("customer_id"))
     out = _enrich(_enrich(out, txn, "n", C("transaction_code")), system, "s", C("system_id"))
@@ -551,13 +553,13 @@ def statement_book(ctx: Context) -> DataFrame:
     priced = _enrich(entry, account.withColumn("has_account", F.lit(True)), "a", C("account"))
     home = F.substring("comp_ccy", 1, 3) == F.substring("ccy", 1, 3)
     priced = priced.withColumn("amount", F.when(home, C("lcy")).otherwise(C("fcy")))
-    priced = running_sum(priced, ["account"], ["post_date", "entry_id"], "amount", "running_balance")
+    hot = has_hot(entry, ["account"])
+    priced = running_sum(priced, ["account"], ["post_date", "entry_id"], "amount", "running_balance", hot)
     debit, credit, _ = dr_cr(C("amount"), zero=False)
-    totals = priced.groupBy(C("account").alias("z_key")).agg(
-        F.sum(debit).alias("total_dr_amt"), F.sum(credit).alias("total_cr_amt"),
-        F.coalesce(F.count_if(C("amount") < 0), F.lit(0)).alias("dr_txn_count"),
-        F.coalesce(F.count_if(C("amount") > 0), F.lit(0)).alias("cr_txn_count"),
-        F.sum("amount").alias("balance_at_period_end"))
+    priced = group_stats(priced, ["account"], {
+        "total_dr_amt": F.sum(debit), "total_cr_amt": F.sum(credit),
+        "dr_txn_count": F.count(F.when(C("amount") < 0, 1)), "cr_txn_count": F.count(F.when(C("amount") > 0, 1)),
+        "balance_at_period_end": F.sum("amount")}, hot)
     category = _newest(ctx.dim("category"), "g", category_name=k(item("short_name")))
     customer = _newest(ctx.dim("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
                        town=k("suburb_town"), city=k("city_municipal"), province=k("province_state"))
@@ -572,7 +574,7 @@ def statement_book(ctx: Context) -> DataFrame:
     owner = _newest(ctx.dim("mnemonic_company"), "m", [k("recid")], mnemonic_company_ref=k("company"))
     purge = ctx.dim("archive").filter(k("recid") == "STATEMENT").agg(F.max(as_date("purge_date"))).scalar()
     own = F.when(C("has_account"), C("account"))
-    out = _enrich(_enrich(_enrich(priced, totals, "z", C("account")), printed, "p", own), sub, "u", own)
+    out = _enrich(_enrich(priced, printed, "p", own), sub, "u", own)
     out = _enrich(_enrich(out, customer, "c", C("customer_id")), category, "g", C("category"))
     out = _enrich(_enrich(out, txn, "n", C("txn_code")), system, "s", C("system_id"))
     out = _enrich(out, district, "d", C("town"))
@@ -602,8 +604,8 @@ def trial_balance_detail(ctx: Context) -> DataFrame:
         company_of_branch("branch").alias("co_code"), F.regexp_replace("file_type", "^.*_", "").alias("statement_type"),
         "source_file", "line_seq", F.nullif(C("line_code").cast("string"), F.lit("")).alias("original_line"),
         "description", "opening_balance", "debit_movements", "credit_movements", "closing_balance")
-    lines = parent_below(lines, ["load_date", "branch_name", "statement_type", "source_file"], "line_seq",
-                         "original_line", "parent_line")
+    files = ["load_date", "branch_name", "statement_type", "source_file"]
+    lines = parent_below(lines, files, "line_seq", "original_line", "parent_line")
     kind = part("description", ".", 1)
 
     def piece(pl: int, ac: int | None) -> Column:

@@ -11,11 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.functions.columns import MONEY, blank_null, lookup
-from daybook.operators.frames import HOT_ROWS, carry, hot_groups, numbered, running_sum
+from daybook.operators.frames import HOT_ROWS, carry, has_hot, numbered, running_sum
 from daybook.operators.staging import materialise
 
 C = F.col
-FILE = ["source_file"]
 # characters that end a line besides newline, as page printers use them
 BREAKS = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 
@@ -30,7 +29,7 @@ def read_lines(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> Data
         C("_metadata.file_path").alias("file"), C("_metadata.file_name").alias("source_file"),
         C("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
         F.posexplode(F.split("value", BREAKS)).alias("piece", "line"))
-    seq = numbered(materialise(raw), ["file"], ["block", "place", "piece"], "line_seq", hot_rows)
+    seq = numbered(materialise(raw), ["file"], ["block", "place", "piece"], "line_seq", hot_rows=hot_rows)
     return seq.select("file", "source_file", "line_seq", "line")
 
 
@@ -61,10 +60,10 @@ def _number(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
 
-def file_headers(lines: DataFrame, bank: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def file_headers(lines: DataFrame, bank: str) -> DataFrame:
     """Report type and branch per file, from its first lines. ``bank`` is the bank's mark in the title."""
     top = lines.filter(C("line_seq") <= HEAD_CHARS).withColumn("_len", F.length("line") + 1)
-    top = running_sum(top, ["file"], ["line_seq"], "_len", "_end", hot_rows)
+    top = running_sum(top, ["file"], ["line_seq"], "_len", "_end", hot=False)  # at most HEAD_CHARS lines per file
     text = F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(
         F.when(C("_end") - C("_len") < HEAD_CHARS, F.struct("line_seq", "line")))), lambda x: x["line"]))
     words = F.split(F.regexp_replace("line", r"^\s+|\s+$", ""), r"\s+")
@@ -96,7 +95,8 @@ def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False,
     letters, digits and dots only looks like a continuation and counts as one.)
     """
     ends = lines.filter(C("line").contains(END_MARK)).groupBy(C("file").alias("f")).agg(F.min("line_seq").alias("end"))
-    headers = file_headers(lines, bank, hot_rows).filter(~C("file_type").isin("CRB", "UNKNOWN"))
+    hot = has_hot(lines, ["file"], hot_rows)
+    headers = file_headers(lines, bank).filter(~C("file_type").isin("CRB", "UNKNOWN"))
     body = lines.join(ends, C("file") == C("f"), "left").filter(C("end").isNull() | (C("line_seq") < C("end"))).drop("f", "end")
     body = body.join(headers, "file")
     line = C("line")
@@ -108,10 +108,12 @@ def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False,
     # the data row that ends the current stretch, the last code line, the last line that sets the row above
     body = body.withColumn("at_data", F.when(C("kind") == "data", C("line_seq"))) \
         .withColumn("at_row", F.when(~C("kind").isin("remark", "more"), F.struct("line_seq", "kind")))
-    body = carry(body, ["file"], "line_seq", "at_data", "stretch", backward=True, hot_rows=hot_rows)
+    body = carry(body, ["file"], "line_seq", "at_data", "stretch", backward=True, hot=hot)
     body = body.withColumn("at_code", F.when(C("kind") == "code", F.struct("line_seq", F.coalesce("stretch", F.lit(-1)).alias("s"))))
-    body = carry(body, ["file"], "line_seq", "at_code", "code", hot_rows=hot_rows)
-    body = carry(body, ["file"], "line_seq", "at_row", "above", hot_rows=hot_rows)
+    body = carry(body, ["file"], "line_seq", "at_code", "code", hot=hot)
+    body = carry(body, ["file"], "line_seq", "at_row", "above", hot=hot)
+    # the classified lines are read three times below
+    body = materialise(body.drop("at_data", "at_row", "at_code"))
     waiting = F.coalesce(C("code.s") == F.coalesce("stretch", F.lit(-1)), F.lit(False))
     text = F.regexp_replace("line", r"^\s+|\s+$", "")
 
@@ -246,7 +248,8 @@ def parse_deposits(lines: DataFrame, hot_rows: int = HOT_ROWS) -> Deposits:
     dtype = {line: kind for line, _, kind in SECTIONS}
     head = F.regexp_extract("text", SECTION_HEAD, 1)
     body = body.withColumn("at_head", F.when(C("kind") == "head", F.struct(F.when(head.isin(*section), head).alias("gl"))))
-    body = carry(body, ["file"], "line_seq", "at_head", "section", hot_rows=hot_rows)
+    body = carry(body, ["file"], "line_seq", "at_head", "section", hot=has_hot(lines, ["file"], hot_rows))
+    body = materialise(body.select("file", "source_file", "line_seq", "text", "kind", "section"))
     rows = body.filter((C("kind") == "row") & C("section.gl").isNotNull() & C("text").rlike(DEPOSIT_ROW))
     gl = C("section.gl")
     account, branch, product = account_parts(F.regexp_extract("text", DEPOSIT_ROW, 1))
