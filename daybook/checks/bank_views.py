@@ -165,7 +165,7 @@ VIEWS: dict[str, str] = {
     "aa_bill_details": f"select concat(' ', {_ARR}) as arrangement_id, {AMOUNT} as os_total_amount from lineitem join orders on l_orderkey = o_orderkey where {_LOAN} and l_returnflag = 'R'",
     "em_dl_application": "select concat('DL', cast(o_orderkey as string)) as recid, '1' as curr_no, cast(o_orderdate as date) - 10 as app_date from orders",
     "em_lo_application": "select concat('LO', cast(o_orderkey as string)) as recid, '1' as curr_no, case when o_orderstatus = 'F' then cast(o_orderdate as date) + 40 end as rep_start_date from orders",
-    "aa_customer_role": "select 'OWNER' as recid, {arr}(concat('Role ', max(r_name))) as description from region",
+    "aa_customer_role": "select case when r_regionkey = 0 then 'OWNER' else r_name end as recid, {arr}(concat('Role ', r_name)) as description from region",
     "aa_activity_history": f"""select {_ARR} as recid,
       {{arr}}(case when o_orderstatus = 'F' then 'lending-write.off-balance' else 'LENDING-NEW' end, case when o_orderpriority = '5-LOW' then 'LENDING-WRITE.OFF-ALL' else 'LENDING-PAY' end) as activity,
       {{arr}}(replace(cast(cast(o_orderdate as date) as string), '-', '')) as act_date, {{arr}}(cast(o_totalprice as decimal(18,2))) as activity_amt, {{arr}}({_ARR}) as contract_id
@@ -190,7 +190,7 @@ VIEWS: dict[str, str] = {
     "archive": "select 'STATEMENT' as recid, max(cast(o_orderdate as date)) as purge_date from orders",
     "acct_stmt_print": f"select {KEY14.format('o_orderkey')} as recid, cast(cast(o_totalprice as decimal(18,2)) as string) as stmt_date_bal from orders where o_orderstatus = 'O'",
     "ac_sub_account": f"select {KEY14.format('o_orderkey')} as recid, concat('SUB', cast(o_custkey as string)) as sub_account from orders where o_orderstatus = 'P'",
-    "mnemonic_company": "select 'TT' as recid, max(r_name) as company from region",
+    "mnemonic_company": "select case when r_regionkey = 0 then 'TT' else r_name end as recid, r_name as company from region",
     "sector": _dim("n_nationkey", "concat('Sector ', n_name, ' #') as description"),
     "crb_deposits": f"select {KEY14.format('l_orderkey')} as account_number, {AMOUNT} as local_ccy_amt, {MONTH} as load_date from lineitem",
     "batch": "select case when r_regionkey = 0 then 'BNK/DW.EXTRACT.EOD' else r_name end as recid, date '1998-06-01' as last_run_date, 'DONE' as job_status from region",

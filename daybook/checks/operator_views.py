@@ -287,7 +287,7 @@ def _control(spark: SparkSession, sf_dir: str) -> DataFrame:
     sealed = customers.filter(C("c_nationkey") != 5).select("business_date", "source_table", F.lit("cdc").alias("flow"), C("c_custkey").alias("snapshot_id"))
     control = readiness.seal(control, sealed)
     control = readiness.mark_failed(control, customers.filter(C("c_nationkey") == 6).unionByName(
-        customers.limit(1).withColumn("source_table", F.lit("unknown"))))
+        customers.withColumn("source_table", F.concat(F.lit("not "), "source_table"))))
     again = customers.filter(C("c_nationkey") == 7).select("business_date", "source_table", F.lit("pull").alias("flow"), F.lit(3).cast("bigint").alias("actual_count"))
     return readiness.seal(control, again)
 

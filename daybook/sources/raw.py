@@ -81,20 +81,29 @@ def require_all(missing: DataFrame, show: int = 20) -> None:
         raise FileNotFoundError(f"files not delivered: {names}")
 
 
-def read_utf16_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """'~' separated UTF-16 files with a dirty header: marks and zero bytes removed, blanks null, empty rows dropped."""
-    raw = spark.read.csv(path, sep="~", encoding="UTF-16", header=True, schema=schema)
-    clean = raw.select(*[blank_null(F.regexp_replace(c, "[﻿@\u0000]", "")).alias(c) for c in raw.columns])
+def read_utf16_table(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-16LE") -> DataFrame:
+    """'~' separated UTF-16 files with a dirty header: marks and zero bytes removed, blanks null, empty rows dropped.
+
+    Naming the byte order and the line end lets Spark split a big file.
+    """
+    raw = spark.read.csv(path, sep="~", encoding=encoding, lineSep="\n", header=True, schema=schema)
+    clean = raw.select(*[blank_null(F.regexp_replace(c, "[\ufeff@\u0000\r]", "")).alias(c) for c in raw.columns])
     return clean.na.drop("all")
 
 
+# Windows-1252 is Latin-1 but for these bytes (five of which it leaves undefined).
+_UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+_OWN_BYTES = [b for b in range(0x80, 0xA0) if b not in _UNDEFINED]
+_LATIN = "".join(map(chr, _OWN_BYTES))
+_WINDOWS = bytes(_OWN_BYTES).decode("cp1252")
+
+
 def decode(content: Column) -> Column:
-    """Text of bytes in UTF-16 (with its mark), UTF-8, or else the Windows and Latin single-byte sets."""
-    head = F.hex(F.substring(content, 1, 2))
-    utf16 = F.when(head.isin("FFFE", "FEFF"), F.decode(content, "UTF-16"))
-    # the few bytes Windows-1252 leaves undefined are read as Latin-1
-    undefined = F.hex(content).rlike("^(..)*(81|8D|8F|90|9D)")
-    single = F.when(undefined, F.decode(content, "ISO-8859-1")).otherwise(F.decode(content, "WINDOWS-1252"))
+    """Text of bytes in UTF-16 (with its mark), UTF-8, Windows-1252, or else Latin-1: the first that fits."""
+    utf16 = F.when(F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF"), F.decode(content, "UTF-16"))
+    latin = F.decode(content, "ISO-8859-1")
+    undefined = latin.rlike("[" + "".join(f"\\x{b:02x}" for b in _UNDEFINED) + "]")
+    single = F.when(undefined, latin).otherwise(F.translate(latin, _LATIN, _WINDOWS))
     return F.coalesce(utf16, F.try_validate_utf8(content), single)
 
 
