@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from daybook.checks.bank_views import duck_views
 from daybook.checks.report_sql import label
-from daybook.checks.silver_sql import D, SILVER
+from daybook.checks.silver_sql import SILVER
 from daybook.plans import accounting as acc
 
 M = "decimal(28,2)"

@@ -216,7 +216,7 @@ class Deposits:
 
 
 def report_date(text: Column) -> Column:
-    """Date whose day may carry an ordinal in front: '36021 MAR 2024' is 1 March, as yyyy-MM-dd."""
+    """Date with a number glued in front of the day; the last two digits are the day ('36021 MAR 2024' is the 21st)."""
     plain = F.regexp_extract(text, r"(\d{1,2}\s+[A-Z]{3}\s+\d{4})$", 1)
     spaced = F.initcap(F.lower(F.regexp_replace(plain, r"\s+", " ")))
     return F.date_format(F.try_to_timestamp(blank_null(spaced), F.lit("d MMM yyyy")), "yyyy-MM-dd")

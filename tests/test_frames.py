@@ -85,8 +85,7 @@ def test_listing_has_totals(spark):
     got = f.listing(df, ["day", "branch"], "account_no", {"amt": "decimal(18,2)"})
     assert sorted((r.branch, r.row_type, r.account_no, r.row_no, r.amt) for r in got.collect()) == [
         ("b1", "DATA", "1", 1, Decimal(7)), ("b1", "DATA", "2", 2, Decimal(5)), ("b1", "TOTAL", "TOTAL", None, Decimal(12)),
-        ("b2", "DATA", "9", 1, Decimal(1)), ("b2", "TOTAL", "TOTAL", None, Decimal(1))] or True
-    assert got.filter("row_type = 'TOTAL'").count() == 2
+        ("b2", "DATA", "9", 1, Decimal(1)), ("b2", "TOTAL", "TOTAL", None, Decimal(1))]
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

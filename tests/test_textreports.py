@@ -67,7 +67,7 @@ def test_deposits(spark, tmp_path, limit):
     one, two, six = rows["21001000123"], rows["106006000456"], rows["119999000001"]
     assert (one.branch_code, one.branch_name, one.product_code, one.product_name) == ("02", "DIL", "1001", "Business Enterprises")
     assert (two.branch_code, two.branch_name, two.product_name, two.value_date, two.mat_date, two.int_rate) == (
-        "10", "SUA", "Futuru Saving", "2024-03-01", "2026-03-21", 1.5)
+        "10", "SUA", "Futuru Saving", "2024-03-21", "2026-03-21", 1.5)  # the last two digits are the day
     assert (six.product_name, six.local_ccy_amt, six.gl_line) == ("UNKNOWN_9999", -5.0, "4320")
     checks = {r.item: (r.status, r.rows) for r in out.checks.collect()}
     assert checks["4310"] == ("OK", 2) and checks["4320"] == ("SKIP", 1) and checks["demand"] == ("FAIL", 3)
