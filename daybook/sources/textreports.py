@@ -56,6 +56,11 @@ def _has(marks: tuple[str, ...]) -> Column:
     return out
 
 
+def _groups(text: Column | str, pattern: str, n: int) -> Column:
+    """All groups of a matching text as an array, from a single match; a group that took no part is blank."""
+    return F.split(F.regexp_replace(text, pattern, "\x01".join(f"${i}" for i in range(1, n + 1))), "\x01")
+
+
 def _number(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
@@ -127,27 +132,24 @@ def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False,
     tails = joined(body.filter((C("kind") == "more") & ~waiting & C("above.kind").isin("account", "data")),
                    C("above.line_seq"), "tail")
     account, data, header = C("kind") == "account", C("kind") == "data", C("kind") == "header"
-
-    def group(n: int, *, account_at: int | None, header_at: int | None = None) -> Column:
-        out = F.when(data, F.regexp_extract("line", DATA_ROW, n))
-        if account_at is not None:
-            out = out.when(account, F.regexp_extract("line", ACCOUNT_ROW, account_at))
-        return out if header_at is None else out.when(header, F.regexp_extract("line", HEADER_ROW, header_at))
-
-    rows = body.filter(account | data | header)
+    nothing = F.lit("")
+    # code, description and four amounts, whatever the kind of row
+    cells = (F.when(data, _groups("line", DATA_ROW, 6))
+             .when(account, F.concat(F.array(nothing), _groups("line", ACCOUNT_ROW, 5)))
+             .otherwise(F.concat(_groups("line", HEADER_ROW, 2), F.array(*[nothing] * 4))))
+    rows = body.filter(account | data | header).withColumn("cells", cells)
     rows = rows.join(codes, (C("file") == codes["f"]) & (C("line_seq") == codes["at"]), "left").drop("f", "at")
     if join_continuations:
         rows = rows.join(tails, (C("file") == tails["f"]) & (C("line_seq") == tails["at"]), "left").drop("f", "at")
     else:
         rows = rows.withColumn("tail", F.lit(None).cast("string"))
-    own = F.trim(group(2, account_at=1, header_at=2))
+    own = F.trim(C("cells")[1])
     named = F.concat(F.when(data & C("waiting_code").isNotNull(), F.concat("waiting_code", F.lit(" "))).otherwise(""),
                      own, F.coalesce("tail", F.lit("")))
-    return rows.select(
-        F.coalesce(group(1, account_at=None, header_at=1), F.lit("")).alias("line_code"), named.alias("description"),
-        *[_number(group(n, account_at=n - 1)).alias(c) for n, c in enumerate(
-            ("opening_balance", "debit_movements", "credit_movements", "closing_balance"), 3)],
-        "source_file", "branch", "file_type", "line_seq")
+    balances = ("opening_balance", "debit_movements", "credit_movements", "closing_balance")
+    return rows.select(C("cells")[0].alias("line_code"), named.alias("description"),
+                       *[_number(C("cells")[n]).alias(c) for n, c in enumerate(balances, 2)],
+                       "source_file", "branch", "file_type", "line_seq")
 
 
 def ledger_statistics(rows: DataFrame) -> DataFrame:
@@ -233,8 +235,8 @@ def account_parts(raw: Column) -> tuple[Column, Column, Column]:
     return account, branch, product
 
 
-def _optional(n: int) -> Column:
-    return F.nullif(F.regexp_extract("text", DEPOSIT_ROW, n), F.lit(""))
+def _cell(n: int) -> Column:
+    return F.nullif(C("cells")[n - 1], F.lit(""))
 
 
 def parse_deposits(lines: DataFrame, hot_rows: int = HOT_ROWS) -> Deposits:
@@ -250,18 +252,20 @@ def parse_deposits(lines: DataFrame, hot_rows: int = HOT_ROWS) -> Deposits:
     body = body.withColumn("at_head", F.when(C("kind") == "head", F.struct(F.when(head.isin(*section), head).alias("gl"))))
     body = carry(body, ["file"], "line_seq", "at_head", "section", hot=has_hot(lines, ["file"], hot_rows))
     body = materialise(body.select("file", "source_file", "line_seq", "text", "kind", "section"))
-    rows = body.filter((C("kind") == "row") & C("section.gl").isNotNull() & C("text").rlike(DEPOSIT_ROW))
+    rows = body.filter((C("kind") == "row") & C("section.gl").isNotNull())
+    # a text without a match comes back whole, as one cell
+    rows = rows.withColumn("cells", _groups("text", DEPOSIT_ROW, 9)).filter(F.size("cells") == 9)
     gl = C("section.gl")
-    account, branch, product = account_parts(F.regexp_extract("text", DEPOSIT_ROW, 1))
+    account, branch, product = account_parts(C("cells")[0])
     rows = rows.select(
         "file", lookup(gl, dtype).alias("deposit_type"), gl.alias("gl_line"), lookup(gl, section).alias("gl_section_name"),
         account.alias("account_number"), branch.alias("branch_code"),
         F.when(branch == "", "UNKNOWN").otherwise(lookup(branch, BRANCH_MNEMONICS, F.concat(F.lit("UNKNOWN_"), branch))).alias("branch_name"),
         product.alias("product_code"), lookup(product, PRODUCTS, F.concat(F.lit("UNKNOWN_"), product)).alias("product_name"),
-        _optional(2).alias("currency"), F.trim(F.regexp_extract("text", DEPOSIT_ROW, 3)).alias("customer_name"),
-        _number(_optional(4)).alias("currency_amt"), _number(_optional(5)).alias("local_ccy_amt"),
-        F.round(_number(_optional(6)), 2).alias("int_rate"), _optional(7).alias("int_type"),
-        report_date(_optional(8)).alias("value_date"), report_date(_optional(9)).alias("mat_date"), "source_file")
+        _cell(2).alias("currency"), F.trim(C("cells")[2]).alias("customer_name"),
+        _number(_cell(4)).alias("currency_amt"), _number(_cell(5)).alias("local_ccy_amt"),
+        F.round(_number(_cell(6)), 2).alias("int_rate"), _cell(7).alias("int_type"),
+        report_date(_cell(8)).alias("value_date"), report_date(_cell(9)).alias("mat_date"), "source_file")
     section_totals = body.filter((C("kind") == "total")).select(
         "file", "line_seq", F.regexp_extract("text", SECTION_TOTAL, 1).alias("item"),
         _number(F.regexp_extract("text", SECTION_TOTAL, 2)).cast(MONEY).alias("total")).filter(C("item").isin(*section))
