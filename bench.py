@@ -13,11 +13,10 @@ import time
 from pyspark.sql import SparkSession, functions as F
 
 HEADLINE = (
-    "large_daily_txn", "acct_cust", "loan_risk", "lending_arrangements", "opened_accounts", "written_off_loans",
-    "account_statement", "statement_book", "category_entry_book", "trial_balance_detail", "inward_remittance",
-    "disbursement_consolidation", "loan_sector_daily", "provision", "extra_accountable", "opened_account_listing",
-    "savers_by_age", "contact_listing", "large_txn_report", "asset_summary", "assets_report", "assets_compared",
-    "balance_sheet_assets", "record_roundtrip_main", "report_parse_ledger", "report_parse_deposits", "cdc_unwrap", "cdc_latest",
+    "large_daily_txn", "acct_cust", "loan_risk", "lending_arrangements", "account_statement", "statement_book",
+    "category_entry_book", "trial_balance_detail", "inward_remittance", "disbursement_consolidation", "provision",
+    "opened_account_listing", "contact_listing", "asset_summary", "assets_compared", "record_roundtrip_main",
+    "report_parse_ledger", "report_parse_deposits", "cdc_latest",
 )
 
 

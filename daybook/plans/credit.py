@@ -10,6 +10,7 @@ from daybook.functions.columns import (MONEY, blank_null, collapse_repeated_tail
                                        null_of)
 from daybook.operators.frames import (global_row_number, history_triplet, pivot_sums, with_rows, with_totals,
                                       year_triplet)
+from daybook.operators.staging import materialise
 
 C = F.col
 WIDE = "decimal(28,2)"
@@ -24,11 +25,12 @@ def _disbursed(ctx: Context) -> DataFrame:
     if ctx.report_year is not None:
         loan = loan.filter(F.year("opening_date") == ctx.report_year)
     joined = loan.join(granted, k("arrangement_id") == C("arr"), "left")
-    return joined.groupBy(
+    # a few thousand rows, read for the years and again for the cells
+    return materialise(joined.groupBy(
         F.year("opening_date").alias("report_year"), F.month("opening_date").alias("report_month"),
         C("company_code").alias("co_code"), C("category").cast("string").alias("category_code"),
     ).agg(F.coalesce(F.sum("commitment_amt"), F.lit(0)).cast(WIDE).alias("amount"),
-          F.countDistinct("loan_id").alias("loans"))
+          F.countDistinct("loan_id").alias("loans")))
 
 
 def _branch_product_grid(years: DataFrame) -> DataFrame:
@@ -107,8 +109,8 @@ def _sector_report(grid: DataFrame, cells: DataFrame, keys: list[str], amounts:
 def loan_sector_daily(ctx: Context) -> DataFrame:
     """Sector x asset class balances of the load date."""
     base = _sector_balances(ctx).withColumn("load_date", F.lit(ctx.load_day))
-    cells = base.groupBy("load_date", "credit_by_sector").agg(
-        *pivot_sums(C("balance"), C("asset_class"), specs.ASSET_CLASSES, MONEY))
+    cells = materialise(base.groupBy("load_date", "credit_by_sector").agg(
+        *pivot_sums(C("balance"), C("asset_class"), specs.ASSET_CLASSES, MONEY)))
     current = _sector_report(cells.select("load_date").distinct(), cells, ["load_date"], list(specs.ASSET_CLASSES))
     return history_triplet(current, ctx.history.get("loan_sector_daily"), ctx.target_date, "load_date")
 
