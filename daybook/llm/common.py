@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.staging import materialise as settle  # written once below spark.checkpoint.dir and read back
 
-__all__ = ["settle", "table", "raw_bytes", "text_bytes", "mix64", "WordHasher"]
+__all__ = ["settle", "table", "text_bytes", "tokenizer_path", "mix64", "WordHasher"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; the package that names it is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def text_bytes(column) -> list:
     """UTF-8 bytes (or None) of an Arrow text column."""
     import pyarrow as pa
@@ -21,8 +28,6 @@ def text_bytes(column) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
-raw_bytes = text_bytes
-
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over all 64 output bits."""
