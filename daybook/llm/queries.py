@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import minhash, packing
+from daybook.llm import minhash, packing, quality
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality}
 ORACLE: dict[str, str] = {}
 
 
