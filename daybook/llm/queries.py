@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import minhash, packing, quality
+from daybook.llm import minhash, packing, quality, rules
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality}
-ORACLE: dict[str, str] = {}
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.measured(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality, "op8_rules": op8_rules}
+ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
 
 def queries() -> dict[str, Query]:
