@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -253,7 +254,7 @@ _STATE = "block long, island int, lengths array<int>, counts array<int>, packing
 
 
 def _island(epoch: int, capacity: int, seed: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         lengths, amounts = rows["lengths"].iloc[0], rows["counts"].iloc[0]
         counts = np.zeros(capacity + 1, dtype=np.int64)
         counts[np.asarray(lengths, dtype=np.int64)] = amounts
@@ -265,7 +266,7 @@ def _island(epoch: int, capacity: int, seed: int):
     return run
 
 
-def _places(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _places(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
     """One row per place of the block's best packing: which piece of which length goes where."""
     best = max((unflat(p) for row in rows["packings"] for p in row), key=fitness)
     length = np.array([x for b in best for x in b], dtype=np.int64)

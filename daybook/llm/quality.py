@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -129,7 +130,7 @@ def _equations(model: Model):
     return run
 
 
-def _add(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _add(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"equation": [key[0]], "sums": [np.sum(np.stack(rows["sums"].to_list()), axis=0)]})
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import minhash, packing, quality, rules
+from daybook.llm import minhash, packing, quality, rules, sharding
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,12 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.measured(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality, "op8_rules": op8_rules}
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality, "op8_rules": op8_rules,
+                             "op9_sharding": op9_sharding}
 ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
 
