@@ -1,16 +1,18 @@
 """Near-duplicate documents by an inverted join over MinHash signature coordinates.
 
 A document's set holds its distinct shingles of five words; the signature holds, per coordinate, the least of one hash over the set.
-Two sets of similarity J agree on each coordinate with probability J, so sets to be linked agree on at least ``MATCHES`` of
-``COORDINATES`` (at similarity 0.85 all but 1.5e-7 of the pairs do). The join finds those pairs:
+Two sets of similarity J agree on each coordinate with probability J, so sets to be linked agree on at least ``matches`` of
+``COORDINATES`` but for one pair in some millions (38 of 64 at similarity 0.85, see ``matches_for``). The join finds those pairs:
 
 * every coordinate-value pair is a posting list. Values that one set alone holds join nothing and are skipped, and so is a set that
-  shares fewer than ``MATCHES`` of its values with anybody;
-* prefix merging: of a set's shared values, rarest first, all but the ``MATCHES - 1`` most frequent are posted. Two sets with
-  ``MATCHES`` equal coordinates still meet, while values of passages that very many documents hold stay out;
-* skip merging: lists are split by set size, so that sets whose sizes alone rule out a link never meet, and members of a list meet
-  its first member before they meet each other: what is linked by then skips the rest of its list;
-* collisions of a met pair are counted over the whole signature, pairs below ``MATCHES`` go, the others are confirmed on full sets.
+  shares fewer values with others than a link needs;
+* prefix merging: of a set's shared values, rarest first, all but the ``matches - 1`` most frequent are posted. Two sets with
+  ``matches`` equal coordinates still meet, while values of passages that very many documents hold stay out;
+* skip merging: lists are split by set size, so that sets whose sizes alone rule out a link never meet, and the members of a list
+  meet its centre, the set with the most widely shared values, before they meet each other. What is linked by then skips the rest
+  of its list. Members still apart need not all meet either: a pair must also share one of its rarest shingles, early enough in both
+  sets to leave room for the overlap that a link needs;
+* collisions of a met pair are counted over the whole signature, pairs below ``matches`` go, the others are confirmed on full sets.
 
 Equal sets are one node from the start, so a group of exact copies costs as much as one document.
 """
@@ -28,7 +30,7 @@ from daybook.llm.common import WordHasher, mix64, settle, text_bytes
 
 WIDTH = 5  # words in a shingle
 COORDINATES = 64
-MATCHES = 38
+MISSES = 2e-7  # share of pairs right at the threshold that may agree on too few coordinates
 BLOCK = 2048  # shingles hashed at once
 FILTER_WORDS = 1 << 17  # 64-bit words of the membership filter: 1 MB at most, whatever the input
 
@@ -38,6 +40,16 @@ _FACTOR = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2)
 _SHIFT = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 
 
+def matches_for(percent: int) -> int:
+    """Most coordinates to ask for such that at most MISSES of the pairs with that similarity agree on fewer."""
+    missed, t = 0.0, percent / 100
+    for k in range(COORDINATES):
+        missed += math.comb(COORDINATES, k) * t**k * (1 - t) ** (COORDINATES - k)
+        if missed > MISSES:
+            return max(1, k)
+    return COORDINATES
+
+
 def shingle_set(words: np.ndarray) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a word sequence; fewer than five words are one shingle, none are none."""
     n = words.size
@@ -98,14 +110,15 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _postings(sets: DataFrame, matches: int) -> DataFrame:
-    """node, n, key, cell: the prefix of every set that shares enough coordinate values, in the cells of its size."""
+    """node, key, weight: the prefix of every set that shares enough coordinate values, and how widely its values are shared."""
     coordinate = sets.select("node", F.posexplode("sig").alias("place", "value")).select(
         "node", ((F.col("place").cast("long") * (1 << 32)) + (F.col("value").cast("long") + (1 << 31))).alias("key"))
     shared = coordinate.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1")
     held = (coordinate.join(shared, "key").groupBy("node").agg(F.collect_list(F.struct("df", "key")).alias("held"))
             .filter(F.size("held") >= matches))
     prefix = F.slice(F.sort_array("held"), F.lit(1), F.size("held") - (matches - 1))
-    return held.select("node", F.explode(prefix).alias("p")).select("node", "p.key")
+    weight = F.aggregate("held.df", F.lit(0).cast("long"), lambda total, df: total + df)
+    return held.select("node", weight.alias("weight"), F.explode(prefix).alias("p")).select("node", "weight", "p.key")
 
 
 def _cells(threshold: float):
@@ -149,6 +162,23 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
             .select("node", "shingles"))
 
 
+def _meeting(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of different components among ``apart`` (node, n, comp) that share a shingle early enough in both sets.
+
+    Shingles are taken rarest first. If the first shared one has ``pos`` others before it, the overlap is at most n - pos.
+    """
+    shingle = apart.join(full, "node").select("node", "n", "comp", F.explode("shingles").alias("x"))
+    shared = shingle.groupBy("x").agg(F.count("*").alias("df")).filter("df > 1")
+    held = shingle.join(shared, "x").groupBy("node", "n", "comp").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("held"))
+    early = f"""filter(transform(held, (h, i) -> named_struct('x', h.x, 'pos', n - size(held) + i)), q -> 100 * (n - q.pos) >= {percent} * n)"""
+    prefix = held.select("node", "n", "comp", F.explode(F.expr(early)).alias("q")).select(
+        F.col("q.x").alias("x"), (F.col("n") - F.col("q.pos")).alias("room"), "node", "n", "comp")
+    left = prefix.select("x", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.col("room").alias("room_a"))
+    right = prefix.select("x", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("room").alias("room_b"))
+    return left.join(right, "x").filter(
+        f"a < b and comp_a <> comp_b and {100 + percent} * least(room_a, room_b) >= {percent} * (n_a + n_b)")
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node, comp: the least node reachable over the edges (a, b), itself included.
 
@@ -171,45 +201,42 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85,
-                    coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``docs``.
 
     Words are runs of other bytes than space and \\x09-\\x0D with A-Z lower-cased. Null and blank texts have an empty set, are linked
     with nothing and are their own component. Equal texts are linked however short. Rows that repeat a doc_id get equal rows; a
     null doc_id takes part in linking, but a component takes its name from the least id that is not null. Other columns of
-    ``docs`` are not read. An empty table gives an empty result. ``percent`` and ``matches`` belong together: a lower percentage needs
-    fewer matches to stay whole.
+    ``docs`` are not read. An empty table gives an empty result.
     """
-    if not 0 < matches <= coordinates == COORDINATES:
-        raise ValueError("matches lies between 1 and the number of coordinates")
+    if not 0 < percent <= 100:
+        raise ValueError("percent lies above 0 and up to 100")
+    matches = matches_for(percent)
     rows = settle(sketches(docs, id_col, text_col))
     sets = settle(rows.filter("set_key is not null").groupBy("set_key")
                   .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.first("sig").alias("sig"))
                   .withColumn("node", F.monotonically_increasing_id()))
     brief = sets.select("node", "n")
-    posted = settle(_postings(sets, matches).join(brief, "node").select("node", "n", "key", _cells(percent / 100).alias("cell")))
+    posted = settle(_postings(sets, matches).join(brief, "node")
+                    .select("node", "n", "weight", "key", _cells(percent / 100).alias("cell")))
 
     def alike(pairs: DataFrame) -> DataFrame:
         sized = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         return pairs.filter(sized).select("a", "b").distinct()
 
-    lists = posted.groupBy("key", "cell").agg(F.min(F.struct("node", "n")).alias("first"), F.count("*").alias("members")).filter(
-        "members > 1").select("key", "cell", F.col("first.node").alias("b"), F.col("first.n").alias("n_b"))
+    lists = posted.groupBy("key", "cell").agg(F.max(F.struct("weight", "node", "n")).alias("centre"), F.count("*").alias("members")).filter(
+        "members > 1").select("key", "cell", F.col("centre.node").alias("b"), F.col("centre.n").alias("n_b"))
     stars = posted.select("key", "cell", F.col("node").alias("a"), F.col("n").alias("n_a")).join(lists, ["key", "cell"])
     met = posted.join(lists.select("key", "cell"), ["key", "cell"], "left_semi").select("node").distinct()
     full = settle(_full_sets(docs, met.join(sets.select("node", "doc", "set_key"), "node"), id_col, text_col))
     links = settle(_confirmed(_agreeing(alike(stars.filter("a <> b")), sets, matches), full, percent))
     labels = components(brief.select("node"), links)
 
-    # What the first members have not joined: members of a list that are still apart meet each other.
-    apart = posted.join(labels, "node").select("key", "cell", "node", "n", "comp")
-    mixed = apart.groupBy("key", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    apart = settle(apart.join(mixed.select("key", "cell"), ["key", "cell"], "left_semi"))
-    left = apart.select("key", "cell", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    right = apart.select("key", "cell", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    rest = left.join(right, ["key", "cell"]).filter("a < b and comp_a <> comp_b")
-    more = settle(_confirmed(_agreeing(alike(rest), sets, matches), full, percent))
+    # Members of a list that its centre has not joined meet each other.
+    sided = posted.join(labels, "node").select("key", "cell", "node", "n", "comp")
+    mixed = sided.groupBy("key", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    apart = settle(sided.join(mixed.select("key", "cell"), ["key", "cell"], "left_semi").select("node", "n", "comp").distinct())
+    more = settle(_confirmed(_agreeing(alike(_meeting(apart, full, percent)), sets, matches), full, percent))
     if not more.isEmpty():
         ends = labels.withColumnRenamed("node", "a").withColumnRenamed("comp", "x")
         other = labels.withColumnRenamed("node", "b").withColumnRenamed("comp", "y")

@@ -99,7 +99,8 @@ def test_chain_and_hot_groups_equal_brute_force(spark):
     for i in range(120):  # one passage in many otherwise different texts
         rows.append((300 + i, passage + " " + " ".join(f"z{rng.integers(0, 10**6)}" for _ in range(rng.integers(5, 60)))))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert found(minhash.near_duplicates(df)) == brute(rows)
+    for percent in (85, 80):
+        assert found(minhash.near_duplicates(df, percent=percent)) == brute(rows, percent)
 
 
 def test_documents_equal_brute_force(spark):
@@ -107,7 +108,11 @@ def test_documents_equal_brute_force(spark):
     assert found(minhash.near_duplicates(df)) == brute([tuple(r) for r in df.select("doc_id", "text").collect()])
 
 
-@pytest.mark.parametrize("matches", [0, 65])
-def test_refuses_impossible_thresholds(spark, matches):
+@pytest.mark.parametrize("percent", [0, 101])
+def test_refuses_impossible_thresholds(spark, percent):
     with pytest.raises(ValueError):
-        minhash.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), matches=matches)
+        minhash.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), percent=percent)
+
+
+def test_matches_follow_the_threshold():
+    assert [minhash.matches_for(p) for p in (100, 85, 80, 1)] == [64, 38, 33, 1]
