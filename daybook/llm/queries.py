@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import minhash, packing, quality, rules, sharding
+from daybook.llm import htmltext, minhash, packing, quality, rules, sharding
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +32,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"))
 
 
+def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality, "op8_rules": op8_rules,
-                             "op9_sharding": op9_sharding}
+                             "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
 ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
 
