@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import htmltext, minhash, packing, quality, rules, sharding
+from daybook.llm import ann, htmltext, minhash, packing, quality, rules, sharding
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,7 +40,7 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op5_quality": op5_quality, "op8_rules": op8_rules,
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op8_rules": op8_rules,
                              "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
 ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
