@@ -42,19 +42,23 @@ class WordHasher:
     """64-bit hashes of the white-space separated words of a text, computed for all bytes at once.
 
     A word's hash is the sum of ``value[byte] * BASE**place`` over its bytes, taken from one running sum and moved back to
-    place 0 with the inverse power, then mixed. With ``fold`` A-Z hash as a-z. White space is space and \\x09-\\x0D.
+    place 0 with the inverse power, then mixed. With ``fold`` A-Z hash as a-z. White space is space and \\x09-\\x0D; with
+    ``letters`` every other byte than an ASCII letter or a part of a longer character ends a word too.
     """
 
     BASE = 0x9E3779B97F4A7C13  # 3 modulo 8: powers stay far apart in every bit
     SPAN = 1 << 19  # bytes hashed at once; longer texts are cut at white space
 
-    def __init__(self, fold: bool, seed: int = 20240607):
+    def __init__(self, fold: bool, letters: bool = False, seed: int = 20240607):
         rng = np.random.Generator(np.random.PCG64(seed))
         self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         if fold:
             self.values[65:91] = self.values[97:123]
         self.space = np.zeros(256, dtype=bool)
         self.space[[32, *range(9, 14)]] = True
+        if letters:
+            self.space[:128] = True
+            self.space[65:91] = self.space[97:123] = False
         self._grow(self.SPAN + 1)
 
     def _grow(self, size: int) -> None:
@@ -63,7 +67,7 @@ class WordHasher:
         self.powers = np.cumprod(np.r_[np.uint64(1), np.full(size, base, dtype=np.uint64)])
         self.inverses = np.cumprod(np.r_[np.uint64(1), np.full(size, inverse, dtype=np.uint64)])
 
-    def _part(self, data: np.ndarray) -> np.ndarray:
+    def _part(self, data: np.ndarray, widths: tuple[int, ...] = ()) -> np.ndarray:
         if data.size >= self.powers.size:  # one word longer than SPAN
             self._grow(data.size + 1)
         gap = self.space[data]
@@ -73,13 +77,18 @@ class WordHasher:
             return np.empty(0, dtype=np.uint64)
         total = np.cumsum(self.values[data] * self.powers[:data.size])
         total = np.r_[np.uint64(0), total]
-        return mix64((total[ends] - total[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
-
-    def words(self, data: bytes) -> np.ndarray:
-        """Hashes of the words of one text, in order."""
+        hashes = [mix64((total[ends] - total[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))]
+        for width in widths:
+            longer = ends - starts > width
+            first = starts[longer]
+            hashes.append(mix64((total[first + width] - total[first]) * self.inverses[first] + np.uint64(width << 32)))
+        return np.concatenate(hashes) if widths else hashes[0]
+
+    def words(self, data: bytes, widths: tuple[int, ...] = ()) -> np.ndarray:
+        """Hashes of the words of one text, in order; with ``widths`` also, in any order, of the beginnings of longer words."""
         view = np.frombuffer(data, dtype=np.uint8)
         if view.size <= self.SPAN:
-            return self._part(view)
+            return self._part(view, widths)
         parts, at = [], 0
         while at < view.size:
             end = min(at + self.SPAN, view.size)
@@ -90,6 +99,6 @@ class WordHasher:
                 else:
                     ahead = np.flatnonzero(self.space[view[end:]])
                     end = end + int(ahead[0]) + 1 if ahead.size else view.size
-            parts.append(self._part(view[at:end]))
+            parts.append(self._part(view[at:end], widths))
             at = end
         return np.concatenate(parts)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ann, htmltext, minhash, packing, quality, rules, sharding
+from daybook.llm import ann, htmltext, minhash, packing, quality, rules, sharding, toxicity
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.measured(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op8_rules": op8_rules,
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
                              "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
 ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
