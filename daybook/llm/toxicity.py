@@ -21,7 +21,7 @@ from daybook.llm.common import WordHasher, settle, text_bytes
 TRAIN_ROWS = 20_000  # labelled rows that are learned from at most
 CHOSEN = 4_096  # terms of the machine at most
 SUPPORT = 3  # documents of a class that hold a chosen term at least
-EVIDENCE = 40.0  # least chi-square of a chosen term
+EVIDENCE = 25.0  # least chi-square of a chosen term
 BEGINNINGS = (4, 5, 6)
 FACTORS = 8
 EPOCHS, BATCH, RATE, DECAY = 40, 512, 0.03, 1e-5
