@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ann, htmltext, minhash, packing, quality, rules, sharding, toxicity
+from daybook.llm import ann, htmltext, minhash, packing, pieces, quality, rules, sharding, toxicity
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), digest=True)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -44,7 +48,7 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op2_pieces": op2_pieces, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
                              "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
 ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
 
