@@ -294,8 +294,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed:
     state = histogram.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.col("h.length").alias("lengths"),
                              F.col("h.n").alias("counts"), F.lit(None).cast("array<array<int>>").alias("packings"))
     state = state.withColumn("packings", F.array().cast("array<array<int>>"))
+    tasks = min(blocks * ISLANDS, 4_096)  # an island's work is long against its bytes: tasks are dealt by number, not by size
     for epoch in range(EPOCHS):
-        state = settle(state.groupBy("block", "island").applyInPandas(_island(epoch, capacity, seed), _STATE))
+        state = settle(state.repartition(tasks, "block", "island").groupBy("block", "island").applyInPandas(_island(epoch, capacity, seed), _STATE))
         if epoch < EPOCHS - 1:  # the best of each island also goes to the next one
             state = state.unionByName(state.withColumn("island", (F.col("island") + 1) % ISLANDS)
                                       .withColumn("packings", F.slice("packings", 1, 1)))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ann, htmltext, minhash, packing, pieces, quality, rules, sharding, toxicity
+from daybook.llm import ann, htmltext, licences, minhash, packing, pieces, quality, rules, sharding, toxicity
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.document_licences(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,13 +52,19 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op2_pieces": op2_pieces, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
+QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op2_pieces": op2_pieces, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op6_licences": op6_licences, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
                              "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
-ORACLE: dict[str, str] = {"op8_rules": rules.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op6_licences": licences.ORACLE_SQL, "op8_rules": rules.ORACLE_SQL}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
