@@ -8,12 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from daybook.checks import registry
 
 FOLDER = os.environ.get("DAYBOOK_SF_DIR", "/root/testdata/sf0.001")
 CROSS_SECTION = ("acct_cust", "large_daily_txn", "statement_book", "inactive_accounts", "trial_balance_detail", "loan_sector_yearly",
                  "deposit_listing", "savers_by_gender", "remittance_quarterly", "asset_summary", "assets_compared", "earnings_statement",
                  "record_roundtrip_main", "report_parse_ledger", "cdc_latest", "seal_ledger")
-QUERIES, EXPECTED = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, EXPECTED = registry.queries(), registry.oracle_sql()
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
