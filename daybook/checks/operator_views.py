@@ -10,7 +10,7 @@ from daybook.functions.columns import robust_date
 from daybook.operators.staging import shared_folder
 from daybook.plans import readiness
 from daybook.sources import raw, records
-from daybook.sources.tables import ChangeTable, overwrite_partitions
+from daybook.sources.tables import overwrite_partitions
 from daybook.streaming import cdc
 
 C = F.col
@@ -128,7 +128,7 @@ def _state(bronze: cdc.Bronze) -> DataFrame:
     """Both tables with the sub-value of each record."""
     out = None
     for name in ("table_a", "table_b"):
-        rows = bronze.read(name).join(bronze.children(name).read().select("recid", C("value").alias("sub_value")), "recid", "left")
+        rows = bronze.read(name).join(bronze.children(name).select("recid", C("value").alias("sub_value")), "recid", "left")
         rows = rows.select(F.lit(name).alias("table_name"), "recid", "type", "value", "sub_value")
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -138,13 +138,23 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches applied out of order, one of them twice, with a compaction in between."""
     bronze = cdc.Bronze(spark, scratch(spark))
     source = messages(spark, sf_dir)
-    for version, rest in enumerate((2, 0, 0, 1)):
-        batch = source.filter(C("offset") % 3 == rest)
-        bronze.apply_batch(batch, min(version, 1) if version < 3 else 3, ROUTES, {"EVENT": EVENT_SPEC})
-        if version == 2:
-            for name in ("table_a", "table_b"):
-                bronze.table(name).compact()
-                bronze.children(name).compact()
+    for turn, rest in enumerate((2, 0, 0, 1)):
+        bronze.apply_batch(source.filter(C("offset") % 3 == rest), ROUTES, {"EVENT": EVENT_SPEC})
+        if turn == 2:
+            bronze.compact(["table_a", "table_b"])
+    return _state(bronze)
+
+
+def cdc_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half as one stream, a compaction, the earlier half as a stream with a new checkpoint, then all of it with a third."""
+    folder = scratch(spark)
+    source = messages(spark, sf_dir)
+    middle = table(spark, sf_dir, "events").agg(F.expr("percentile_approx(event_id, 0.5)")).scalar()
+    bronze = cdc.Bronze(spark, f"{folder}/bronze")
+    for turn, part in enumerate((C("offset") > middle, C("offset") <= middle, F.lit(True))):
+        source.filter(part).repartition(2).write.parquet(f"{folder}/in{turn}")
+        stream = spark.readStream.schema("topic string, value binary, offset bigint").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in{turn}")
+        bronze.run(stream, ROUTES, {"EVENT": EVENT_SPEC}, f"{folder}/checkpoint{turn}", every=None, compact_every=2).awaitTermination()
     return _state(bronze)
 
 
@@ -199,8 +209,8 @@ def caught_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     progress, ends, read = _marks(spark, sf_dir)
     topics = ends.select("topic").distinct()
     lags = readiness.lag(ends, read, topics)
-    newest = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
-    return readiness.caught_up(topics.select(C("topic").alias("source_table"), "topic"), progress, lags, str(newest - 1).rjust(20, "0"))
+    newest = table(spark, sf_dir, "events").agg(F.max("event_id")).scalar()
+    return readiness.caught_up(topics.select(C("topic").alias("source_table"), "topic"), progress, lags, F.lpad((newest - 1).cast("string"), 20, "0"))
 
 
 CAUGHT_UP = """
@@ -231,22 +241,6 @@ select year(o_orderdate)::integer as y, count(*) as n, sum(o_totalprice::decimal
 where o_orderstatus = 'F' or year(o_orderdate) < (select max(year(o_orderdate)) from orders) group by 1"""
 
 
-def snapshot_pin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as version 0, filled ones repriced and open ones deleted in version 1; both versions are read."""
-    store = ChangeTable(spark, scratch(spark), ["recid"], ["__lsn"])
-    orders = table(spark, sf_dir, "orders").select(C("o_orderkey").alias("recid"), C("o_totalprice").cast("decimal(18,2)").alias("price"),
-                                                   C("o_orderstatus").alias("status"))
-    store.apply(orders.withColumns({"__op": F.lit("c"), "__lsn": F.lit("1")}), 0)
-    changed = orders.filter(C("status") != "P").withColumn("price", (C("price") + 1).cast("decimal(18,2)"))
-    store.apply(changed.withColumns({"__op": F.when(C("status") == "O", "d").otherwise("u"), "__lsn": F.lit("2")}), 1)
-    return store.read(0).withColumn("version", F.lit(0)).unionByName(store.read().withColumn("version", F.lit(store.latest_version())))
-
-
-SNAPSHOT_PIN = """
-select o_orderkey as recid, o_totalprice::decimal(18,2) as price, o_orderstatus as status, 0 as version from orders
-union all select o_orderkey, (o_totalprice::decimal(18,2) + if(o_orderstatus = 'F', 1, 0))::decimal(18,2), o_orderstatus, 1 from orders where o_orderstatus <> 'O'"""
-
-
 def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", C("o_orderdate").cast("date").alias("day"))
     fresh = raw.newer_than(orders, "day", "1999-01-01")
@@ -358,9 +352,9 @@ OPERATORS = {
     "record_roundtrip_errors": (lambda s, d: _parsed(s, d).errors, ROUNDTRIP_ERRORS),
     "spec_compile": (spec_compile, SPEC_COMPILE),
     "cdc_unwrap": (cdc_unwrap, CDC_UNWRAP), "cdc_latest": (cdc_latest, CDC_LATEST), "cdc_apply": (cdc_apply, CDC_STATE),
-    "cdc_stream_replay": (cdc_stream_replay, CDC_STATE), "progress_max": (progress_max, PROGRESS_MAX),
+    "cdc_stream_replay": (cdc_stream_replay, CDC_STATE), "cdc_restart": (cdc_restart, CDC_STATE), "progress_max": (progress_max, PROGRESS_MAX),
     "topic_lag": (topic_lag, TOPIC_LAG), "caught_up": (caught_up, CAUGHT_UP),
-    "partition_overwrite_idempotent": (partition_overwrite, PARTITION_OVERWRITE), "snapshot_pin": (snapshot_pin, SNAPSHOT_PIN),
+    "partition_overwrite_idempotent": (partition_overwrite, PARTITION_OVERWRITE),
     "incremental_extract": (incremental_extract, INCREMENTAL), "robust_date_parse": (robust_dates, ROBUST_DATES),
     "logical_table_names": (logical_names, LOGICAL_NAMES), "seal_ledger": (seal_ledger, _LEDGER), "all_sealed": (all_sealed, ALL_SEALED),
     "source_set_check": (source_set_check, SOURCE_SET_CHECK), "file_manifest": (file_manifest, FILE_MANIFEST),

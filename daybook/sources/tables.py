@@ -1,135 +1,109 @@
-"""Bronze tables on plain parquet: versioned change tables and day-partitioned pull tables.
+"""Bronze tables: state from changes, children that follow their parent, and the tables' storage.
 
-A change table is a folder of numbered versions. Applying a batch writes only the batch, so the
-cost follows the changes, not the table; a version is visible once Spark has completed it, and
-writing the same version again replaces it, which makes replays harmless. Reading merges the last
-full copy with the versions after it, up to a pinned version if one is given.
+The data work is frame to frame: ``merged`` folds changes into a state, ``children_of`` keeps what came with the winning events.
+Neither depends on how often or in which order changes arrive, so a batch that is applied again, or a stream that starts over with a
+new checkpoint, changes nothing. Storage only has to keep rows; ``ParquetStore`` is one, a table format's own MERGE another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 C = F.col
+ORDER = ("__lsn", "__ts_ms", "__offset")
 
 
-class ChangeTable:
-    """Current state per key, addressable by version.
+def newest(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+    """The row with the greatest order per key; the values themselves end the order. Missing order columns count as null."""
+    rest = [c for c in rows.columns if c not in keys]
+    at = F.struct(*[(C(c) if c in rows.columns else F.lit(None)).alias(c) for c in order])
+    best = rows.groupBy(*keys).agg(F.max(F.struct(at.alias("o"), F.struct(*rest).alias("v"))).alias("b"))
+    return best.select(*keys, "b.v.*").select(*rows.columns)
 
-    Rows carry ``__op`` ('d' marks a delete) and the order columns, by default log position, event
-    time and offset. The greatest order wins whatever version it arrived in, and deletes are kept,
-    so an old event that arrives late neither overwrites newer state nor revives a deleted key.
+
+def merged(state: DataFrame | None, changes: DataFrame | None, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+    """State after the changes: the greatest order wins whatever came first, deletes stay as marked rows.
+
+    Only rows of touched keys are compared; the others pass through.
     """
+    if changes is None:
+        return state
+    if state is None:
+        return newest(changes, keys, order)
+    touched = changes.select(*keys).distinct()
+    contested = state.join(touched, list(keys), "left_semi").unionByName(changes, allowMissingColumns=True)
+    return state.join(touched, list(keys), "left_anti").unionByName(newest(contested, keys, order), allowMissingColumns=True)
+
+
+def living(state: DataFrame) -> DataFrame:
+    """State without deleted keys; ``__op`` 'd' marks a delete."""
+    return state.filter(~C("__op").eqNullSafe("d"))
+
+
+def children_of(children: DataFrame, state: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+    """The children that came with the winning event of their key; a key whose new state has none, or that was deleted, has none."""
+    owner = living(state).select(*[C(c).alias(f"_{c}") for c in (*keys, *order)])
+    same = None
+    for c in (*keys, *order):
+        equal = C(c) == C(f"_{c}") if c in keys else C(c).eqNullSafe(C(f"_{c}"))
+        same = equal if same is None else same & equal
+    return children.join(owner, same, "left_semi").distinct()  # a batch applied twice stored them twice
+
+
+class Store(Protocol):
+    """Where rows are kept. ``read`` gives the last full copy and the rows appended since; None where there are none."""
+
+    def read(self, name: str) -> tuple[DataFrame | None, DataFrame | None]: ...
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str] = ("recid",),
-                 order: Sequence[str] = ("__lsn", "__ts_ms", "__offset")):
-        self.spark, self.path, self.keys, self.order = spark, path.rstrip("/"), list(keys), list(order)
-
-    def _done(self, kind: str) -> list[int]:
-        """Completed versions, oldest first."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(f"{self.path}/{kind}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        return sorted(int(n.removeprefix("v")) for n in names
-                      if n.startswith("v") and fs.exists(hadoop.Path(f"{self.path}/{kind}/{n}/_SUCCESS")))
-
-    def _load(self, kind: str, versions: Sequence[int]) -> DataFrame:
-        """Rows of the given versions; columns added over time are null in older ones."""
-        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/{kind}/v{v}" for v in versions])
-
-    def versions(self) -> list[int]:
-        return sorted({*self._done("base"), *self._done("changes")})
-
-    def exists(self) -> bool:
-        return bool(self.versions())
-
-    def latest_version(self) -> int | None:
-        done = self.versions()
-        return done[-1] if done else None
-
-    def apply(self, changes: DataFrame, version: int) -> int:
-        """Write one batch as ``version``; returns its row count."""
-        seen = Observation()
-        stamped = changes.withColumn("__version", F.lit(version))
-        stamped.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.path}/changes/v{version}")
-        return seen.get["n"]
-
-    def _merged(self, version: int | None) -> DataFrame:
-        """Winning row per key, deletes included."""
-        upto = self.latest_version() if version is None else version
-        if upto is None:
-            raise ValueError(f"{self.path} holds no version")
-        base = [v for v in self._done("base") if v <= upto][-1:]
-        news = [v for v in self._done("changes") if v <= upto and (not base or v > base[0])]
-        if not base and not news:
-            raise ValueError(f"{self.path} holds no version up to {upto}")
-        if not news:
-            return self._load("base", base)
-        changes = self._load("changes", news)
-        if not base:
-            return self._newest(changes)
-        full = self._load("base", base)
-        touched = changes.select(*self.keys).distinct()
-        contested = full.join(touched, self.keys, "left_semi").unionByName(changes, allowMissingColumns=True)
-        return full.join(touched, self.keys, "left_anti").unionByName(self._newest(contested), allowMissingColumns=True)
-
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        order = [C(c) if c in rows.columns else F.lit(None) for c in (*self.order, "__version")]
-        rest = [c for c in rows.columns if c not in self.keys]
-        picked = F.struct(F.struct(*order).alias("o"), F.struct(*rest).alias("v"))
-        return rows.groupBy(*self.keys).agg(F.max(picked).alias("b")).select(*self.keys, "b.v.*").select(*rows.columns)
-
-    def read(self, version: int | None = None, internal: bool = False) -> DataFrame:
-        """State at a version (the latest by default), without deleted keys."""
-        rows = self._merged(version).filter(~C("__op").eqNullSafe("d"))
-        return rows if internal else rows.drop("__op", "__version", *self.order)
-
-    def compact(self) -> int:
-        """Write the merged state as a full copy, so that later reads start from it."""
-        version = self.latest_version()
-        if version is None or version in self._done("base"):
-            return version
-        self._merged(version).write.mode("overwrite").parquet(f"{self.path}/base/v{version}")
-        return version
-
-
-class ChildTable:
-    """Rows that belong to a key of a change table and are replaced together.
-
-    Each version stores the children that came with its events. The children of a key are those that
-    came with its winning event, so a key whose new state has no children, or that was deleted, has
-    none, and an old event arriving late does not bring old children back.
+    def append(self, name: str, rows: DataFrame) -> None: ...
+
+    def replace(self, name: str, rows: DataFrame) -> None: ...
+
+
+class ParquetStore:
+    """Tables as parquet below a folder that all executors share, for one writer per table.
+
+    Appended rows belong to the generation that is current; ``replace`` writes a full copy as the next generation and then
+    makes it current with one small mark, so a copy that was cut short is never read. Older generations stay for readers that
+    planned on them and can be removed by age.
     """
 
-    def __init__(self, parent: ChangeTable, path: str):
-        self.parent = parent
-        self.rows = ChangeTable(parent.spark, path, parent.keys)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _frame(self, path: str) -> DataFrame | None:
+        try:
+            return self.spark.read.option("mergeSchema", True).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
 
-    def apply(self, children: DataFrame, version: int) -> None:
-        """Write the children of one batch; they count once the parent's version is complete."""
-        self.rows.apply(children, version)
+    def _generation(self, name: str) -> int:
+        marks = self._frame(f"{self.root}/{name}/marks")
+        return 0 if marks is None else marks.agg(F.max("generation")).first()[0]
 
-    def read(self, version: int | None = None) -> DataFrame:
-        base = [v for v in self.rows._done("base") if version is None or v <= version][-1:]
-        news = [v for v in self.rows._done("changes") if (version is None or v <= version) and (not base or v > base[0])]
-        parts = [self.rows._load(kind, found) for kind, found in (("base", base), ("changes", news)) if found]
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-        owner = self.parent.read(version, internal=True).select(*self.parent.keys, "__version")
-        return rows.join(owner, [*self.parent.keys, "__version"], "left_semi")
+    def read(self, name: str) -> tuple[DataFrame | None, DataFrame | None]:
+        rows = self._frame(f"{self.root}/{name}/rows")
+        if rows is None:
+            return None, None
+        current = self._generation(name)
+        rows = rows.filter(C("generation") == current)
+        full = rows.filter("full_copy = 1").drop("generation", "full_copy") if current else None
+        return full, rows.filter("full_copy = 0").drop("generation", "full_copy")
 
-    def exists(self) -> bool:
-        return self.rows.exists()
+    def append(self, name: str, rows: DataFrame) -> None:
+        rows.withColumns({"generation": F.lit(self._generation(name)), "full_copy": F.lit(0)}).write.mode("append") \
+            .partitionBy("generation", "full_copy").parquet(f"{self.root}/{name}/rows")
 
-    def compact(self) -> None:
-        """Write the current children as a full copy."""
-        version = self.rows.latest_version()
-        if version is not None and version not in self.rows._done("base"):
-            self.read(version).write.mode("overwrite").parquet(f"{self.rows.path}/base/v{version}")
+    def replace(self, name: str, rows: DataFrame) -> None:
+        following = self._generation(name) + 1
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/rows/generation={following}/full_copy=1")
+        self.spark.range(1).select(F.lit(following).alias("generation")).write.mode("append").parquet(f"{self.root}/{name}/marks")
 
 
 def align(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -150,13 +124,40 @@ def write_day(df: DataFrame, path: str, day: str, column: str = "business_date")
     return overwrite_partitions(df.withColumn(column, F.lit(day).cast("date")), path, [column])
 
 
-def write_report(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Store a report; the load time is stamped here so that the report itself stays reproducible."""
-    stamped = df.withColumn("updated_at", F.current_timestamp())
-    if partition:
-        overwrite_partitions(stamped, path, [partition])
+def merge_report(old: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A stored report after a load: rows whose key the load has are replaced, all others stay. Keys compare with nulls equal."""
+    if old is None:
+        return new
+    given = new.select(*[C(k).alias(f"_{k}") for k in keys]).distinct()
+    same = None
+    for k in keys:
+        equal = C(k).eqNullSafe(C(f"_{k}"))
+        same = equal if same is None else same & equal
+    return old.join(given, same, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def write_report(store: Store, name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Store a report by key and return all that is stored, which is the history the next load compares itself with.
+
+    A second load replaces the rows of its own keys only. The load time is stamped here, so that the report itself stays reproducible.
+    """
+    full, _ = store.read(name)
+    store.replace(name, merge_report(full, df.withColumn("updated_at", F.current_timestamp()), keys))
+    return store.read(name)[0]
+
+
+def save_partitions(df: DataFrame, name: str, columns: Sequence[str]) -> None:
+    """Catalog table by partition: created if absent, else exactly the partitions present in ``df`` are replaced."""
+    if df.sparkSession.catalog.tableExists(name):
+        mode, conf = "spark.sql.sources.partitionOverwriteMode", df.sparkSession.conf  # inserts into tables know no such option
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+        finally:
+            conf.set(mode, before)
     else:
-        stamped.write.mode("overwrite").parquet(path)
+        df.write.partitionBy(*columns).saveAsTable(name)
 
 
 def save_table(df: DataFrame, name: str) -> None:

@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("daybook-tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "4g")
+               .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.sources import raw
-from daybook.sources.tables import ChangeTable, align, merge_rows, write_day, write_report
+from daybook.sources.tables import (ParquetStore, align, children_of, living, merge_rows, merged, save_partitions, write_day,
+                                    write_report)
 
 C = F.col
 
@@ -88,35 +89,80 @@ def changes(spark, rows):
     return spark.createDataFrame(rows, "recid string, v string, __op string, __lsn string")
 
 
-def test_change_table_orders_by_log_position(spark, tmp_path):
-    table = ChangeTable(spark, str(tmp_path / "t"), order=["__lsn"])
-    assert not table.exists()
-    table.apply(changes(spark, [("a", "1", "c", "01"), ("b", "1", "c", "02")]), 0)
-    table.apply(changes(spark, [("a", None, "d", "05"), ("b", "2", "u", "06")]), 1)
-    table.apply(changes(spark, [("a", "late", "u", "03"), ("b", "late", "u", "04"), ("c", "1", "c", "07")]), 2)
-    want = [("b", "2"), ("c", "1")]
-    assert sorted(map(tuple, table.read().collect())) == want
-    assert sorted(map(tuple, table.read(0).collect())) == [("a", "1"), ("b", "1")]
-    table.compact()
-    assert sorted(map(tuple, table.read().collect())) == want
-    table.apply(changes(spark, [("a", "still late", "u", "04"), ("c", "2", "u", "08")]), 3)  # the delete outlives the compaction
-    assert sorted(map(tuple, table.read().collect())) == [("b", "2"), ("c", "2")]
-    assert table.latest_version() == 3 and sorted(map(tuple, table.read(2).collect())) == want
+def state_of(*frames, order=("__lsn",)):
+    """Changes folded in one after the other."""
+    state = None
+    for df in frames:
+        state = merged(state, df, ["recid"], order)
+    return state
 
 
-def test_unfinished_version_is_invisible(spark, tmp_path):
-    table = ChangeTable(spark, str(tmp_path / "t"), order=["__lsn"])
-    table.apply(changes(spark, [("a", "1", "c", "01")]), 0)
-    table.apply(changes(spark, [("a", "2", "c", "02")]), 1)
-    (tmp_path / "t" / "changes" / "v1" / "_SUCCESS").unlink()
-    assert table.read().collect() == [("a", "1")]
+def values(df):
+    return sorted((r.recid, r.v) for r in living(df).collect())
 
 
-def test_new_columns_appear(spark, tmp_path):
-    table = ChangeTable(spark, str(tmp_path / "t"), order=["__lsn"])
-    table.apply(changes(spark, [("a", "1", "c", "01")]), 0)
-    table.apply(changes(spark, [("b", "1", "c", "02")]).withColumn("extra", F.lit("x")), 1)
-    assert sorted((r.recid, r.extra) for r in table.read().collect()) == [("a", None), ("b", "x")]
+def test_state_follows_the_log_position(spark):
+    first = changes(spark, [("a", "1", "c", "01"), ("b", "1", "c", "02")])
+    second = changes(spark, [("a", None, "d", "05"), ("b", "2", "u", "06")])
+    late = changes(spark, [("a", "late", "u", "03"), ("b", "late", "u", "04"), ("c", "1", "c", "07")])
+    assert values(state_of(first, second, late)) == values(state_of(late, second, second, first)) == [("b", "2"), ("c", "1")]
+    after = changes(spark, [("a", "still late", "u", "04"), ("c", "2", "u", "08")])  # the delete stays in the state
+    assert values(state_of(first, second, late, after)) == [("b", "2"), ("c", "2")]
+    assert merged(first, None, ["recid"], ["__lsn"]) is first
+
+
+def test_children_follow_the_winning_event(spark):
+    rows = spark.createDataFrame([("a", "x", "01"), ("a", "y", "02"), ("a", "y", "02"), ("b", "z", "01"), ("n", "w", None)], "recid string, c string, __lsn string")
+    state = changes(spark, [("a", "2", "u", "02"), ("b", None, "d", "01"), ("n", "1", "c", None)])
+    got = children_of(rows, state, ["recid"], ["__lsn"])
+    assert sorted((r.recid, r.c) for r in got.collect()) == [("a", "y"), ("n", "w")]
+
+
+def test_store_keeps_rows_over_copies(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+    assert store.read("t") == (None, None)
+    store.append("t", changes(spark, [("a", "1", "c", "01")]))
+    store.append("t", changes(spark, [("b", "1", "c", "02")]).withColumn("extra", F.lit("x")))
+    full, news = store.read("t")
+    assert full is None and sorted((r.recid, r.extra) for r in news.collect()) == [("a", None), ("b", "x")]
+    store.replace("t", merged(full, news, ["recid"], ["__lsn"]))
+    store.append("t", changes(spark, [("a", "2", "u", "03")]))
+    full, news = store.read("t")
+    assert full.count() == 2 and values(merged(full, news, ["recid"], ["__lsn"])) == [("a", "2"), ("b", "1")]
+
+
+def test_unfinished_copy_is_never_read(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+    store.append("t", changes(spark, [("a", "1", "c", "01")]))
+    changes(spark, [("half", "1", "c", "01")]).write.parquet(str(tmp_path / "t" / "rows" / "generation=1" / "full_copy=1"))  # its mark is missing
+    full, news = store.read("t")
+    assert full is None and [r.recid for r in news.collect()] == ["a"]
+    store.replace("t", merged(full, news, ["recid"], ["__lsn"]))
+    assert [r.recid for r in store.read("t")[0].collect()] == ["a"]
+
+
+def test_report_is_stored_by_key(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+
+    def load(rows):
+        return spark.createDataFrame(rows, "day string, branch string, n int")
+
+    write_report(store, "rep", load([("2026-05-31", "A", 1), ("2026-05-31", None, 2)]), ["day", "branch"])
+    write_report(store, "rep", load([("2026-06-30", "A", 3)]), ["day", "branch"])  # the first load stays
+    kept = write_report(store, "rep", load([("2026-05-31", None, 9)]), ["day", "branch"])
+    assert sorted(((r.day, r.branch, r.n) for r in kept.collect()), key=repr) == sorted(
+        [("2026-05-31", "A", 1), ("2026-05-31", None, 9), ("2026-06-30", "A", 3)], key=repr)
+    assert "updated_at" in kept.columns
+
+
+def test_partitioned_catalog_table_is_created_if_absent(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, p string")
+    spark.sql("drop table if exists part_report")
+    for _ in range(2):
+        save_partitions(rows, "part_report", ["p"])
+    save_partitions(spark.createDataFrame([(5, "b")], "n int, p string"), "part_report", ["p"])
+    assert sorted((r.n, r.p) for r in spark.table("part_report").collect()) == [(1, "a"), (5, "b")]
+    spark.sql("drop table part_report")
 
 
 def test_day_partition_is_replaced(spark, tmp_path):
@@ -129,8 +175,6 @@ def test_day_partition_is_replaced(spark, tmp_path):
     assert got == {"2026-01-01": 5, "2026-01-02": 2}
     plan = spark.read.parquet(path).filter("business_date = date'2026-01-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(business_date" in plan
-    write_report(df, str(tmp_path / "rep"))
-    assert "updated_at" in spark.read.parquet(str(tmp_path / "rep")).columns
 
 
 def test_align_and_merge(spark):
