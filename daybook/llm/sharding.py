@@ -19,6 +19,7 @@ from daybook.operators.staging import shared_folder
 
 SHARDS = 24
 BUCKET_BYTES = 16 << 20
+BROADCAST_BUCKETS = 500_000  # rows of three numbers
 ROW_BYTES = 8  # counted for a row besides its text
 SEED = 90210
 
@@ -70,6 +71,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     sizes = written.groupBy("_shard", "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    if shards * buckets <= BROADCAST_BUCKETS:  # a row per bucket; beyond that Spark joins as it sees fit
+        starts = F.broadcast(starts)
     return written.join(starts, ["_shard", "_bucket"]).select(
         *docs.columns, F.col("_shard").alias("shard"), (F.col("_start") + F.col("_row")).alias("slot"))
 
