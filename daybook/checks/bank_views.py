@@ -145,7 +145,7 @@ VIEWS: dict[str, str] = {
       {{arr}}('GEN') as calc_prov_type, case when o_orderstatus <> 'P' then {{arr}}(cast(o_totalprice as decimal(18,2))) end as calc_base_amt,
       concat('TL001', lpad(cast(o_custkey % 15 + 1 as string), 4, '0')) as co_code, case when {_LOAN} then 'LENDING' else 'DEPOSITS' end as product_line
       from orders""",
-    "aa_arrangement": f"""select {_ARR} as recid, {{arr}}(cast(o_custkey as string)) as customer, {{arr}}('OWNER') as customer_role,
+    "aa_arrangement": f"""select {_ARR} as recid, {{arr}}(cast(o_custkey as string)) as customer, {{arr}}(case o_custkey % 3 when 0 then 'OWNER' when 1 then 'ASIA' else 'UNKNOWN' end) as customer_role,
       {{arr}}({KEY14.format('o_orderkey')}) as linked_appl_id,
       case o_custkey % 6 when 0 then 'AUTH' when 1 then 'CURRENT' when 2 then 'EXPIRED' when 3 then 'CLOSE' when 4 then 'PENDING.CLOSURE' else 'SUSPENDED' end as arr_status,
       concat('P', cast(o_custkey % 25 as string)) as product_group, case when {_LOAN} then 'LENDING' else 'DEPOSITS' end as product_line,

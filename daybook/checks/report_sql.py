@@ -213,8 +213,10 @@ union all select 'TOTAL', sum(c)::bigint, sum(v)::double, sum(f)::double from m"
 BY_SECTOR = f"""
 select s.recid as sector_code, s.description as sector_name, sum(d.local_ccy_amt)::decimal(28,2) as total_deposit_local, count(distinct d.account_number) as n_accounts,
   count(distinct c.recid) as n_customers, {D} as business_date
-from b_crb_deposits d join b_account a on a.recid = d.account_number join b_customer c on c.recid = a.customer join b_sector s on s.recid = c.sector
-where d.load_date = {D} and s.business_date = {D} group by 1, 2"""
+from b_crb_deposits d join b_account a on a.recid = d.account_number
+join (select * from b_customer qualify row_number() over (partition by recid order by curr_no desc) = 1) c on c.recid = a.customer
+join (select * from b_sector where business_date = {D} qualify row_number() over (partition by recid order by curr_no desc) = 1) s on s.recid = c.sector
+where d.load_date = {D} group by 1, 2"""
 
 BATCH = f"select recid, last_run_date, job_status, '{DAY}' as business_date, '7' as pinned_snapshot from b_batch where contains(recid, 'EXTRACT')"
 

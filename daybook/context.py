@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,18 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.functions.columns import as_date
 from daybook.operators.staging import materialise
 
-# Marts that several steps of one chain read: they are computed once per run.
-SHARED = frozenset((
-    "trial_balance_detail", "loan_risk", "large_daily_txn", "loan_counts", "deposit_counts", "assets_report",
-    "liabilities_report", "expense_report", "position_leaves", "earnings_leaves", "assets_compared", "liabilities_compared"))
-
 
 @dataclass
 class Context:
     """Access to sealed inputs.
 
     ``read(name, version)`` returns a table, at a pinned version when one is given. ``marts`` holds
-    marts that are already stored; a mart that is not there is built when a report asks for it.
+    marts that are already stored; a mart that is not there is planned when a report asks for it, which starts no job, so that
+    only the columns the report needs are computed. ``stage`` names marts that several reports of one run read: those are written
+    once. ``hot`` tells that some account, branch or file has more rows than one task should take.
     """
 
     spark: SparkSession
@@ -32,6 +29,8 @@ class Context:
     report_year: int | None = None
     marts: dict[str, DataFrame] = field(default_factory=dict)
     history: Mapping[str, DataFrame] = field(default_factory=dict)
+    stage: Collection[str] = ()
+    hot: bool = False
 
     @classmethod
     def of_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame], business_date: str, **more) -> Context:
@@ -63,5 +62,5 @@ class Context:
             from daybook.plans import MARTS
 
             built = MARTS[name](self)
-            self.marts[name] = materialise(built) if name in SHARED else built
+            self.marts[name] = materialise(built) if name in self.stage else built
         return self.marts[name]

@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from daybook.operators.staging import materialise
 
-HOT_ROWS = 2_000_000
-
 
 def latest(df: DataFrame, keys: Sequence[Column], order: Sequence[Column], cols: Mapping[str, Column],
            key_names: Sequence[str] = ("key",)) -> DataFrame:
@@ -59,16 +57,11 @@ def with_rows(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> Dat
     return df.select("*", F.expr(f"inline(array({cells}))"))
 
 
-def has_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Does some key have more than ``hot_rows`` rows? Reads the key columns only and combines before the shuffle."""
-    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).isEmpty()
-
-
-def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], hot: bool) -> DataFrame:
+def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], hot: bool = False) -> DataFrame:
     """Aggregates of a key on each of its rows.
 
-    Without hot keys a window shares the partitioning of other windows over the same keys; with them
-    the aggregates are combined before the shuffle and joined back.
+    A window shares the partitioning of other windows over the same keys. With ``hot`` (some key has more rows than a task should
+    take) the aggregates are combined before the shuffle and joined back.
     """
     if not hot:
         whole = Window.partitionBy(*keys)
@@ -79,16 +72,14 @@ def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column],
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot: bool = False) -> DataFrame:
     """Running total per key in ``order``, which must be unique inside a key.
 
-    A plain window puts a whole key into one task. When some key has more than ``hot_rows`` rows,
-    rows are range-partitioned on (key, order) instead, so a hot key spans many tasks; each slice
-    is summed on its own and receives the total of the slices before it. Pass ``hot`` when it is
-    known (see ``has_hot``).
+    A plain window puts a whole key into one task. With ``hot`` rows are range-partitioned on (key, order) instead, so a hot key
+    spans many tasks; each slice is summed on its own and receives the total of the slices before it.
     """
     whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if not (has_hot(df, keys, hot_rows) if hot is None else hot):
+    if not hot:
         return df.withColumn(out, F.sum(value).over(whole))
     sliced = materialise(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
     totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_t"))
@@ -105,20 +96,19 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     return local.join(carried, same, "left").select(*df.columns, total.cast(kind).alias(out))
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot: bool | None = None,
-             hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Row number per key; groups too big for one task are numbered in chunks."""
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot: bool = False) -> DataFrame:
+    """Row number per key; with ``hot`` keys too big for one task are numbered in slices."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return (running_sum(one, keys, order, "_one", out, hot, hot_rows)
+    return (running_sum(one, keys, order, "_one", out, hot)
             .withColumn(out, F.col(out).cast("int")).drop("_one"))
 
 
 def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, backward: bool = False,
-          hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+          hot: bool = False) -> DataFrame:
     """Last non-null ``col`` up to each row, or with ``backward`` the next one from it on.
 
-    Keys with more than ``hot_rows`` rows are cut into range slices; a row without a value in its
-    own slice takes the nearest one of the slices before (or after) it.
+    With ``hot`` keys are cut into range slices; a row without a value in its own slice takes the nearest one of the slices
+    before (or after) it.
     """
     # walking backward is a descending order: a frame that looks ahead would be recomputed per row
     along = F.col(seq).desc() if backward else F.col(seq).asc()
@@ -126,7 +116,7 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
     def fill(w, c):
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
-    if not (has_hot(df, keys, hot_rows) if hot is None else hot):
+    if not hot:
         return df.withColumn(out, fill(Window.partitionBy(*keys).orderBy(along), col))
     sliced = materialise(df.repartitionByRange(*keys, seq).withColumn("_slice", F.spark_partition_id()))
     named = F.when(F.col(col).isNotNull(), F.struct(F.col(seq), F.col(col).alias("v")))
@@ -142,9 +132,9 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
 
 
 def parent_below(df: DataFrame, keys: Sequence[str], seq: str, header: str, out: str,
-                 hot: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 hot: bool = False) -> DataFrame:
     """Give each row the nearest header at or after it inside its file."""
-    return carry(df, keys, seq, header, out, backward=True, hot=hot, hot_rows=hot_rows)
+    return carry(df, keys, seq, header, out, backward=True, hot=hot)
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
@@ -175,9 +165,9 @@ def with_totals(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, str], m
 
 
 def listing(df: DataFrame, keys: Sequence[str], order: str, sums: Mapping[str, str], account: str = "account_no",
-            also: Sequence[str] = ()) -> DataFrame:
+            also: Sequence[str] = (), hot: bool = False) -> DataFrame:
     """DATA rows numbered inside their group plus one TOTAL row per group."""
-    rows = numbered(df.withColumn("row_type", F.lit("DATA")), keys, [order], "row_no")
+    rows = numbered(df.withColumn("row_type", F.lit("DATA")), keys, [order], "row_no", hot)
     return with_totals(rows, keys, sums, {account: "TOTAL", "row_type": "TOTAL"}, also)
 
 
@@ -200,11 +190,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[Colu
     return left.join(right, reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in pairs]), how)
 
 
-def full_merge(left: DataFrame, right: DataFrame, keys: Sequence[str], fills: Mapping[str, object]) -> DataFrame:
-    """Full outer join on ``keys`` with fill values."""
-    return left.join(right, list(keys), "full").fillna(dict(fills))
-
-
 def range_subtotals(leaves: DataFrame, keys: Sequence[str], order: str, amount: str,
                     spec: Mapping[int, Column]) -> DataFrame:
     """Subtotal rows from leaf rows in one pass.

@@ -8,7 +8,7 @@ from daybook import specs
 from daybook.context import Context
 from daybook.functions.columns import (MONEY, age_at, as_date, blank_null, bucket, compact_date, first_text, iso, k,
                                        lookup, money, null_of, surrogate_key)
-from daybook.operators.frames import constants, global_row_number, listing, pivot_sums, with_totals
+from daybook.operators.frames import constants, global_row_number, latest, listing, pivot_sums, with_totals
 
 C = F.col
 AGE_EDGES = ((5, "0-5"), (10, "6-10"), (14, "11-14"))
@@ -29,7 +29,7 @@ def closed_account_listing(ctx: Context) -> DataFrame:
         k("customer").alias("customer_id"), blank_null("acct_title").alias("cust_name"),
         null_of("string").alias("id_doc_type"), null_of("string").alias("id_doc_no"),
         F.lit(1).cast(MONEY).alias("row_count"))
-    return listing(rows, ["closure_date", "branch_no"], "account_no", {"row_count": MONEY})
+    return listing(rows, ["closure_date", "branch_no"], "account_no", {"row_count": MONEY}, hot=ctx.hot)
 
 
 def opened_account_listing(ctx: Context) -> DataFrame:
@@ -57,7 +57,7 @@ def deposit_listing(ctx: Context) -> DataFrame:
         lookup(code, specs.DEPOSIT_PRODUCTS, "Unknown").alias("prod_name"), C("customer_no").alias("customer_id"),
         C("short_name").alias("cust_name"), iso("opening_date").alias("opening_date"),
         null_of("string").alias("maturity_date"), iso("date_of_birth").alias("dob"), money("balance").alias("acct_bal"))
-    return listing(rows, ["process_date", "company_branch"], "account_no", {"acct_bal": MONEY})
+    return listing(rows, ["process_date", "company_branch"], "account_no", {"acct_bal": MONEY}, hot=ctx.hot)
 
 
 def _futuru(ctx: Context) -> DataFrame:
@@ -225,8 +225,8 @@ def deposits_by_sector(ctx: Context) -> DataFrame:
     """Deposits by customer sector across the three kinds of feeds."""
     deposit = ctx.read("crb_deposits", None).filter(C("load_date") == ctx.day).select("account_number", money("local_ccy_amt").alias("amt"))
     account = ctx.dim("account").select(C("recid").alias("account_number"), C("customer").alias("customer_id"))
-    customer = ctx.dim("customer").select(C("recid").alias("customer_id"), C("sector").alias("sector_code"))
-    sector = ctx.pull("sector").select(C("recid").alias("sector_code"), C("description").alias("sector_name"))
+    customer = latest(ctx.dim("customer"), [C("recid")], [C("curr_no")], {"sector_code": C("sector")}, ["customer_id"])
+    sector = latest(ctx.pull("sector"), [C("recid")], [C("curr_no")], {"sector_name": C("description")}, ["sector_code"])
     joined = deposit.join(account, "account_number").join(customer, "customer_id").join(sector, "sector_code")
     return joined.groupBy("sector_code", "sector_name").agg(
         F.sum("amt").cast("decimal(28,2)").alias("total_deposit_local"), F.countDistinct("account_number").alias("n_accounts"),

@@ -11,8 +11,7 @@ from daybook.context import Context
 from daybook.functions.columns import (as_date, blank_null, company_of_branch, compact_date,
                                        currency_amount, dr_cr, first_text, item, k, later, lookup, money,
                                        name_concat, null_of, num_or_null, padded_account, part)
-from daybook.operators.frames import earliest, group_stats, has_hot, latest, parent_below, running_sum
-from daybook.operators.staging import materialise
+from daybook.operators.frames import earliest, group_stats, latest, parent_below, running_sum
 
 C = F.col
 
@@ -25,8 +24,16 @@ def _newest(df: DataFrame, prefix: str, order: Sequence[Column] | None = None, k
     return latest(df.filter(key.isNotNull()), [key], order, cols, [f"{prefix}_key"])
 
 
-def _enrich(df: DataFrame, dim: DataFrame, prefix: str, on: Column) -> DataFrame:
-    return df.join(dim, on == C(f"{prefix}_key"), "left").drop(f"{prefix}_key")
+NULL_SALTS = 256
+
+
+def _enrich(df: DataFrame, dim: DataFrame, prefix: str, on: Column, sparse: bool = False) -> DataFrame:
+    """Columns of a dimension for each row. With ``sparse`` many rows have no key: those are spread over keys that match nothing,
+    since nulls would all meet in one task."""
+    if not sparse:
+        return df.join(dim, on == C(f"{prefix}_key"), "left").drop(f"{prefix}_key")
+    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)).cast("string"))
+    return df.withColumn("_on", F.coalesce(on, nowhere)).join(dim, C("_on") == C(f"{prefix}_key"), "left").drop("_on", f"{prefix}_key")
 
 
 
@@ -217,7 +224,7 @@ def lending_arrangements(ctx: Context) -> DataFrame:
         out = _enrich(out, dim, prefix, C("arr_id"))
     out = _enrich(out, customer, "c", C("customer"))
     out = _enrich(out, loan_app, "l", C("loan_appl_id"))
-    out = _enrich(out, dl_app, "q", F.nullif(C("dl_appl_id"), F.lit("")))
+    out = _enrich(out, dl_app, "q", F.nullif(C("dl_appl_id"), F.lit("")), sparse=True)
     out = _enrich(out, group, "g", C("group_id"))
     out = _enrich(out, role, "r", C("role_code"))
     out = _enrich(out, product, "u", C("product_code"))
@@ -383,7 +390,7 @@ def large_daily_txn(ctx: Context) -> DataFrame:
     out = _enrich(out, customer, "c", C("customer_no"))
     out = _enrich(out, txn, "n", C("txn_code"))
     bare_ref = k(F.split_part(F.split_part("trans_ref", F.lit(";"), F.lit(1)), F.lit("\\"), F.lit(1)))
-    out = _enrich(out, teller, "w", F.when(C("system") == "TT", bare_ref))
+    out = _enrich(out, teller, "w", F.when(C("system") == "TT", bare_ref), sparse=True)
     out = _enrich(out, _documents(ctx, "d"), "d", F.concat(F.lit(specs.LEGAL_DOC_LOOKUP), C("doc_code")))
     out = _enrich(_enrich(out, gic, "g", C("doc_code")), company, "o", C("company_code"))
     blank_entry = F.coalesce(C("entry_text"), F.lit("")) == ""
@@ -476,7 +483,7 @@ def written_off_loans(ctx: Context) -> DataFrame:
     for dim, prefix in ((arr, "a"), (account, "n"), (party, "p"), (adjust, "b"), (process, "r"), (activity, "h")):
         out = _enrich(out, dim, prefix, C("arrangement_id"))
     out = _enrich(_enrich(out, customer, "c", C("cust_id")), product, "u", C("product_id"))
-    out = _enrich(_enrich(out, group, "g", C("group_id")), image, "i", F.lpad("reference", 14, "0"))
+    out = _enrich(_enrich(out, group, "g", C("group_id")), image, "i", F.lpad("reference", 14, "0"), sparse=True)
     account_id = F.coalesce("reference", "arrangement_id")
     money_gap, gap = null_of("decimal(18,2)"), null_of("string")
     started = F.trim("wof_activity_date")
@@ -504,10 +511,9 @@ def account_statement(ctx: Context) -> DataFrame:
         k("account_number").alias("account_number"), k("recid").alias("stmt_entry_id"), *cols)
     netted = _netted(ctx, cols).withColumnsRenamed({"parent_account": "account_number", "detail_key": "stmt_entry_id"}) \
         .drop("parent_id", "x_id", "x_detail")
-    entries = materialise(plain.unionByName(netted))
-    hot = has_hot(entries, ["account_number"])
-    entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run", hot)
-    entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, hot)
+    entries = plain.unionByName(netted)
+    entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run", ctx.hot)
+    entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, ctx.hot)
     opening = _newest(ctx.dim("account_statement"), "b", bfwd_balance=money("fqu1_last_balance"))
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("currency").alias("acct_ccy"), k(item("short_title")).alias("account_short_title"),
@@ -553,13 +559,12 @@ def statement_book(ctx: Context) -> DataFrame:
     priced = _enrich(entry, account.withColumn("has_account", F.lit(True)), "a", C("account"))
     home = F.substring("comp_ccy", 1, 3) == F.substring("ccy", 1, 3)
     priced = priced.withColumn("amount", F.when(home, C("lcy")).otherwise(C("fcy")))
-    hot = has_hot(entry, ["account"])
-    priced = running_sum(priced, ["account"], ["post_date", "entry_id"], "amount", "running_balance", hot)
+    priced = running_sum(priced, ["account"], ["post_date", "entry_id"], "amount", "running_balance", ctx.hot)
     debit, credit, _ = dr_cr(C("amount"), zero=False)
     priced = group_stats(priced, ["account"], {
         "total_dr_amt": F.sum(debit), "total_cr_amt": F.sum(credit),
         "dr_txn_count": F.count(F.when(C("amount") < 0, 1)), "cr_txn_count": F.count(F.when(C("amount") > 0, 1)),
-        "balance_at_period_end": F.sum("amount")}, hot)
+        "balance_at_period_end": F.sum("amount")}, ctx.hot)
     category = _newest(ctx.dim("category"), "g", category_name=k(item("short_name")))
     customer = _newest(ctx.dim("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
                        town=k("suburb_town"), city=k("city_municipal"), province=k("province_state"))
@@ -574,13 +579,13 @@ def statement_book(ctx: Context) -> DataFrame:
     owner = _newest(ctx.dim("mnemonic_company"), "m", [k("recid")], mnemonic_company_ref=k("company"))
     purge = ctx.dim("archive").filter(k("recid") == "STATEMENT").agg(F.max(as_date("purge_date"))).scalar()
     own = F.when(C("has_account"), C("account"))
-    out = _enrich(_enrich(priced, printed, "p", own), sub, "u", own)
+    out = _enrich(_enrich(priced, printed, "p", own, sparse=True), sub, "u", own, sparse=True)
     out = _enrich(_enrich(out, customer, "c", C("customer_id")), category, "g", C("category"))
     out = _enrich(_enrich(out, txn, "n", C("txn_code")), system, "s", C("system_id"))
     out = _enrich(out, district, "d", C("town"))
     out = _enrich(_enrich(out, subdistrict, "e", C("city")), village, "v", C("province"))
     swept = F.when(C("system_id").isin("ACCP", "ACSW"), F.concat("trans_ref", F.lit("-SW")))
-    out = _enrich(_enrich(out, sweep, "w", swept), owner, "m", C("system_id"))
+    out = _enrich(_enrich(out, sweep, "w", swept, sparse=True), owner, "m", C("system_id"))
     gap, money_gap = null_of("string"), null_of("decimal(18,2)")
     return out.select(
         "account", gap.alias("original_acct"), gap.alias("auto_pay_acct"), "category_name", "iban", "customer_id",
@@ -605,7 +610,7 @@ def trial_balance_detail(ctx: Context) -> DataFrame:
         "source_file", "line_seq", F.nullif(C("line_code").cast("string"), F.lit("")).alias("original_line"),
         "description", "opening_balance", "debit_movements", "credit_movements", "closing_balance")
     files = ["load_date", "branch_name", "statement_type", "source_file"]
-    lines = parent_below(lines, files, "line_seq", "original_line", "parent_line")
+    lines = parent_below(lines, files, "line_seq", "original_line", "parent_line", ctx.hot)
     kind = part("description", ".", 1)
 
     def piece(pl: int, ac: int | None) -> Column:

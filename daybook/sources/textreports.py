@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.functions.columns import MONEY, blank_null, lookup
-from daybook.operators.frames import HOT_ROWS, carry, has_hot, numbered, running_sum
+from daybook.operators.frames import carry, numbered, running_sum
 from daybook.operators.staging import materialise
 
 C = F.col
@@ -19,7 +19,7 @@ C = F.col
 BREAKS = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 
 
-def read_lines(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, hot: bool = False) -> DataFrame:
     """Numbered lines of all files under ``path``: source_file, line_seq (from 1), line.
 
     Place in the file is (start of the input split, place in the split), which does not depend on
@@ -29,7 +29,7 @@ def read_lines(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> Data
         C("_metadata.file_path").alias("file"), C("_metadata.file_name").alias("source_file"),
         C("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"),
         F.posexplode(F.split("value", BREAKS)).alias("piece", "line"))
-    seq = numbered(materialise(raw), ["file"], ["block", "place", "piece"], "line_seq", hot_rows=hot_rows)
+    seq = numbered(raw, ["file"], ["block", "place", "piece"], "line_seq", hot=hot)
     return seq.select("file", "source_file", "line_seq", "line")
 
 
@@ -91,7 +91,7 @@ def file_headers(lines: DataFrame, bank: str) -> DataFrame:
                         F.when(in_reach, F.trim(name, F.lit("_"))).otherwise("UNKNOWN_BRANCH").alias("branch"))
 
 
-def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False, hot: bool = False) -> DataFrame:
     """Ledger rows with their line number.
 
     A wrapped account code waits (over blank lines and page heads) for the next data row, whose
@@ -100,7 +100,6 @@ def parse_ledger(lines: DataFrame, bank: str, join_continuations: bool = False,
     letters, digits and dots only looks like a continuation and counts as one.)
     """
     ends = lines.filter(C("line").contains(END_MARK)).groupBy(C("file").alias("f")).agg(F.min("line_seq").alias("end"))
-    hot = has_hot(lines, ["file"], hot_rows)
     headers = file_headers(lines, bank).filter(~C("file_type").isin("CRB", "UNKNOWN"))
     body = lines.join(ends, C("file") == C("f"), "left").filter(C("end").isNull() | (C("line_seq") < C("end"))).drop("f", "end")
     body = body.join(headers, "file")
@@ -239,7 +238,7 @@ def _cell(n: int) -> Column:
     return F.nullif(C("cells")[n - 1], F.lit(""))
 
 
-def parse_deposits(lines: DataFrame, hot_rows: int = HOT_ROWS) -> Deposits:
+def parse_deposits(lines: DataFrame, hot: bool = False) -> Deposits:
     """Deposit rows under the section they stand in, and the checks against the file's own totals."""
     text = F.regexp_replace("line", r"\s+$", "")
     body = lines.withColumn("text", text).filter(C("text") != "")
@@ -250,7 +249,7 @@ def parse_deposits(lines: DataFrame, hot_rows: int = HOT_ROWS) -> Deposits:
     dtype = {line: kind for line, _, kind in SECTIONS}
     head = F.regexp_extract("text", SECTION_HEAD, 1)
     body = body.withColumn("at_head", F.when(C("kind") == "head", F.struct(F.when(head.isin(*section), head).alias("gl"))))
-    body = carry(body, ["file"], "line_seq", "at_head", "section", hot=has_hot(lines, ["file"], hot_rows))
+    body = carry(body, ["file"], "line_seq", "at_head", "section", hot=hot)
     body = materialise(body.select("file", "source_file", "line_seq", "text", "kind", "section"))
     rows = body.filter((C("kind") == "row") & C("section.gl").isNotNull())
     # a text without a match comes back whole, as one cell

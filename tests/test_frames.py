@@ -28,22 +28,22 @@ def skewed(spark, n=400):
     return spark.createDataFrame(data, "k string, o int, v int"), data
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
-def test_running_sum_equals_plain_python(spark, limit):
+@pytest.mark.parametrize("hot", [True, False])
+def test_running_sum_equals_plain_python(spark, hot):
     df, data = skewed(spark)
     want, totals = [], {}
     for k, o, v in sorted(data):
         if v is not None:
             totals[k] = totals.get(k, 0) + v
         want.append((k, o, totals.get(k)))
-    got = f.running_sum(df, ["k"], ["o"], "v", "run", hot_rows=limit)
+    got = f.running_sum(df, ["k"], ["o"], "v", "run", hot=hot)
     assert sorted((r.k, r.o, r.run) for r in got.collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
-def test_numbered(spark, limit):
+@pytest.mark.parametrize("hot", [True, False])
+def test_numbered(spark, hot):
     df, data = skewed(spark)
-    got = f.numbered(df, ["k"], ["o"], "n", hot_rows=limit)
+    got = f.numbered(df, ["k"], ["o"], "n", hot=hot)
     seen = {}
     want = []
     for k, o, _ in sorted(data, key=lambda r: r[:2]):
@@ -52,16 +52,16 @@ def test_numbered(spark, limit):
     assert rows(got, "k", "o", "n") == sorted(want)
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
+@pytest.mark.parametrize("hot", [True, False])
 @pytest.mark.parametrize("backward", [False, True])
-def test_carry(spark, limit, backward):
+def test_carry(spark, hot, backward):
     data = [("hot", i, f"h{i}" if i % 37 == 5 else None) for i in range(300)] + [("b", i, "x" if i == 3 else None) for i in range(6)]
     df = spark.createDataFrame(data, "k string, s int, h string").repartition(3)
     want = []
     for k, s, _ in data:
         seen = [(t, h) for kk, t, h in data if kk == k and h is not None and (t >= s if backward else t <= s)]
         want.append((k, s, (min(seen) if backward else max(seen))[1] if seen else None))
-    got = f.carry(df, ["k"], "s", "h", "out", backward, hot_rows=limit)
+    got = f.carry(df, ["k"], "s", "h", "out", backward, hot=hot)
     assert sorted((r.k, r.s, r.out) for r in got.collect()) == sorted(want)
 
 
@@ -126,9 +126,3 @@ def test_year_triplet(spark):
     now = spark.createDataFrame([("n", 2026, "CURR")], schema)
     assert rows(f.year_triplet(now, old, 2026), "v", "report_year", "type_period") == [
         ("a", 2026, "PREV"), ("b", 2026, "YOY"), ("n", 2026, "CURR")]
-
-
-def test_full_merge(spark):
-    a = spark.createDataFrame([("x", 1)], "k string, n long")
-    b = spark.createDataFrame([("y", 2)], "k string, m long")
-    assert rows(f.full_merge(a, b, ["k"], {"n": 0, "m": 0}), "k", "n", "m") == [("x", 1, 0), ("y", 0, 2)]

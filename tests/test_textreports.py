@@ -39,11 +39,11 @@ def write(folder, **files):
     return str(folder)
 
 
-@pytest.mark.parametrize("limit", [3, 1_000_000])
-def test_ledger(spark, tmp_path, limit):
+@pytest.mark.parametrize("hot", [True, False])
+def test_ledger(spark, tmp_path, hot):
     path = write(tmp_path, gl=LEDGER, pl=PROFIT, other="hello\nworld\n")
-    lines = t.read_lines(spark, path, hot_rows=limit)
-    got = t.parse_ledger(lines, "EXBANK", hot_rows=limit).filter("source_file = 'gl.txt'").orderBy("line_seq").collect()
+    lines = t.read_lines(spark, path, hot=hot)
+    got = t.parse_ledger(lines, "EXBANK", hot=hot).filter("source_file = 'gl.txt'").orderBy("line_seq").collect()
     assert [(r.line_seq, r.line_code, r.description, r.closing_balance) for r in got] == [
         (3, "", "AC.1.TR.USD.3004.X.Y.Z.W.STD", 10.0), (8, "", "AC.2-TR.USD.3005.X STD", 1.0),
         (10, "2730", "Business Loans", 1229.0), (12, "2740", "Other Loans", None)]
@@ -58,10 +58,10 @@ def test_continuations_can_be_joined(spark, tmp_path):
     assert joined[8] == "AC.2-TR.USD.3005.X STDTAIL.9"
 
 
-@pytest.mark.parametrize("limit", [3, 1_000_000])
-def test_deposits(spark, tmp_path, limit):
-    lines = t.read_lines(spark, write(tmp_path, d=DEPOSITS), hot_rows=limit)
-    out = t.parse_deposits(lines, hot_rows=limit)
+@pytest.mark.parametrize("hot", [True, False])
+def test_deposits(spark, tmp_path, hot):
+    lines = t.read_lines(spark, write(tmp_path, d=DEPOSITS), hot=hot)
+    out = t.parse_deposits(lines, hot=hot)
     rows = {r.account_number: r for r in out.rows.collect()}
     assert sorted(rows) == ["106006000456", "119999000001", "21001000123"]
     one, two, six = rows["21001000123"], rows["106006000456"], rows["119999000001"]
