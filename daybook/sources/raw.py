@@ -139,17 +139,21 @@ def split_by_template(lines: DataFrame, headers: Sequence[str], least: int = 14,
 DELIMITERS = ("|", ",", ";", "\t")
 
 
-def best_delimiter(lines: DataFrame, sample: int = 100) -> str:
-    """Delimiter that cuts the first lines into most cells; the earlier one wins a tie."""
-    widths = lines.limit(sample).agg(*[F.max(F.size(F.split("value", f"[{d}]"))).alias(f"w{i}") for i, d in enumerate(DELIMITERS)]).first()
+def best_delimiter(lines: DataFrame) -> str:
+    """Delimiter that cuts some line into most cells, over all lines; the earlier one wins a tie."""
+    widths = lines.agg(*[F.max(F.size(F.split("value", f"[{d}]"))).alias(f"w{i}") for i, d in enumerate(DELIMITERS)]).first()
     return DELIMITERS[max(range(len(DELIMITERS)), key=lambda i: (widths[i] or 0, -i))]
 
 
-def assign_headers(lines: DataFrame, headers: Sequence[str], width: int, delimiter: str) -> DataFrame:
-    """Name cells by position after dropping the first one; surplus cells become ``Extra_Col_i``."""
+def assign_headers(lines: DataFrame, headers: Sequence[str], width: int, delimiter: str, drop_first: bool = False) -> DataFrame:
+    """Name cells by position. Surplus cells become ``Extra_Col_<n>`` with n counted on from the headers; surplus headers fall away.
+
+    With ``drop_first`` the first cell of a line is none of the columns (loan master extracts begin with one).
+    """
+    skip = 1 if drop_first else 0
     cells = F.split("value", f"[{delimiter}]")
-    names = [*headers[:width - 1], *[f"Extra_Col_{i}" for i in range(1, width - len(headers))]]
-    return lines.select(*[F.trim(F.get(cells, F.lit(i + 1))).alias(n) for i, n in enumerate(names)])
+    names = [*headers[:width - skip], *[f"Extra_Col_{n}" for n in range(len(headers) + 1, width - skip + 1)]]
+    return lines.select(*[F.trim(F.get(cells, F.lit(i + skip))).alias(n) for i, n in enumerate(names)])
 
 
 def read_quoted_table(spark: SparkSession, path: str) -> DataFrame:
@@ -202,6 +206,21 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header; for reports, whose size is bounded by their layout."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def export_csv(df: DataFrame, path: str, order: Sequence[str | Column] = (), one_file: bool = False) -> None:
+    """CSV with headers, sorted over all part files by ``order``: file names in order give the rows in order.
+
+    The rows are computed and sorted in parallel. ``one_file`` then brings the sorted rows into one task, for reports that
+    a person opens; only the last step runs there.
+    """
+    out = df.orderBy(*order) if order else df
+    if one_file:
+        out = df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
+    out.write.mode("overwrite").csv(path, header=True)
+
+
+def newer_than_own(df: DataFrame, column: str, history: DataFrame | None) -> DataFrame:
+    """Loads newer than the newest in the own history; all of them if there is none yet."""
+    if history is None:
+        return df
+    seen = history.agg(F.max(column)).scalar()
+    return df.filter(seen.isNull() | (F.col(column) > seen))

@@ -51,9 +51,34 @@ def test_mixed_encodings(spark, tmp_path):
 def test_headers_and_delimiters(spark):
     lines = spark.createDataFrame([("0;1;2;3",), ("0;4;5;6",)], "value string")
     assert raw.best_delimiter(lines) == ";"
-    wide = raw.assign_headers(lines, ["a", "b"], 4, ";")
-    assert wide.columns == ["a", "b", "Extra_Col_1"] and sorted(map(tuple, wide.collect())) == [("1", "2", "3"), ("4", "5", "6")]
-    assert raw.assign_headers(lines, ["a", "b", "c", "d"], 4, ";").columns == ["a", "b", "c"]
+    wide = raw.assign_headers(lines, ["a", "b"], 4, ";", drop_first=True)
+    assert wide.columns == ["a", "b", "Extra_Col_3"] and sorted(map(tuple, wide.collect())) == [("1", "2", "3"), ("4", "5", "6")]
+    assert raw.assign_headers(lines, ["a", "b", "c", "d"], 4, ";", drop_first=True).columns == ["a", "b", "c"]
+    whole = raw.assign_headers(lines, ["a", "b"], 4, ";")
+    assert whole.columns == ["a", "b", "Extra_Col_3", "Extra_Col_4"] and ("0", "1", "2", "3") in list(map(tuple, whole.collect()))
+    late = spark.range(300).selectExpr("if(id < 299, 'a;b', 'x|y|z|w') as value")  # the last line decides
+    assert raw.best_delimiter(late) == "|"
+
+
+def test_export_is_ordered(spark, tmp_path):
+    df = spark.range(500).selectExpr("id * 7919 % 500 as n", "'v' as v").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        raw.export_csv(df, str(tmp_path / "many"), ["n"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "many").glob("*.csv"))
+    assert len(files) > 1 and [int(line.split(",")[0]) for f in files for line in f.read_text().split("\n")[1:] if line] == list(range(500))
+    raw.export_csv(df, str(tmp_path / "one"), [C("n").desc()], one_file=True)
+    (single,) = (tmp_path / "one").glob("*.csv")
+    assert [int(line.split(",")[0]) for line in single.read_text().split("\n")[1:] if line] == list(range(499, -1, -1))
+
+
+def test_only_newer_loads(spark):
+    df = spark.createDataFrame([("2026-01-31", 1), ("2026-02-28", 2)], "load_date string, n int")
+    assert raw.newer_than_own(df, "load_date", None) is df
+    assert [r.n for r in raw.newer_than_own(df, "load_date", df.filter("n = 1")).collect()] == [2]
+    assert raw.newer_than_own(df, "load_date", df.limit(0)).count() == 2
 
 
 def test_channel_log(spark, tmp_path):
@@ -71,7 +96,7 @@ def test_small_readers(spark, tmp_path):
     assert one.select(account, branch, product).first()[:] == ("12345678901", "12", "3456")
     cast = raw.cast_listed(one, dates=["d", "zz"], decimals=["a"]).first()
     assert str(cast.d) == "2024-01-02" and str(cast.a) == "15.0000"
-    raw.export_csv(one, str(tmp_path / "out"))
+    raw.export_csv(one, str(tmp_path / "out"), one_file=True)
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
 
 
