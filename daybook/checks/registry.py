@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
 
-from daybook.checks import accounting_sql, bank_views, operator_views, report_sql, silver_sql, text_views
+from daybook.checks import accounting_sql, bank_views, file_views, operator_views, report_sql, silver_sql, text_views
 from daybook.context import Context
 from daybook.plans import MARTS
 from daybook.sources import textreports
@@ -64,6 +64,7 @@ OPERATORS: dict[str, tuple[Query, str | None]] = {
     "report_parse_deposits": (lambda s, d: _deposits(s, d).rows, text_views.DEPOSITS_SQL),
     "report_reconcile": (lambda s, d: _deposits(s, d).checks, text_views.CHECKS_SQL),
     **operator_views.OPERATORS,
+    **file_views.FILES,
 }
 
 
