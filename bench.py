@@ -53,6 +53,17 @@ def parse_rate(spark: SparkSession, cpus: int, records: int = 20_000, fields: in
     return records / timed(lambda: parse(raw, spec).main) / cpus
 
 
+def change_rate(spark: SparkSession, folder: str, cpus: int) -> float:
+    """Change messages per second and core: decoded and reduced to the last event per key."""
+    from daybook.checks.operator_views import messages
+    from daybook.operators.staging import materialise
+    from daybook.streaming import cdc
+
+    landed = materialise(messages(spark, folder).repartition(2 * cpus))
+    timed(lambda: cdc.latest_events(cdc.unwrap(landed, ["topic"]), ["topic", "RECID"]))
+    return landed.count() / timed(lambda: cdc.latest_events(cdc.unwrap(landed, ["topic"]), ["topic", "RECID"])) / cpus
+
+
 def main() -> None:
     sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
     from daybook.checks.registry import queries
@@ -67,8 +78,9 @@ def main() -> None:
         timed(lambda: known[name](spark, folder))
         times[name] = round(timed(lambda: known[name](spark, folder)), 3)
     rate = parse_rate(spark, int(cpus))
+    changes = change_rate(spark, folder, int(cpus))
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
-                      "sf": folder.rstrip("/").rsplit("sf", 1)[-1], "parse_records_per_second_per_core": round(rate, 1)}))
+                      "sf": folder.rstrip("/").rsplit("sf", 1)[-1], "parse_records_per_second_per_core": round(rate, 1), "change_events_per_second_per_core": round(changes, 1)}))
     spark.stop()
 
 

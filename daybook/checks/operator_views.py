@@ -74,8 +74,7 @@ def spec_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'</c3><c4 m=\"', n + 1, '\">', case n % 3 when 0 then 'IN2D&amp;11' when 1 then 'IN2AMT' else 'IN2' end, '</c4><c10 m=\"', n + 1, '\">', if(n % 2 = 0, 'M', 'S'), '</c10>') as x")
     record = cells.groupBy(F.concat(F.lit("R"), "region").alias("RECID")).agg(F.concat(
         F.lit("<row>"), F.array_join(F.array_sort(F.collect_list("x")), ""), F.lit("</row>")).alias("XMLRECORD"))
-    names = [r[0] for r in record.select("RECID").collect()]
-    return records.describe(spark, records.compile_specs(record, names).values())
+    return records.describe_metadata(record)
 
 
 SPEC_COMPILE = """

@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CELL = "array<struct<_VALUE: string, _m: int, _s: int>>"
 OPTIONS = {"rowTag": "row", "ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_corrupt_record",
@@ -110,19 +110,67 @@ def _cells(df: DataFrame, positions: Iterable[int], recid: str, xml: str, keep:
                      F.explode(F.array(F.from_xml(F.col(xml), _schema(positions), OPTIONS))).alias("_r"))
 
 
+def _metadata_cells(metadata: DataFrame, recid: str, xml: str) -> DataFrame:
+    """recid, pos, mv, value of the first sub-values of metadata records."""
+    positions = (NAME, KIND, POSITION, CONVERSION, MULTI, LOCAL_NAME, LOCAL_TARGET, LOCAL_CONVERSION)
+    tagged = [F.expr(f"transform(_r.c{p}, x -> struct({p} as pos, coalesce(x._m, 1) as mv, coalesce(x._s, 1) as sv, "
+                     f"coalesce(x._VALUE, '') as value))") for p in positions]
+    return _cells(metadata, positions, recid, xml, ()).select("recid", F.posexplode(F.flatten(F.array_compact(F.array(*tagged)))).alias("at", "c")) \
+        .filter("c.sv = 1").select("recid", "at", "c.pos", "c.mv", "c.value")
+
+
+def describe_metadata(metadata: DataFrame, recid: str = "RECID", xml: str = "XMLRECORD") -> DataFrame:
+    """What ``describe`` tells of the compiled specs of all metadata records, as one plan that passes nothing through the driver."""
+    def cell(pos: int) -> Column:
+        return F.min(F.when(F.col("pos") == pos, F.struct("at", "value")))["value"]
+
+    def column(name: Column) -> Column:
+        return F.when(name == "@ID", "recid").otherwise(F.lower(F.trim(F.regexp_replace(name, "[^0-9a-zA-Z]+", "_"), F.lit("_"))))
+
+    def dtype(conversion: str) -> Column:
+        kind = F.split(F.coalesce(conversion, F.lit("")), "&")[0]
+        out = F.lit("string")
+        for prefix, name in CONVERSIONS.items():
+            out = F.when(kind == prefix, name).otherwise(out)
+        return out
+
+    def first(*by: str | Column) -> Column:
+        return F.row_number().over(Window.partitionBy("recid", *by).orderBy("mv"))
+
+    wide = _metadata_cells(metadata, recid, xml).groupBy("recid", "mv").agg(
+        *[cell(p).alias(n) for p, n in ((NAME, "name"), (KIND, "kind"), (POSITION, "place"), (CONVERSION, "conversion"), (MULTI, "many"),
+                                       (LOCAL_NAME, "own_name"), (LOCAL_TARGET, "target"), (LOCAL_CONVERSION, "own_conversion"))])
+    fields = wide.filter("name is not null and kind = 'D' and place rlike '^[0-9]+$'").withColumn("position", F.col("place").try_cast("int"))
+    fields = fields.filter("position >= 1").withColumn("turn", first("position")).filter("turn = 1")  # a later one is an alias
+    twin = first(column(F.col("name")))
+    fields = fields.withColumn("twin", twin).withColumn("field", F.when(F.col("twin") > 1, F.concat("name", F.lit(".P"), "position")).otherwise(F.col("name")))
+    many = F.coalesce(F.col("many") == "M", F.lit(False))
+    plain = fields.filter(F.col("field") != LOCAL_REFERENCE).select(
+        "recid", "field", "position", dtype("conversion").alias("dtype"), F.when(many, 3).otherwise(1).alias("rank"))
+    reference = fields.filter(F.col("field") == LOCAL_REFERENCE).groupBy("recid").agg(F.min_by("position", "mv").alias("position"))
+    own = wide.filter("own_name <> ''").withColumn("index", F.regexp_extract(F.coalesce("target", F.lit("")), "^LOCAL\\.REF<1,([0-9]+)>$", 1)) \
+        .filter("index <> ''").join(reference, "recid").withColumn("turn", first(column(F.col("own_name")))).filter("turn = 1")
+    every = plain.unionByName(own.select("recid", F.col("own_name").alias("field"), "position", dtype("own_conversion").alias("dtype"), F.lit(2).alias("rank")))
+    named = every.withColumn("base", column(F.col("field")))
+    before = F.min("rank").over(Window.partitionBy("recid", "base"))  # single values come first, then local fields
+    clash = (before < F.col("rank")) | (F.col("base") == "recid")
+    name = F.when((F.col("rank") == 2) & clash, F.concat(F.lit("lr_"), "base")).when((F.col("rank") == 3) & clash, F.concat("base", F.lit("_mv"))) \
+        .otherwise(F.col("base"))
+    multi = F.col("rank") == 3
+    return named.select(
+        F.col("recid").alias("table"), name.alias("column"), "field", F.when(multi, F.concat(F.lit("array<"), "dtype", F.lit(">"))).otherwise(F.col("dtype")).alias("type"),
+        F.when(multi, "multi").when(F.col("rank") == 2, "local").otherwise("single").alias("kind"), "position")
+
+
 def compile_specs(metadata: DataFrame, tables: Sequence[str], recid: str = "RECID", xml: str = "XMLRECORD") -> dict[str, Spec]:
     """Column specs of the named tables; raises KeyError for a table without metadata.
 
     Only the metadata records of these tables reach the driver, as cells.
     """
-    positions = (NAME, KIND, POSITION, CONVERSION, MULTI, LOCAL_NAME, LOCAL_TARGET, LOCAL_CONVERSION)
     wanted = metadata.filter(F.col(recid).isin(*tables))
-    tagged = [F.expr(f"transform(_r.c{p}, x -> struct({p} as pos, coalesce(x._m, 1) as mv, coalesce(x._s, 1) as sv, "
-                     f"coalesce(x._VALUE, '') as value))") for p in positions]
-    cells = _cells(wanted, positions, recid, xml, ()).select("recid", F.explode(F.flatten(F.array_compact(F.array(*tagged)))).alias("c"))
     found: dict[str, dict[tuple[int, int], str]] = {r[0]: {} for r in wanted.select(recid).collect()}
-    for row in cells.filter("c.sv = 1").select("recid", "c.pos", "c.mv", "c.value").collect():
-        found[row[0]].setdefault((row[1], row[2]), row[3])
+    for row in _metadata_cells(wanted, recid, xml).orderBy("recid", "at").collect():
+        found[row["recid"]].setdefault((row["pos"], row["mv"]), row["value"])
     missing = [t for t in tables if t not in found]
     if missing:
         raise KeyError(f"no metadata record for {missing}")
