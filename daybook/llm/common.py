@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.staging import materialise as settle  # written once below spark.checkpoint.dir and read back
 
-__all__ = ["settle", "table", "text_bytes", "tokenizer_path", "mix64", "WordHasher"]
+__all__ = ["settle", "importable", "table", "text_bytes", "tokenizer_path", "mix64", "WordHasher"]
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where it lies, if the session was not started with it on their path.
+
+    On a cluster whose executors do not see that folder the package is shipped with the job, as any other.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
