@@ -28,8 +28,9 @@ from daybook.llm.common import settle
 
 NEAREST = 5
 LIST_SIZE = 256  # vectors of the table for each list, while lists are fewer than MAX_LISTS
-MAX_LISTS = 8_192  # bounds what is broadcast: centroids of 64 numbers take 4 MB
-SAMPLE = 65_536  # vectors that the index is fitted on
+MAX_LISTS = 4_096  # bounds what is broadcast: centroids of 64 numbers take 2 MB
+SAMPLE = 32_768  # vectors that the index is fitted on
+CELLS = 1 << 20  # numbers of a distance matrix held at once
 REPLICAS = 4
 SLACK = 1.1  # boundary: at most this many times the distance to the nearest centroid
 RECALL = 0.97
@@ -75,30 +76,35 @@ class Index:
 
     @classmethod
     def of(cls, centroids: np.ndarray) -> "Index":
-        near = centroids @ centroids.T
-        np.fill_diagonal(near, -2)
-        graph = np.argsort(-near, axis=1)[:, :min(DEGREE, len(centroids) - 1)]
-        step = max(1, len(centroids) // 8)
-        return cls(centroids, graph, np.arange(0, len(centroids), step))
+        amount, edges = len(centroids), min(DEGREE, len(centroids) - 1)
+        graph = np.empty((amount, edges), dtype=np.int32)
+        rows = max(1, CELLS // amount)
+        for low in range(0, amount, rows):
+            near = centroids[low:low + rows] @ centroids.T
+            near[np.arange(len(near)), np.arange(low, low + len(near))] = -2
+            graph[low:low + rows] = np.argsort(-near, axis=1, kind="stable")[:, :edges]
+        return cls(centroids, graph, np.arange(0, amount, max(1, amount // 8)))
 
     def lists_of(self, x: np.ndarray) -> list[list[int]]:
         """Lists that each unit vector is written to."""
+        rows = max(1, CELLS // len(self.centroids))
+        return [own for low in range(0, len(x), rows) for own in self._lists_of(x[low:low + rows])]
+
+    def _lists_of(self, x: np.ndarray) -> Iterator[list[int]]:
         cosines = x @ self.centroids.T
         few = min(2 * REPLICAS, cosines.shape[1])
-        top = np.argsort(-cosines, axis=1, kind="stable")[:, :few]
-        far = distance(np.take_along_axis(cosines, top, axis=1))
-        between = distance(self.centroids @ self.centroids.T) if len(self.centroids) <= 1_024 else None
-        found = []
+        top = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
+        near = np.take_along_axis(cosines, top, axis=1)
+        order = np.lexsort((top, -near), axis=1)
+        top, far = np.take_along_axis(top, order, axis=1), distance(np.take_along_axis(near, order, axis=1))
         for row, d in zip(top, far, strict=True):
             chosen = [int(row[0])]
             for j, dj in zip(row[1:], d[1:], strict=True):
                 if len(chosen) == REPLICAS or dj > SLACK * d[0]:
                     break
-                gap = between[chosen, j] if between is not None else distance(self.centroids[chosen] @ self.centroids[j])
-                if (gap > dj).all():
+                if (distance(self.centroids[chosen] @ self.centroids[j]) > dj).all():
                     chosen.append(int(j))
-            found.append(chosen)
-        return found
+            yield chosen
 
     def walk(self, q: np.ndarray) -> list[tuple[float, int]]:
         """Nearest centroids of a unit vector as (distance, list), nearest first."""
@@ -242,8 +248,9 @@ def neighbours(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: s
     nodes = settle(heads.select("key", "vec", F.col("vec_id").alias("least")).join(ids, "key")
                    .withColumn("node", F.monotonically_increasing_id()))
     amount = nodes.count()
-    drawn = nodes.select("vec") if amount <= sample else nodes.select("vec").sample(fraction=min(1.0, sample / amount), seed=3).limit(sample)
-    index = fit(unit(scaled(matrix(drawn.toPandas()["vec"]))), amount, list_size)
+    share = int((1 << 30) * min(1.0, 0.98 * sample / max(1, amount)))
+    drawn = nodes if amount <= sample else nodes.filter(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 30)) < share).limit(sample)
+    index = fit(unit(scaled(matrix(drawn.select("vec").toPandas()["vec"]))), amount, list_size)
     shared = spark.sparkContext.broadcast(index)
 
     def post(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
