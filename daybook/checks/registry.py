@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
@@ -46,6 +47,52 @@ def _mart(name: str, hot: bool = False) -> Query:
     return run
 
 
+#: Reports that compare themselves with their own history: by load date, by report year.
+BY_DAY = ("loan_sector_daily", "loan_sector_yearly", "provision", "repayment", "extra_accountable")
+BY_YEAR = ("disbursement_consolidation", "monthly_disbursement")
+TARGET, YEAR = "1998-06-15", 1998
+#: Load dates of the history; the first two are the ones that the previous month and the year before are found at.
+LOADS = ("1998-05-31", "1997-05-31", "1998-04-30", "1997-04-30", "1997-12-31", "1998-06-10")
+#: Listings of one day only: report, its date column, the day.
+ON_DAY = {"closed_account_listing": ("closure_date", "1996-02-06"), "opened_account_listing": ("opening_date", "1995-10-13")}
+
+
+def _past(name: str) -> Query:
+    """The history rows of a report that was loaded on many days before; loads that must not be found hold half of the rows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        first = MARTS[name](bank(spark, sf_dir, pins=PINS))
+        if name in BY_YEAR:
+            ctx = bank(spark, sf_dir, pins=PINS, report_year=YEAR, history={name: first})
+        else:
+            half = F.pmod(F.xxhash64(*first.columns), F.lit(2)) == 0
+            loads = [first.filter(F.lit(True) if i < 2 else half).withColumn("load_date", F.lit(day)) for i, day in enumerate(LOADS)]
+            ctx = bank(spark, sf_dir, pins=PINS, target_date=TARGET, history={name: reduce(DataFrame.unionByName, loads)})
+        return flat(MARTS[name](ctx).filter("type_period <> 'CURR'"))
+
+    return run
+
+
+def _past_sql(name: str) -> str:
+    if name in BY_YEAR:
+        before = f"(select max(report_year) from r where report_year < {YEAR})"
+        second = f"(select max(report_year) from r where report_year < {before})"
+        parts = [f"select * replace ({YEAR}::integer as report_year, '{tag}' as type_period) from r where report_year = {year}"
+                 for tag, year in (("PREV", before), ("YOY", second))]
+    else:
+        parts = [f"select * replace ('{TARGET}' as load_date, '{tag}' as type_period) from r" for tag in ("PREV", "YOY")]
+    return f"with r as (select * from ({report_sql.REPORTS[name]})) " + " union all ".join(parts)
+
+
+def _on_day(name: str) -> Query:
+    return lambda spark, sf_dir: flat(MARTS[name](bank(spark, sf_dir, pins=PINS, target_date=ON_DAY[name][1])))
+
+
+def _on_day_sql(name: str) -> str:
+    column, day = ON_DAY[name]
+    return f"select * from ({report_sql.REPORTS[name]}) where {column} = '{day}'"
+
+
 def _ledger(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
     return textreports.parse_ledger(text_views.ledger_lines(spark, sf_dir), text_views.BANK, hot=hot)
 
@@ -70,9 +117,11 @@ OPERATORS: dict[str, tuple[Query, str | None]] = {
 
 def queries() -> dict[str, Query]:
     return {**{name: _mart(name) for name in MARTS}, **{f"{name}_hot": _mart(name, hot=True) for name in HOT_MARTS},
+            **{f"{name}_past": _past(name) for name in (*BY_DAY, *BY_YEAR)}, **{f"{name}_on_day": _on_day(name) for name in ON_DAY},
             **{name: run for name, (run, _) in OPERATORS.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
     marts = {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS, **accounting_sql.ACCOUNTING}
-    return {**marts, **{f"{name}_hot": marts[name] for name in HOT_MARTS}, **{name: sql for name, (_, sql) in OPERATORS.items() if sql}}
+    return {**marts, **{f"{name}_hot": marts[name] for name in HOT_MARTS}, **{f"{name}_past": _past_sql(name) for name in (*BY_DAY, *BY_YEAR)},
+            **{f"{name}_on_day": _on_day_sql(name) for name in ON_DAY}, **{name: sql for name, (_, sql) in OPERATORS.items() if sql}}

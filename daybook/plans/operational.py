@@ -45,7 +45,7 @@ def opened_account_listing(ctx: Context) -> DataFrame:
         "address", k("occupation").alias("occupation"), money("balance").alias("acct_bal"),
         F.lit(0).cast(MONEY).alias("first_deposit_amt"))
     return listing(rows, ["opening_date", "company_branch"], "account_no",
-                   {"acct_bal": MONEY, "first_deposit_amt": MONEY})
+                   {"acct_bal": MONEY, "first_deposit_amt": MONEY}, hot=ctx.hot)
 
 
 def deposit_listing(ctx: Context) -> DataFrame:
