@@ -159,7 +159,8 @@ class Lattice:
         doc = np.searchsorted(doc_start, starts, side="right") - 1
         turn = (np.arange(starts.size) - np.searchsorted(starts, doc_start)[doc]).astype(np.uint64)
         seed = mix64(keys[doc] ^ mix64(turn + np.uint64(0x5851F42D4C957F2D)))
-        at, left, step = (base + sizes)[word], np.arange(starts.size), 0
+        left = np.argsort(word, kind="stable")  # equal words together: neighbours search in the same place
+        at, step = (base + sizes)[word[left]], 0
         drawn: list[tuple[np.ndarray, np.ndarray]] = []
         while left.size:
             u = (mix64(seed[left] + np.uint64(step)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
