@@ -31,12 +31,14 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
 ]
 THRESHOLD = 0.6
+#: Words that tell nothing; they count neither in templates nor in files.
+STOP_WORDS = tuple("a all an and any are as be by for from in is it may no not of on or other that the this to under use with without you".split())
 WORD = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENCE_FILE = "^(licen[cs]e|copying|unlicense)([.-].*)?$"  # of a lower-case file name
 
 
 def _counts() -> list[Counter]:
-    return [Counter(re.findall(WORD, text.lower())) for _, text in TEMPLATES]
+    return [Counter(w for w in re.findall(WORD, text.lower()) if w not in STOP_WORDS) for _, text in TEMPLATES]
 
 
 def idf() -> dict[str, float]:
@@ -76,10 +78,10 @@ def matches(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pattern = gate(threshold).replace("\\", "\\\\").replace("'", "\\'")
     files = files.select("path", "named", F.lower("text").alias("t")).filter(F.expr(f"t rlike '{pattern}'"))
     units = files.select("path", F.explode(F.expr(
-        f"concat(filter(split(t, '\\n'), l -> l rlike '{pattern}'), if(named, array(t), array()))")).alias("unit"))
-    # equal lines of a file count once; a unit is known by its path and text
-    words = units.distinct().select("path", "unit", F.explode(F.expr(f"regexp_extract_all(unit, '{WORD}', 0)")).alias("word"))
-    counted = words.groupBy("path", F.xxhash64("unit").alias("unit"), "word").agg(F.count("*").alias("n"))
+        f"concat(array_distinct(filter(split(t, '\\n'), l -> l rlike '{pattern}')), if(named, array(t), array()))")).alias("t"))
+    # a unit is known by its path and a hash: equal lines of a repeated path count together, which leaves their cosine as it is
+    words = units.select("path", F.xxhash64("t").alias("unit"), F.explode(F.expr(f"regexp_extract_all(t, '{WORD}', 0)")).alias("word"))
+    counted = words.filter(~F.col("word").isin(*STOP_WORDS)).groupBy("path", "unit", "word").agg(F.count("*").alias("n"))
     spark = files.sparkSession
     inverse = spark.createDataFrame(sorted(idf().items()), "word string, idf double")
     weighted = counted.join(F.broadcast(inverse), "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(UNKNOWN)))
@@ -142,13 +144,15 @@ def _literal(text: str) -> str:
 
 ORACLE_SQL = f"""
 with templates(number, licence, body) as (values {", ".join(f"({i}, {_literal(a)}, {_literal(b)})" for i, (a, b) in enumerate(TEMPLATES))}),
-tw as (select number, word, count(*) as n from (select number, unnest(regexp_extract_all(lower(body), '{WORD}')) as word from templates) group by all),
+tw as (select number, word, count(*) as n from (select number, unnest(regexp_extract_all(lower(body), '{WORD}')) as word from templates)
+       where word not in {STOP_WORDS} group by all),
 idf as (select word, ln({1 + len(TEMPLATES)}.0 / (1 + count(*))) + 1 as idf from tw group by word),
 weights as (select number, word, n * idf / sqrt(sum(n * idf * n * idf) over (partition by number)) as w from tw join idf using (word)),
 files as (select doc_id, {_TREE.format(middle=_DIRS.format(thousands="doc_id // 1000 as varchar"))} as path, lower(coalesce(text, '')) as t from documents where doc_id is not null),
 parts as (select *, doc_id % 20 = 0 as named, regexp_replace(path, '/[^/]*$', '') as dir from files),
 units as (select distinct path, unit from (select path, unnest(string_split(t, chr(10))) as unit from parts union all select path, t from parts where named)),
-terms as (select path, unit, word, count(*) as n from (select path, unit, unnest(regexp_extract_all(unit, '{WORD}')) as word from units) group by all),
+terms as (select path, unit, word, count(*) as n from (select path, unit, unnest(regexp_extract_all(unit, '{WORD}')) as word from units)
+          where word not in {STOP_WORDS} group by all),
 x as (select path, unit, word, n * coalesce(idf, ln({1 + len(TEMPLATES)}.0) + 1) as x from terms left join idf using (word)),
 norms as (select path, unit, sqrt(sum(x * x)) as norm from x group by all),
 scores as (select path, number, round(sum(x * w) / any_value(norm), 6) as score from x join weights using (word) join norms using (path, unit)

@@ -8,7 +8,7 @@ from daybook.llm import licences
 
 def cosine(unit, number):
     known = licences.idf()
-    words = re.findall(licences.WORD, unit.lower())
+    words = [w for w in re.findall(licences.WORD, unit.lower()) if w not in licences.STOP_WORDS]
     mine = {w: words.count(w) * known.get(w, licences.UNKNOWN) for w in words}
     norm = math.sqrt(sum(x * x for x in mine.values())) or 1.0
     return sum(mine.get(w, 0) * x for n, _, w, x in licences.template_weights() if n == number) / norm
