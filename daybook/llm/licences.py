@@ -5,7 +5,8 @@ idf over the templates, words that no template has get the highest idf. A file t
 without one takes the licence of the nearest directory above it, its own first, that holds a matched licence file.
 
 Only DataFrame and SQL functions run. A line can reach the threshold only if it shares a word with the ``gate``: for each template
-the words of most weight, so many that the others together stay below the threshold. That spares all other lines.
+the words of most weight, so many that the others together stay below the threshold. Of the lines left, those whose shared words
+cannot reach it either go next; all that remains is scored.
 """
 
 from __future__ import annotations
@@ -73,6 +74,17 @@ def gate(threshold: float = THRESHOLD) -> str:
     return "(?<![a-z0-9])(?:" + "|".join(sorted(map(re.escape, words))) + ")(?![a-z0-9])"
 
 
+def reachable(words: str, threshold: float = THRESHOLD) -> str:
+    """SQL condition: can a unit with these words reach the threshold? Its cosine is at most the root of the shared words' squared weights."""
+    bounds = []
+    for number in range(len(TEMPLATES)):
+        own = {w: x * x for n, _, w, x in template_weights() if n == number}
+        weight = "map(" + ", ".join(f"'{w}', {x!r}D" for w, x in own.items()) + ")"
+        names = "array(" + ", ".join(f"'{w}'" for w in own) + ")"
+        bounds.append(f"aggregate(array_intersect({words}, {names}), 0D, (total, w) -> total + {weight}[w])")
+    return f"greatest({', '.join(bounds)}) >= {threshold * threshold - 1e-9!r}D"
+
+
 def matches(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """path, licence, score of the best unit of each file that reaches ``threshold``; of equal ones the first template's."""
     pattern = gate(threshold).replace("\\", "\\\\").replace("'", "\\'")
@@ -80,7 +92,8 @@ def matches(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = files.select("path", F.explode(F.expr(
         f"concat(array_distinct(filter(split(t, '\\n'), l -> l rlike '{pattern}')), if(named, array(t), array()))")).alias("t"))
     # a unit is known by its path and a hash: equal lines of a repeated path count together, which leaves their cosine as it is
-    words = units.select("path", F.xxhash64("t").alias("unit"), F.explode(F.expr(f"regexp_extract_all(t, '{WORD}', 0)")).alias("word"))
+    units = units.select("path", F.xxhash64("t").alias("unit"), F.expr(f"regexp_extract_all(t, '{WORD}', 0)").alias("words"))
+    words = units.filter(F.expr(reachable("words", threshold))).select("path", "unit", F.explode("words").alias("word"))
     counted = words.filter(~F.col("word").isin(*STOP_WORDS)).groupBy("path", "unit", "word").agg(F.count("*").alias("n"))
     spark = files.sparkSession
     inverse = spark.createDataFrame(sorted(idf().items()), "word string, idf double")
