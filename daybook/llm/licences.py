@@ -17,6 +17,8 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, functions as F
 
+from daybook.llm.common import settle
+
 #: Notices and openings of public licences.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -118,7 +120,7 @@ def scanned(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = files.select("path", "text").withColumn("named", F.coalesce(
         F.lower(F.element_at(F.split("path", "/"), -1)).rlike(LICENCE_FILE), F.lit(False))).withColumn(
         "dir", F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), "")))
-    own = matches(rows.filter("path is not null"), threshold)
+    own = settle(matches(rows.filter("path is not null"), threshold))  # a row per matched file; texts are read once
     # one row per directory with a matched licence file: few against the files
     holders = (own.filter(F.lower(F.element_at(F.split("path", "/"), -1)).rlike(LICENCE_FILE))
                .withColumn("above", F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(""))
