@@ -77,14 +77,22 @@ def gate(threshold: float = THRESHOLD) -> str:
 
 
 def reachable(words: str, threshold: float = THRESHOLD) -> str:
-    """SQL condition: can a unit with these words reach the threshold? Its cosine is at most the root of the shared words' squared weights."""
+    """SQL condition: can a unit with these words reach the threshold?
+
+    Its squared cosine is at most the shared words' squared weights times the template words' part of the unit's squared norm. That
+    part is at most S / (S + R): S as if every template word, repeated ones too, were one word of the highest idf, R for the distinct others.
+    """
     bounds = []
     for number in range(len(TEMPLATES)):
         own = {w: x * x for n, _, w, x in template_weights() if n == number}
         weight = "map(" + ", ".join(f"'{w}', {x!r}D" for w, x in own.items()) + ")"
         names = "array(" + ", ".join(f"'{w}'" for w in own) + ")"
         bounds.append(f"aggregate(array_intersect({words}, {names}), 0D, (total, w) -> total + {weight}[w])")
-    return f"greatest({', '.join(bounds)}) >= {threshold * threshold - 1e-9!r}D"
+    known = "array(" + ", ".join(f"'{w}'" for w in sorted(idf())) + ")"
+    silent = "array(" + ", ".join(f"'{w}'" for w in STOP_WORDS) + ")"
+    most = f"pow(size(filter({words}, w -> array_contains({known}, w))) * {max(idf().values())!r}D, 2)"
+    others = f"size(array_except({words}, concat({known}, {silent}))) * {UNKNOWN ** 2!r}D"
+    return f"greatest({', '.join(bounds)}) * {most} >= {threshold * threshold - 1e-9!r}D * ({most} + {others})"
 
 
 def matches(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
