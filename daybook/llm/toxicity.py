@@ -1,9 +1,11 @@
 """Toxicity of documents by a factorization machine over hashed terms.
 
-A document's terms are the hashes of its distinct words and of their beginnings (inflected forms share those). From a sample of the
-labelled rows, whose size is bounded, the terms most unevenly spread over the two classes are chosen; the machine learns a weight and
-a short vector for each of them, so that a pair of terms counts by the product of their vectors: an insult together with
-the mention of a group can weigh more than the two apart, which additive weights cannot say. Scoring reads every whole text once.
+A document's terms are the hashes of its distinct words and of their beginnings (inflected forms share those), in a fixed number of
+slots. From a sample of the labelled rows, whose size is bounded, the machine learns a weight and a short vector for every slot that
+enough documents hold, so that a pair of terms counts by the product of their vectors: an insult together with the mention of a group
+can weigh more than the two apart, which additive weights cannot say. What a slot tells by itself does not decide whether it is learned,
+only how fast: rare terms spread evenly over the classes move slowly, or they would learn single documents by heart. Scoring reads
+every whole text once.
 """
 
 from __future__ import annotations
@@ -16,15 +18,18 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import WordHasher, settle, text_bytes
+from daybook.llm.common import WordHasher, text_bytes
 
 TRAIN_ROWS = 20_000  # labelled rows that are learned from at most
-CHOSEN = 4_096  # terms of the machine at most
-SUPPORT = 3  # documents of a class that hold a chosen term at least
-EVIDENCE = 25.0  # least chi-square of a chosen term
+SLOT_BITS = 18  # terms are hashed into so many bits
+SUPPORT = 3  # documents that hold a learned slot at least
+EVIDENCE = 25.0  # chi-square from which a slot learns at full rate
+COMMON = 0.05  # share of the documents from which a slot is common
+LEAST = 0.3  # rate of a common slot without evidence of its own
 BEGINNINGS = (4, 5, 6)
 FACTORS = 8
-EPOCHS, BATCH, RATE, DECAY = 40, 512, 0.03, 1e-5
+STEPS, BATCH, RATE, DECAY = 240, 512, 0.03, 0.2  # the decay is for the sum over all documents
+LEAD = 3  # rate of the weights against that of the vectors: pairs explain what single terms leave over
 THRESHOLD = 0.5
 
 
@@ -33,6 +38,11 @@ def terms_of(data: bytes, hasher: WordHasher) -> np.ndarray:
     return np.unique((hasher.words(data, BEGINNINGS) >> np.uint64(33)).astype(np.int32))
 
 
+def slots_of(data: bytes, hasher: WordHasher) -> np.ndarray:
+    """Sorted distinct slots of the terms."""
+    return np.unique(terms_of(data, hasher) >> (31 - SLOT_BITS))
+
+
 def hasher() -> WordHasher:
     return WordHasher(fold=True, letters=True)
 
@@ -77,36 +87,56 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def rates(places: np.ndarray, amounts: np.ndarray, size: int, labels: np.ndarray) -> np.ndarray:
+    """Share of the full rate at which each slot learns: 1 with evidence of its own, else by how common it is."""
+    n, toxic = len(labels), labels.sum()
+    held, bad = np.bincount(places, minlength=size), np.bincount(places, np.repeat(labels, amounts), size)
+    gap, spread = bad * n - held * toxic, toxic * (n - toxic) * held.astype(np.float64) * (n - held)
+    evidence = np.divide(gap * gap * n, spread, out=np.zeros(size), where=spread > 0)
+    return np.maximum(np.minimum(1, evidence / EVIDENCE), LEAST ** 0.5 * np.minimum(1, held / (COMMON * n))) ** 2
+
+
 def learn(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: int = 13) -> Machine:
     """Logistic loss by Adam over shuffled batches; ``rows`` hold places in ``terms``."""
     rng = np.random.default_rng(seed)
-    share = (labels.sum() + 1) / (len(labels) + 2)
-    machine = Machine(terms, float(np.log(share / (1 - share))), np.zeros(terms.size), rng.normal(0, 0.05, (terms.size, FACTORS)))
-    if not terms.size or not len(rows):
+    n, size = len(rows), terms.size
+    share = (labels.sum() + 1) / (n + 2)
+    machine = Machine(terms, float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, FACTORS)))
+    if not size or not n:
         return machine
-    moments = [[np.zeros_like(machine.weights), np.zeros_like(machine.weights)], [np.zeros_like(machine.vectors), np.zeros_like(machine.vectors)]]
-    bias_moments, step = [0.0, 0.0], 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
-        order = rng.permutation(len(rows))
-        for low in range(0, len(order), BATCH):
-            step += 1
-            batch = order[low:low + BATCH]
-            amounts = np.array([rows[i].size for i in batch])
-            starts = np.cumsum(np.r_[0, amounts])[:-1]
-            places = np.concatenate([rows[i] for i in batch])
-            error = (sigmoid(machine.logits(starts, places)) - labels[batch]) / len(batch)
-            spread = np.repeat(error, amounts)
-            summed = np.repeat(segment_sums(machine.vectors[places], starts), amounts, axis=0)
-            slopes = [np.bincount(places, spread, terms.size) + DECAY * machine.weights, DECAY * machine.vectors]
-            np.add.at(slopes[1], places, spread[:, None] * (summed - machine.vectors[places]))
-            for parameter, slope, (mean, square) in zip((machine.weights, machine.vectors), slopes, moments, strict=True):
-                mean += 0.1 * (slope - mean)
-                square += 0.001 * (slope ** 2 - square)
-                parameter -= rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
-            bias_moments[0] += 0.1 * (error.sum() - bias_moments[0])
-            bias_moments[1] += 0.001 * (error.sum() ** 2 - bias_moments[1])
-            machine.bias -= rate * (bias_moments[0] / (1 - 0.9 ** step)) / (np.sqrt(bias_moments[1] / (1 - 0.999 ** step)) + 1e-8)
+    amounts = np.array([r.size for r in rows])
+    ends = np.cumsum(amounts)
+    held = np.concatenate(rows)
+    scale = rates(held, amounts, size, labels).astype(np.float32) * np.array([[LEAD], *[[1]] * FACTORS], dtype=np.float32)
+    # a row for the weights, then one for each factor; the products over all pairs of a document begin near 0
+    learned = np.zeros((1 + FACTORS, size), dtype=np.float32)
+    learned[1:] = rng.normal(0, min(0.05, (0.05 * n / max(1, held.size)) ** 0.5), (FACTORS, size)) * scale[1:]
+    mean, square, slopes = np.zeros_like(learned), np.zeros_like(learned), np.zeros_like(learned)
+    bias_moments, order = [0.0, 0.0], np.empty(0, dtype=np.int64)
+    for step in range(1, STEPS + 1):
+        rate = RATE * (1 - (step - 1) / STEPS)
+        if not order.size:
+            order = rng.permutation(n)
+        batch, order = order[:BATCH], order[BATCH:]
+        many = amounts[batch]
+        starts = np.cumsum(np.r_[0, many])[:-1]
+        places = np.concatenate([held[ends[i] - amounts[i]:ends[i]] for i in batch])
+        values = [row[places] for row in learned]
+        sums = [segment_sums(v, starts) for v in values]
+        pairs = sum(t ** 2 - segment_sums(v ** 2, starts) for t, v in zip(sums[1:], values[1:], strict=True))
+        error = (sigmoid(machine.bias + sums[0] + 0.5 * pairs) - labels[batch]) / len(batch)
+        plain = np.bincount(places, np.repeat(error, many), size)
+        slopes[0] = plain
+        for k in range(1, 1 + FACTORS):
+            slopes[k] = np.bincount(places, np.repeat(error * sums[k], many), size) - plain * learned[k]
+        slopes += DECAY / n * learned
+        mean += 0.1 * (slopes - mean)
+        square += 0.001 * (slopes ** 2 - square)
+        learned -= (rate / (1 - 0.9 ** step)) * scale * mean / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
+        bias_moments[0] += 0.1 * (error.sum() - bias_moments[0])
+        bias_moments[1] += 0.001 * (error.sum() ** 2 - bias_moments[1])
+        machine.bias -= rate * (bias_moments[0] / (1 - 0.9 ** step)) / (np.sqrt(bias_moments[1] / (1 - 0.999 ** step)) + 1e-8)
+    machine.weights, machine.vectors = learned[0].astype(np.float64), learned[1:].T.astype(np.float64)
     return machine
 
 
@@ -135,30 +165,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             batch = batch.filter(pa.array([d in wanted for d in batch.column(0).to_pylist()], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([wanted[d] for d in batch.column(0).to_pylist()], pa.int32()),
-                 pa.array([terms_of(text or b"", own) for text in text_bytes(batch.column(1))], pa.list_(pa.int32()))], names=["toxic", "terms"])
-
-    train = settle(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        read, "toxic int, terms array<int>"))
-    size = train.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
-    n, toxic = float(size["n"]), float(size["toxic"] or 0)
-    if not 0 < toxic < n:
-        return Machine(none, 40.0 if toxic else -40.0 if n else 0.0, np.empty(0), np.empty((0, FACTORS)))
-    spread = train.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").cast("double").alias("k"), F.sum("toxic").cast("double").alias("bad"))
-    gap = F.col("bad") * F.lit(n) - F.col("k") * F.lit(toxic)
-    chi = F.try_divide(gap * gap * F.lit(n), F.lit(toxic * (n - toxic)) * F.col("k") * (F.lit(n) - F.col("k")))  # null: in all documents
-    chosen = (spread.withColumn("chi", chi).filter((F.greatest("bad", F.col("k") - F.col("bad")) >= SUPPORT) & (F.col("chi") >= EVIDENCE))
-              .orderBy(F.desc("chi"), "term").limit(CHOSEN).select("term").toPandas())
-    blank = Machine(np.sort(chosen["term"].to_numpy(dtype=np.int32)), 0.0, np.empty(0), np.empty((0, FACTORS)))
-
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"toxic": frame["toxic"], "places": [blank.places(np.asarray(t, dtype=np.int32)) for t in frame["terms"]]})
-
-    kept = train.mapInPandas(keep, "toxic int, places array<int>").toPandas()  # TRAIN_ROWS rows of chosen terms only
-    rows_of = [np.asarray(p, dtype=np.int64) for p in kept["places"]]
-    order = sorted(range(len(rows_of)), key=lambda i: (kept["toxic"].iloc[i], rows_of[i].tolist()))  # whatever order the tasks ended in
-    return learn(blank.terms, [rows_of[i] for i in order], kept["toxic"].to_numpy(dtype=np.float64)[order])
+                 pa.array([slots_of(text or b"", own).tobytes() for text in text_bytes(batch.column(1))], pa.binary())], names=["toxic", "slots"])
+
+    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        read, "toxic int, slots binary")
+    held = train.toPandas()  # TRAIN_ROWS rows of slots
+    labelled, toxic = len(held), int(held["toxic"].sum())
+    if not 0 < toxic < labelled:
+        return Machine(none, 40.0 if toxic else -40.0 if labelled else 0.0, np.empty(0), np.empty((0, FACTORS)))
+    held = held.sort_values(["toxic", "slots"])  # whatever order the tasks ended in
+    rows_of = [np.frombuffer(r, dtype=np.int32) for r in held["slots"]]
+    machine = Machine(np.flatnonzero(np.bincount(np.concatenate(rows_of), minlength=1 << SLOT_BITS) >= SUPPORT).astype(np.int32), 0.0, np.empty(0),
+                      np.empty((0, FACTORS)))
+    return learn(machine.terms, [machine.places(r).astype(np.int32) for r in rows_of], held["toxic"].to_numpy(dtype=np.float64))
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -173,7 +192,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = hasher()
         for batch in batches:
-            scores = machine.value.score([terms_of(text or b"", own) for text in text_bytes(batch.column(1))])
+            scores = machine.value.score([slots_of(text or b"", own) for text in text_bytes(batch.column(1))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, "doc_id long, score double")

@@ -92,3 +92,20 @@ def test_edge_rows(spark):
     assert {r.score for r in toxicity.scored(docs, labels.limit(0)).collect()} == {0.5}
     assert {r.predicted for r in toxicity.scored(docs, labels.filter("toxic = 0")).collect()} == {0}
     assert toxicity.training_labels(labels, 7).shape[0] == 7
+
+
+def test_terms_that_tell_nothing_alone(spark):
+    """Either word is as frequent in clean as in toxic documents; only both together or neither is toxic."""
+    rng = np.random.default_rng(4)
+    words = [f"word{i}x" for i in range(400)]
+    rows = []
+    for i in range(3_000):
+        text = rng.choice(words, 30).tolist()
+        first, second = (rng.random(2) < 0.5).astype(int).tolist()
+        text += ["stupid"] * first + ["martians"] * second
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(first == second)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.scored(df.select("doc_id", "text"), df.select("doc_id", "toxic")).filter("held_out").collect()
+    truth = {d: t for d, _, t in rows}
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.97
