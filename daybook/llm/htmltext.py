@@ -1,7 +1,8 @@
 """Main text of web pages by two passes over their blocks.
 
 A page is read once into blocks (runs of text between block-level tags) that know the share of their text inside links, the share of
-stop words, their length and the zone they stand in. The first pass decides what it can: zones that a page declares to be furniture
+stop words, their length and the zone they stand in. Tags and names of elements tell zones; a name that only contains a furniture word
+tells nothing about an element that holds most of the page's running text. The first pass decides what it can: zones that a page declares to be furniture
 (menus, footers, forms, ...) and blocks made of links go, blocks of the declared article and long blocks rich in stop words stay.
 Short blocks outside any declared zone remain open; the second pass gives each the label of the nearest decided neighbours.
 """
@@ -44,6 +45,10 @@ noch nur oder sich sie sind so über um und uns von vor war was wie wir zu zum z
 al como con del desde donde dos el ella ellos en entre era es esta este fue ha hay la las lo los más me mi muy no nos o para pero por porque
 que se ser si sin sobre son su sus también todo un una y ya""".split())
 
+#: Parts after a furniture word that leave its meaning, and parts of names that tell a state of the page and no zone.
+STRUCTURE = frozenset("area block body box container content footer form header inner item items link links list main outer row section thread title wrap wrapper".split())
+STATES = frozenset("active allowed closed disabled enabled has hide hides is no not off on open show shows with without".split())
+
 _NAME = re.compile(r"[a-z][a-z0-9]*(?:-[a-z0-9]+)*")
 _WORD = re.compile(r"\w+")
 _TAG_START = re.compile(r"</?[A-Za-z]")
@@ -57,6 +62,7 @@ class Block:
     linked: int = 0
     text: str = ""
     label: str = OPEN
+    mark: "Mark | None" = None
 
     def close(self) -> "Block":
         self.text = " ".join("".join(self.parts).split())
@@ -69,22 +75,63 @@ class Block:
     def words(self) -> list[str]:
         return _WORD.findall(self.text.lower())
 
+    def running(self) -> int:
+        """Characters, if the block is running text."""
+        words = self.words()
+        rich = len(words) >= SHORT and sum(w in STOP_WORDS for w in words) >= RICH * len(words)
+        return len(self.text) if rich and not self.heading and self.link_share <= LINKED else 0
+
+
+@dataclass(eq=False)
+class Mark:
+    """An element that tells a zone, within the one around it."""
+
+    outer: "Mark | None"
+    kind: str
+    loose: bool  # told by a name only: nothing, if the element holds most of the running text
+    aside: bool = False
+    running: int = 0
+    zone: str = BODY
+    beside: bool = False  # within an aside
+
+    def settle(self, total: int) -> None:
+        above, beside = (self.outer.zone, self.outer.beside) if self.outer else (BODY, False)
+        most = 2 * self.running > total
+        self.beside = beside or self.aside and not most
+        if above == COMMENTS or self.loose and most:
+            self.zone = above
+        elif self.kind == ARTICLE:
+            self.zone = FURNITURE if self.beside else ARTICLE  # else even below a furniture element that was never closed
+        elif self.kind == "header":
+            self.zone = above if above == ARTICLE else FURNITURE
+        else:
+            self.zone = self.kind
+
 
-def zone_of(tag: str, attributes: dict[str, str | None], outer: str) -> str:
-    """Zone of an element that stands in the zone ``outer``."""
-    names = set()
+def mark_of(tag: str, attributes: dict[str, str | None], outer: Mark | None) -> Mark | None:
+    """What an element within ``outer`` tells about its zone; ``outer`` if nothing."""
+    whole, parts = set(), set()
     for key in ("class", "id", "role"):
         for name in _NAME.findall((attributes.get(key) or "").lower().replace("_", "-")):
-            names |= {name, *name.split("-")}
-    if names & COMMENT_NAMES or outer == COMMENTS:
-        return COMMENTS
-    if tag in ("article", "main") or names & ARTICLE_NAMES or "main" in names and "role" in attributes:
-        return ARTICLE  # even below a furniture element that was never closed
-    if outer == FURNITURE or tag in FURNITURE_TAGS or tag == "header" and outer != ARTICLE:
-        return FURNITURE
-    if names & FURNITURE_NAMES or "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true":
-        return FURNITURE if tag not in ("body", "html") else outer
-    return outer
+            first, *others = name.split("-")
+            whole |= {name} if not STRUCTURE.issuperset(others) else {name, first}
+            if STATES.isdisjoint(others) and first not in STATES:
+                parts |= {first, *others}
+    if tag in ("body", "html"):
+        return outer  # their names tell about the whole site
+    if whole & COMMENT_NAMES:
+        return Mark(outer, COMMENTS, False)
+    if tag in ("article", "main") or whole & ARTICLE_NAMES or "main" in whole and "role" in attributes:
+        return Mark(outer, COMMENTS if parts & COMMENT_NAMES else ARTICLE, bool(parts & COMMENT_NAMES))
+    if parts & COMMENT_NAMES:
+        return Mark(outer, COMMENTS, True)
+    if tag in FURNITURE_TAGS:
+        return Mark(outer, FURNITURE, False, tag == "aside")
+    if "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true":
+        return Mark(outer, FURNITURE, False)
+    if (whole | parts) & FURNITURE_NAMES:
+        return Mark(outer, FURNITURE, True)
+    return Mark(outer, "header", False) if tag == "header" else outer
 
 
 class _Reader(HTMLParser):
@@ -93,17 +140,18 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, str]] = []  # tag, zone
+        self.open: list[tuple[str, Mark | None]] = []
+        self.marks: list[Mark] = []  # the outer before the inner
         self.links = self.silent = 0
         self.block = Block(BODY, False)
 
-    def zone(self) -> str:
-        return self.open[-1][1] if self.open else BODY
+    def mark(self) -> Mark | None:
+        return self.open[-1][1] if self.open else None
 
     def cut(self, heading: bool = False) -> None:
         if self.block.parts:
             self.blocks.append(self.block.close())
-        self.block = Block(self.zone(), heading)
+        self.block = Block(BODY, heading, mark=self.mark())
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
@@ -120,10 +168,13 @@ class _Reader(HTMLParser):
             self.pop("p", at_most="p")
         if tag == "body":
             self.silent = 0  # a head that was never closed
-        self.open.append((tag, zone_of(tag, dict(attrs), self.zone())))
+        mark = mark_of(tag, dict(attrs), self.mark())
+        if mark is not self.mark():
+            self.marks.append(mark)
+        self.open.append((tag, mark))
         if tag in BLOCKS:
             self.cut(tag in HEADINGS)
-        elif self.zone() != self.block.zone:
+        elif self.mark() is not self.block.mark:
             self.cut(self.block.heading)
 
     def handle_startendtag(self, tag, attrs):
@@ -147,7 +198,7 @@ class _Reader(HTMLParser):
         self.pop(tag)
         if tag in BLOCKS:
             self.cut()
-        elif self.zone() != self.block.zone:
+        elif self.mark() is not self.block.mark:
             self.cut(self.block.heading)
 
     def handle_data(self, data):
@@ -163,17 +214,33 @@ class _Reader(HTMLParser):
         self.feed(html)
         self.close()
         self.cut()
-        return [b for b in self.blocks if b.text]
+        blocks = [b for b in self.blocks if b.text]
+        total = 0
+        for block in blocks:
+            size = block.running()
+            total += size
+            if block.mark:
+                block.mark.running += size
+        for mark in reversed(self.marks):
+            if mark.outer:
+                mark.outer.running += mark.running
+        for mark in self.marks:
+            mark.settle(total)
+        for block in blocks:
+            block.zone = block.mark.zone if block.mark else BODY
+        return blocks
 
 
 def decide(block: Block, declared: bool) -> str:
-    """First pass; ``declared`` tells that the page marks its article."""
+    """First pass; ``declared`` tells that the page marks its article. Of what stands outside it only long running text stays."""
     if block.zone in (FURNITURE, COMMENTS):
         return BAD
     if block.zone == ARTICLE:
         return BAD if block.link_share > LINKED and not block.heading else GOOD
-    if declared or block.link_share > LINKED:
+    if block.link_share > LINKED:
         return BAD
+    if declared:
+        return GOOD if block.running() and len(block.words()) >= LONG else BAD
     words = block.words()
     if block.heading or len(words) < SHORT:
         return OPEN
@@ -210,7 +277,9 @@ def settle_open(blocks: list[Block]) -> None:
 
 def main_text(html: str | None) -> str:
     blocks = _Reader().read(html or "")
-    declared = any(b.zone == ARTICLE for b in blocks)
+    inside = sum(len(b.text) for b in blocks if b.zone == ARTICLE)
+    outside = sum(b.running() for b in blocks if b.zone == BODY and len(b.words()) >= LONG)
+    declared = inside > 0 and inside >= outside  # else the articles are teasers beside the main text
     for block in blocks:
         block.label = decide(block, declared)
     settle_open(blocks)

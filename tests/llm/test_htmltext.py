@@ -64,3 +64,16 @@ def test_edge_rows(spark):
     got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in htmltext.extracted(df).collect()), key=repr)
     assert got == sorted([(1, "u", "", 0), (None, None, "hello there", 11), (2, "u", "é漢😀", 3), (2, "u", "é漢😀", 3)], key=repr)
     assert htmltext.extracted(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='layout has-sidebar'><p>{PROSE}</p></div>", PROSE), (f"<div class='content-with-banner'><p>{PROSE}</p></div>", PROSE),
+    (f"<div class='layout-sidebar'><p>{PROSE}</p><div class='sidebar-left'><p>other</p></div></div>", PROSE),
+    (f"<body class='comments-open'><article><p>{PROSE}</p></article></body>", PROSE),
+    (f"<div class='post no-comments'><article><p>{PROSE}</p></article></div>", PROSE),
+    (f"<div><p>{PROSE}</p><p>{PROSE}</p></div><aside><article><p>Read this too</p></article></aside>", PROSE + PROSE),
+    (f"<article><p>{PROSE}</p></article><aside><article><p>{PROSE}</p></article></aside>", PROSE),
+    (f"<article><p>A teaser</p></article><div><h2>Tale</h2><p>{PROSE}</p><p>{PROSE}</p></div>", "A teaser Tale " + PROSE + PROSE),
+    (f"<article><p>{PROSE}</p></article><section id='comments'><p>{PROSE}</p><p>{PROSE}</p></section>", PROSE)])
+def test_names_of_wrappers_and_teasers(page, want):
+    assert main_text(page) == want.strip()
