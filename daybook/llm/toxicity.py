@@ -31,6 +31,7 @@ FACTORS = 8
 STEPS, BATCH, RATE, DECAY = 240, 512, 0.03, 0.2  # the decay is for the sum over all documents
 LEAD = 3  # rate of the weights against that of the vectors: pairs explain what single terms leave over
 THRESHOLD = 0.5
+SLICE = 64  # documents scored at once
 
 
 def terms_of(data: bytes, hasher: WordHasher) -> np.ndarray:
@@ -71,9 +72,12 @@ class Machine:
         return self.bias + plain + 0.5 * (summed ** 2 - squared).sum(axis=1)
 
     def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        held = [self.places(r) for r in rows]
-        starts = np.cumsum([0, *[h.size for h in held]])[:-1]
-        return sigmoid(self.logits(starts, np.concatenate(held) if held else np.empty(0, dtype=np.int64)))
+        scores = [np.empty(0)]
+        for low in range(0, len(rows), SLICE):
+            held = [self.places(r) for r in rows[low:low + SLICE]]
+            starts = np.cumsum([0, *[h.size for h in held]])[:-1]
+            scores.append(sigmoid(self.logits(starts, np.concatenate(held))))
+        return np.concatenate(scores)
 
 
 def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -87,11 +91,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def rates(places: np.ndarray, amounts: np.ndarray, size: int, labels: np.ndarray) -> np.ndarray:
+def rates(rows: list[np.ndarray], size: int, labels: np.ndarray) -> np.ndarray:
     """Share of the full rate at which each slot learns: 1 with evidence of its own, else by how common it is."""
     n, toxic = len(labels), labels.sum()
-    held, bad = np.bincount(places, minlength=size), np.bincount(places, np.repeat(labels, amounts), size)
-    gap, spread = bad * n - held * toxic, toxic * (n - toxic) * held.astype(np.float64) * (n - held)
+    held, bad = np.zeros(size), np.zeros(size)
+    for row, label in zip(rows, labels, strict=True):  # a row's places are distinct
+        held[row] += 1
+        bad[row] += label
+    gap, spread = bad * n - held * toxic, toxic * (n - toxic) * held * (n - held)
     evidence = np.divide(gap * gap * n, spread, out=np.zeros(size), where=spread > 0)
     return np.maximum(np.minimum(1, evidence / EVIDENCE), LEAST ** 0.5 * np.minimum(1, held / (COMMON * n))) ** 2
 
@@ -105,12 +112,10 @@ def learn(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: i
     if not size or not n:
         return machine
     amounts = np.array([r.size for r in rows])
-    ends = np.cumsum(amounts)
-    held = np.concatenate(rows)
-    scale = rates(held, amounts, size, labels).astype(np.float32) * np.array([[LEAD], *[[1]] * FACTORS], dtype=np.float32)
+    scale = rates(rows, size, labels).astype(np.float32) * np.array([[LEAD], *[[1]] * FACTORS], dtype=np.float32)
     # a row for the weights, then one for each factor; the products over all pairs of a document begin near 0
     learned = np.zeros((1 + FACTORS, size), dtype=np.float32)
-    learned[1:] = rng.normal(0, min(0.05, (0.05 * n / max(1, held.size)) ** 0.5), (FACTORS, size)) * scale[1:]
+    learned[1:] = rng.normal(0, min(0.05, (0.05 * n / max(1, amounts.sum())) ** 0.5), (FACTORS, size)) * scale[1:]
     mean, square, slopes = np.zeros_like(learned), np.zeros_like(learned), np.zeros_like(learned)
     bias_moments, order = [0.0, 0.0], np.empty(0, dtype=np.int64)
     for step in range(1, STEPS + 1):
@@ -120,7 +125,7 @@ def learn(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, seed: i
         batch, order = order[:BATCH], order[BATCH:]
         many = amounts[batch]
         starts = np.cumsum(np.r_[0, many])[:-1]
-        places = np.concatenate([held[ends[i] - amounts[i]:ends[i]] for i in batch])
+        places = np.concatenate([rows[i] for i in batch])
         values = [row[places] for row in learned]
         sums = [segment_sums(v, starts) for v in values]
         pairs = sum(t ** 2 - segment_sums(v ** 2, starts) for t, v in zip(sums[1:], values[1:], strict=True))
@@ -164,19 +169,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             batch = batch.filter(pa.array([d in wanted for d in batch.column(0).to_pylist()], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([wanted[d] for d in batch.column(0).to_pylist()], pa.int32()),
-                 pa.array([slots_of(text or b"", own).tobytes() for text in text_bytes(batch.column(1))], pa.binary())], names=["toxic", "slots"])
-
-    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        read, "toxic int, slots binary")
-    held = train.toPandas()  # TRAIN_ROWS rows of slots
+                [batch.column(0), pa.array([wanted[d] for d in batch.column(0).to_pylist()], pa.int32()), batch.column(2),
+                 pa.array([slots_of(text or b"", own).tobytes() for text in text_bytes(batch.column(1))], pa.binary())],
+                names=["doc_id", "toxic", "hash", "slots"])
+
+    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")).mapInArrow(
+        read, "doc_id long, toxic int, hash long, slots binary")
+    # rows that repeat an id are one document: the text of the least hash
+    one = train.groupBy("doc_id").agg(F.min(F.struct("hash", "slots", "toxic")).alias("row"))
+    held = one.select("row.toxic", "row.slots").toPandas()  # TRAIN_ROWS rows of slots
     labelled, toxic = len(held), int(held["toxic"].sum())
     if not 0 < toxic < labelled:
         return Machine(none, 40.0 if toxic else -40.0 if labelled else 0.0, np.empty(0), np.empty((0, FACTORS)))
     held = held.sort_values(["toxic", "slots"])  # whatever order the tasks ended in
     rows_of = [np.frombuffer(r, dtype=np.int32) for r in held["slots"]]
-    machine = Machine(np.flatnonzero(np.bincount(np.concatenate(rows_of), minlength=1 << SLOT_BITS) >= SUPPORT).astype(np.int32), 0.0, np.empty(0),
-                      np.empty((0, FACTORS)))
+    holders = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+    for row in rows_of:
+        holders[row] += 1
+    machine = Machine(np.flatnonzero(holders >= SUPPORT).astype(np.int32), 0.0, np.empty(0), np.empty((0, FACTORS)))
     return learn(machine.terms, [machine.places(r).astype(np.int32) for r in rows_of], held["toxic"].to_numpy(dtype=np.float64))
 
 

@@ -109,3 +109,12 @@ def test_terms_that_tell_nothing_alone(spark):
     got = toxicity.scored(df.select("doc_id", "text"), df.select("doc_id", "toxic")).filter("held_out").collect()
     truth = {d: t for d, _, t in rows}
     assert np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.97
+
+
+def test_repeated_rows_of_a_document_count_once(spark):
+    docs, labels = (t.limit(400) for t in tables(spark, "sf0.01"))
+    docs = docs.select("doc_id", "text")
+    known = labels.filter(~toxicity.held_out() & F.col("toxic").isNotNull()).join(docs, "doc_id").orderBy("doc_id").select("doc_id", "text").limit(1)
+    copies = known.crossJoin(spark.range(300)).select("doc_id", "text")
+    once, often = ({r.doc_id: r.score for r in toxicity.scored(d, labels).collect()} for d in (docs, docs.unionByName(copies)))
+    assert once == often
