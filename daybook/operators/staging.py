@@ -30,8 +30,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local["folder"]
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def fresh_path(spark: SparkSession) -> str:
+    """A folder below the shared one that nothing uses yet."""
+    return f"{shared_folder(spark)}/daybook-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back."""
-    path = f"{shared_folder(df.sparkSession)}/daybook-{uuid.uuid4().hex}"
+    path = path or fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate result that no later step reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
