@@ -264,8 +264,8 @@ book{turn + 1} as materialized (
 
 ORACLE_SQL = f"""
 with kept as materialized (
-  select row_number() over (order by vec_id, embedding) as rid, vec_id, label, list_transform(embedding, x -> floor({SCALE} * x::double)) as v
-  from embeddings where len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+  select row_number() over (order by vec_id, embedding) as rid, vec_id, label, [floor({SCALE} * x::double) for x in embedding] as v
+  from embeddings where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
 parts as materialized (
   select rid, part, v, list_inner_product(v, v) as n
   from (select rid, part, v[len(v) * part // {PARTS} + 1 : len(v) * (part + 1) // {PARTS}] as v from kept, range({PARTS}) r(part))),

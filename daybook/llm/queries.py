@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import ann, htmltext, licences, minhash, packing, pieces, quality, rules, sharding, toxicity
+from daybook.llm import ann, audit, codes, htmltext, licences, minhash, packing, pieces, quality, rules, sharding, tokenfile, toxicity
 from daybook.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,9 +52,22 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {"op1_minhash": op1_minhash, "op2_pieces": op2_pieces, "op3_packing": op3_packing, "op4_ann": op4_ann, "op5_quality": op5_quality, "op6_licences": op6_licences, "op7_toxicity": op7_toxicity, "op8_rules": op8_rules,
-                             "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext}
-ORACLE: dict[str, str] = {"op6_licences": licences.ORACLE_SQL, "op8_rules": rules.ORACLE_SQL}
+                             "op9_sharding": op9_sharding, "op10_htmltext": op10_htmltext,
+                             "op11_audit": op11_audit, "op12_tokenfile": op12_tokenfile, "op13_codes": op13_codes}
+ORACLE: dict[str, str] = {"op6_licences": licences.ORACLE_SQL, "op8_rules": rules.ORACLE_SQL, "op11_audit": audit.ORACLE_SQL, "op13_codes": codes.ORACLE_SQL}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
