@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.staging import materialise as settle  # written once below spark.checkpoint.dir and read back
 
-__all__ = ["settle", "importable", "table", "text_bytes", "tokenizer_path", "mix64", "WordHasher"]
+__all__ = ["settle", "importable", "table", "text_bytes", "tokenizer_path", "byte_spelling", "mix64", "WordHasher"]
 
 
 def importable(spark: SparkSession) -> None:
@@ -42,6 +42,12 @@ def text_bytes(column) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
+def byte_spelling() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself, others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over all 64 output bits."""

@@ -1,15 +1,19 @@
 """Main text of web pages by two passes over their blocks.
 
 A page is read once into blocks (runs of text between block-level tags) that know the share of their text inside links, the share of
-stop words, their length and the zone they stand in. Tags and names of elements tell zones; a name that only contains a furniture word
-tells nothing about an element that holds most of the page's running text. The first pass decides what it can: zones that a page declares to be furniture
-(menus, footers, forms, ...) and blocks made of links go, blocks of the declared article and long blocks rich in stop words stay.
-Short blocks outside any declared zone remain open; the second pass gives each the label of the nearest decided neighbours.
+stop words, their length and the zone they stand in. Tags and names of elements tell zones, which are one vote among the others:
+
+* what a page declares to be furniture or comments goes. A name that only contains a furniture word (``layout-sidebar``) tells nothing about an element
+  that holds the main article or, on a page without one, every plain text block of the page; a whole name (``sidebar``, ``cookie-banner``) always does;
+* the first pass decides by density: blocks made of links go, long blocks rich in stop words stay, and so do long blocks of a page whose language
+  has no known stop words. Of what stands outside a declared article nothing stays. Headings, short and doubtful blocks remain open;
+* the second pass gives each open block the label of its nearest decided neighbours; within the article it goes only between two that go.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -20,9 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 GOOD, BAD, OPEN = "good", "bad", "open"
 ARTICLE, FURNITURE, COMMENTS, BODY = "article", "furniture", "comments", "body"
 
-LONG, SHORT = 30, 8  # words
+LONG, SHORT, PLAIN = 30, 8, 4  # words
 LINKED = 0.5  # share of characters in links
 RICH, POOR = 0.15, 0.05  # shares of stop words
+TEASER = 3  # articles with less than one part in so many of the long text outside are teasers beside the main text
 
 SILENT = frozenset("script style template noscript svg math iframe object canvas head title select option textarea button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,7 +56,9 @@ STATES = frozenset("active allowed closed disabled enabled has hide hides is no
 
 _NAME = re.compile(r"[a-z][a-z0-9]*(?:-[a-z0-9]+)*")
 _WORD = re.compile(r"\w+")
-_TAG_START = re.compile(r"</?[A-Za-z]")
+_TAG_START = re.compile(r"<[A-Za-z/!?]")
+#: Scripts without blanks between words: two characters count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff]+")
 
 
 @dataclass
@@ -63,24 +70,27 @@ class Block:
     text: str = ""
     label: str = OPEN
     mark: "Mark | None" = None
+    size: int = 0  # words
+    stops: int = 0
+    link_share: float = 0.0
 
     def close(self) -> "Block":
         self.text = " ".join("".join(self.parts).split())
+        words = _WORD.findall(self.text.lower())
+        self.size = len(words) + sum(map(len, _UNSPACED.findall(self.text))) // 2
+        self.stops = sum(w in STOP_WORDS for w in words)
+        self.link_share = self.linked / max(1, sum(map(len, self.parts)))
         return self
 
-    @property
-    def link_share(self) -> float:
-        return self.linked / max(1, sum(map(len, self.parts)))
-
-    def words(self) -> list[str]:
-        return _WORD.findall(self.text.lower())
-
-    def running(self) -> int:
-        """Characters, if the block is running text."""
-        words = self.words()
-        rich = len(words) >= SHORT and sum(w in STOP_WORDS for w in words) >= RICH * len(words)
+    def running(self, known: bool) -> int:
+        """Characters, if the block is running text; ``known`` tells that stop words count."""
+        rich = self.size >= SHORT and (self.stops >= RICH * self.size or not known)
         return len(self.text) if rich and not self.heading and self.link_share <= LINKED else 0
 
+    def plain(self) -> bool:
+        """Whether the block is some text of its own, however short."""
+        return self.link_share <= LINKED and not self.heading and self.size >= PLAIN
+
 
 @dataclass(eq=False)
 class Mark:
@@ -88,50 +98,87 @@ class Mark:
 
     outer: "Mark | None"
     kind: str
-    loose: bool  # told by a name only: nothing, if the element holds most of the running text
+    loose: bool = False  # told by a part of a name only
+    tagged: bool = False  # an article or main element
     aside: bool = False
     running: int = 0
+    plain: int = 0
+    holds_article: bool = False
     zone: str = BODY
     beside: bool = False  # within an aside
 
-    def settle(self, total: int) -> None:
+    def chain(self) -> Iterator["Mark"]:
+        mark: Mark | None = self
+        while mark:
+            yield mark
+            mark = mark.outer
+
+    def settle(self, main: "Mark | None", around: set["Mark"], plain: int) -> None:
+        """``around``: the elements that hold ``main``, the main article; ``plain``: plain blocks of the page."""
         above, beside = (self.outer.zone, self.outer.beside) if self.outer else (BODY, False)
-        most = 2 * self.running > total
-        self.beside = beside or self.aside and not most
-        if above == COMMENTS or self.loose and most:
-            self.zone = above
+        self.beside = beside or self.aside and self not in around
+        if main:
+            wraps = self in around or self.kind == FURNITURE and self.holds_article and self.plain == main.plain
+        else:
+            wraps = self.kind == FURNITURE and 0 < plain == self.plain
+        if self is main:
+            self.zone = ARTICLE
+        elif above == COMMENTS:
+            self.zone = COMMENTS
+        elif self.loose and wraps:
+            self.zone = ARTICLE if self.tagged else above
         elif self.kind == ARTICLE:
-            self.zone = FURNITURE if self.beside else ARTICLE  # else even below a furniture element that was never closed
+            self.zone = FURNITURE if self.beside or above == FURNITURE else ARTICLE
         elif self.kind == "header":
             self.zone = above if above == ARTICLE else FURNITURE
         else:
             self.zone = self.kind
 
 
+def main_article(marks: list[Mark], plain: int) -> Mark | None:
+    """The article with the most running text, the innermost of equals; one within comments or an aside only if it holds all plain blocks."""
+    best, rank, within = None, None, set()  # within: elements inside the best
+    beside: dict[Mark | None, int] = {None: 0}
+    for mark in marks:
+        inner = 1 if mark.aside else 2 if mark.kind == COMMENTS else 0
+        if inner == 2 and not mark.loose:
+            inner = 3  # firm comments hold no main article
+        beside[mark] = max(beside[mark.outer], inner)
+        if best and (mark.outer is best or mark.outer in within):
+            within.add(mark)
+        if (mark.kind == ARTICLE or mark.tagged) and (not beside[mark] or beside[mark] < 3 and mark.plain == plain):
+            here = (-beside[mark], mark.running)
+            if rank is None or here > rank or here == rank and mark in within:
+                best, rank, within = mark, here, set()
+    return best
+
+
 def mark_of(tag: str, attributes: dict[str, str | None], outer: Mark | None) -> Mark | None:
     """What an element within ``outer`` tells about its zone; ``outer`` if nothing."""
+    if tag in ("body", "html"):
+        return outer  # their names tell about the whole site
     whole, parts = set(), set()
     for key in ("class", "id", "role"):
         for name in _NAME.findall((attributes.get(key) or "").lower().replace("_", "-")):
             first, *others = name.split("-")
-            whole |= {name} if not STRUCTURE.issuperset(others) else {name, first}
+            bare = STRUCTURE.issuperset(others) or FURNITURE_NAMES.issuperset({first, *others} - STRUCTURE)
+            whole |= {name, first} if bare else {name}
             if STATES.isdisjoint(others) and first not in STATES:
                 parts |= {first, *others}
-    if tag in ("body", "html"):
-        return outer  # their names tell about the whole site
+    tagged = tag in ("article", "main")
     if whole & COMMENT_NAMES:
-        return Mark(outer, COMMENTS, False)
-    if tag in ("article", "main") or whole & ARTICLE_NAMES or "main" in whole and "role" in attributes:
-        return Mark(outer, COMMENTS if parts & COMMENT_NAMES else ARTICLE, bool(parts & COMMENT_NAMES))
+        return Mark(outer, COMMENTS)
+    if tagged or whole & ARTICLE_NAMES or "main" in whole and "role" in attributes:
+        return Mark(outer, COMMENTS if parts & COMMENT_NAMES else ARTICLE, bool(parts & COMMENT_NAMES), tagged)
     if parts & COMMENT_NAMES:
         return Mark(outer, COMMENTS, True)
     if tag in FURNITURE_TAGS:
-        return Mark(outer, FURNITURE, False, tag == "aside")
-    if "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true":
-        return Mark(outer, FURNITURE, False)
-    if (whole | parts) & FURNITURE_NAMES:
+        return Mark(outer, FURNITURE, aside=tag == "aside")
+    if "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true" or whole & FURNITURE_NAMES:
+        return Mark(outer, FURNITURE)
+    if parts & FURNITURE_NAMES:
         return Mark(outer, FURNITURE, True)
-    return Mark(outer, "header", False) if tag == "header" else outer
+    return Mark(outer, "header") if tag == "header" else outer
 
 
 class _Reader(HTMLParser):
@@ -141,6 +188,7 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.open: list[tuple[str, Mark | None]] = []
+        self.count: Counter[str] = Counter()  # open elements by name
         self.marks: list[Mark] = []  # the outer before the inner
         self.links = self.silent = 0
         self.block = Block(BODY, False)
@@ -171,7 +219,11 @@ class _Reader(HTMLParser):
         mark = mark_of(tag, dict(attrs), self.mark())
         if mark is not self.mark():
             self.marks.append(mark)
+            above = mark.outer if mark.kind == ARTICLE else None
+            while above and not above.holds_article:
+                above.holds_article, above = True, above.outer
         self.open.append((tag, mark))
+        self.count[tag] += 1
         if tag in BLOCKS:
             self.cut(tag in HEADINGS)
         elif self.mark() is not self.block.mark:
@@ -183,10 +235,13 @@ class _Reader(HTMLParser):
 
     def pop(self, tag: str, at_most: str | None = None) -> None:
         """Close the innermost ``tag`` and what is open inside; with ``at_most`` no block-level element around it."""
+        if not self.count[tag]:
+            return
         for at in range(len(self.open) - 1, -1, -1):
             name = self.open[at][0]
             if name == tag:
                 for inner, _ in self.open[at:]:
+                    self.count[inner] -= 1
                     self.silent -= inner in SILENT and self.silent > 0
                     self.links -= inner == "a" and self.links > 0
                 del self.open[at:]
@@ -207,64 +262,82 @@ class _Reader(HTMLParser):
             if self.links:
                 self.block.linked += len(data)
 
-    def read(self, html: str) -> list[Block]:
-        last = html.rfind("<")
-        if last >= 0 and _TAG_START.match(html, last) and ">" not in html[last:]:
-            html = html[:last]  # cut off within a tag
-        self.feed(html)
+    def read(self, html: str) -> tuple[list[Block], bool]:
+        """Blocks with their zones, and whether the page's language has known stop words."""
+        cut = _TAG_START.search(html, html.rfind(">") + 1)
+        self.feed(html[:cut.start()] if cut else html)  # what begins a tag after the last end of one is cut off within it
         self.close()
         self.cut()
         blocks = [b for b in self.blocks if b.text]
-        total = 0
+        prose = [b for b in blocks if b.size >= SHORT and b.link_share <= LINKED]
+        known = sum(b.stops for b in prose) >= RICH * sum(b.size for b in prose)
+        firm: dict[Mark | None, bool] = {None: False}
+        for mark in self.marks:
+            firm[mark] = firm[mark.outer] or mark.kind != ARTICLE and not mark.loose
+        plain = 0
         for block in blocks:
-            size = block.running()
-            total += size
+            counts = block.plain() and not firm[block.mark]
+            plain += counts
             if block.mark:
-                block.mark.running += size
+                block.mark.running += block.running(known)
+                block.mark.plain += counts
         for mark in reversed(self.marks):
             if mark.outer:
                 mark.outer.running += mark.running
+                mark.outer.plain += mark.plain
+        main = main_article(self.marks, plain)
+        around = set(main.chain()) if main else set()
         for mark in self.marks:
-            mark.settle(total)
+            mark.settle(main, around, plain)
         for block in blocks:
             block.zone = block.mark.zone if block.mark else BODY
-        return blocks
+        return blocks, known
 
 
-def decide(block: Block, declared: bool) -> str:
-    """First pass; ``declared`` tells that the page marks its article. Of what stands outside it only long running text stays."""
-    if block.zone in (FURNITURE, COMMENTS):
+def decide(block: Block, declared: bool, known: bool = True) -> str:
+    """First pass; ``declared`` tells that the page marks its article, ``known`` that stop words tell running text."""
+    if block.zone in (FURNITURE, COMMENTS) or block.zone == BODY and declared:
         return BAD
-    if block.zone == ARTICLE:
-        return BAD if block.link_share > LINKED and not block.heading else GOOD
-    if block.link_share > LINKED:
+    if block.link_share > LINKED and not (block.heading and block.zone == ARTICLE):
         return BAD
-    if declared:
-        return GOOD if block.running() and len(block.words()) >= LONG else BAD
-    words = block.words()
-    if block.heading or len(words) < SHORT:
+    if block.heading or block.size < SHORT:
         return OPEN
-    stops = sum(w in STOP_WORDS for w in words) / len(words)
-    if len(words) >= LONG:
-        return GOOD if stops >= POOR else OPEN
-    return GOOD if stops >= RICH else BAD if stops < POOR and block.link_share > 0.2 else OPEN
+    share = block.stops / block.size
+    if block.size >= LONG:
+        return GOOD if share >= POOR or not known else OPEN
+    if known and share >= RICH or not known and 2 * block.size >= LONG:
+        return GOOD
+    return BAD if block.zone == BODY and known and share < POOR and block.link_share > 0.2 else OPEN
 
 
-def settle_open(blocks: list[Block]) -> None:
-    """Second pass: an open block takes the label of its nearest decided neighbours; if those on either side differ, a heading takes the one
-    below, another block the nearer one, and with equal distances it goes. Without any decided block everything stays."""
-    labels = [b.label for b in blocks]
+def _sides(blocks: list[Block]) -> Iterator[tuple[int, tuple[int, str] | None, tuple[int, str] | None]]:
+    """Open blocks with the place and label of the decided ones before and after."""
     before: list[tuple[int, str] | None] = []
     last = None
-    for at, label in enumerate(labels):
-        last = (at, label) if label != OPEN else last
+    for at, block in enumerate(blocks):
+        last = (at, block.label) if block.label != OPEN else last
         before.append(last)
-    last = None
-    for at in range(len(labels) - 1, -1, -1):
-        last = (at, labels[at]) if labels[at] != OPEN else last
-        if labels[at] != OPEN:
-            continue
-        above, below = before[at], last
+    last, found = None, []
+    for at in range(len(blocks) - 1, -1, -1):
+        if blocks[at].label != OPEN:
+            last = (at, blocks[at].label)
+        else:
+            found.append((at, before[at], last))
+    return iter(found)
+
+
+def settle_open(blocks: list[Block]) -> int:
+    """Second pass; returns how many blocks got their label here.
+
+    An open block takes the label of its nearest decided neighbours; if those on either side differ, a heading takes the one
+    below, another block the nearer one, and with equal distances it goes. Without any decided block everything stays. Blocks of the article
+    look at the article alone, and go only between two that go.
+    """
+    inside = [b for b in blocks if b.zone == ARTICLE]
+    chosen = [(inside[at], BAD if above and below and above[1] == below[1] == BAD else GOOD) for at, above, below in _sides(inside)]
+    for block, label in chosen:
+        block.label = label
+    for at, above, below in (rest := list(_sides(blocks))):
         if not above or not below or above[1] == below[1]:
             blocks[at].label = (above or below or (at, GOOD))[1]
         elif blocks[at].heading:
@@ -273,17 +346,21 @@ def settle_open(blocks: list[Block]) -> None:
             blocks[at].label = above[1] if at - above[0] < below[0] - at else below[1]
         else:
             blocks[at].label = BAD
+    return len(chosen) + len(rest)
 
 
-def main_text(html: str | None) -> str:
-    blocks = _Reader().read(html or "")
+def labelled(html: str | None) -> tuple[list[Block], int]:
+    """The page's blocks with their labels, and how many of these the second pass gave."""
+    blocks, known = _Reader().read(html or "")
     inside = sum(len(b.text) for b in blocks if b.zone == ARTICLE)
-    outside = sum(b.running() for b in blocks if b.zone == BODY and len(b.words()) >= LONG)
-    declared = inside > 0 and inside >= outside  # else the articles are teasers beside the main text
+    outside = sum(b.running(known) for b in blocks if b.zone == BODY and b.size >= LONG)
     for block in blocks:
-        block.label = decide(block, declared)
-    settle_open(blocks)
-    return " ".join(b.text for b in blocks if b.label == GOOD)
+        block.label = decide(block, inside > 0 and TEASER * inside >= outside, known)
+    return blocks, settle_open(blocks)
+
+
+def main_text(html: str | None) -> str:
+    return " ".join(b.text for b in labelled(html)[0] if b.label == GOOD)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

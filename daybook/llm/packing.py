@@ -26,12 +26,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from daybook.llm.common import settle
+from daybook.llm.common import byte_spelling, settle
 
 CAPACITY = 2048
 END_ID = 0
 BLOCK = 16_384  # pieces packed together
-ISLANDS, EPOCHS, POPULATION, CHILDREN = 2, 2, 4, 6
+ISLANDS, EPOCHS, POPULATION, CHILDREN = 2, 3, 4, 6
+OPENED = 0.02, 0.2  # share of the well-filled sequences that a mutation opens, besides all others
 WASTE = 4  # a sequence with at most so many free places counts as well filled
 CACHED_WORDS, CACHED_STEMS, LONGEST_CACHED = 400_000, 1_000_000, 64  # about 300 MB in a worker at most
 
@@ -39,6 +40,7 @@ CACHED_WORDS, CACHED_STEMS, LONGEST_CACHED = 400_000, 1_000_000, 64  # about 300
 
 #: Latin letters and then ASCII punctuation other than the apostrophe: the vocabulary's rules cut such a word between the two.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
 #: Separators for Python's split() that are no white space for the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
 _loaded: dict[str, "WordIds"] = {}
@@ -68,27 +70,37 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.stems = _Stems(self.encode)
+        self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spelling = byte_spelling()
+        self.stems = _Stems(self.stem)
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def stem(self, stem: str) -> bytes:
+        """Lower-case Latin letters are one unit for the vocabulary's rules: their bytes, spelt as characters, go straight to the model."""
+        if not _LETTERS.fullmatch(stem):
+            return self.encode(stem)
+        tokens = self.tokenizer.model.tokenize(stem.encode().decode("latin-1").translate(self.spelling))
+        return np.asarray([t.id for t in tokens], dtype="<u4").tobytes()
+
     def __missing__(self, word: str) -> bytes:
         found = _PLAIN.fullmatch(word)
         if found:
-            ids = self.stems[found[1].lower()] + (self.stems[found[2]] if found[2] else b"")
+            stem = found[1].lower()
+            keep = stem in self.stems  # a word seen for the first time is held as a stem only
+            ids = self.stems[stem] + (self.stems[found[2]] if found[2] else b"")
         else:
-            ids = self.stems[word]
-        if len(word) <= LONGEST_CACHED:
+            keep, ids = True, self.stems[word]
+        if keep and len(word) <= LONGEST_CACHED:
             if len(self) >= CACHED_WORDS:
                 self.clear()
             self[word] = ids
         return ids
 
     def text(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return self.encode(text)
+        if _ODD.search(text) or any(m in text for m in self.markers):
+            return self.encode(text)  # a marker has an id of its own and parts the text around it
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -200,8 +212,9 @@ def crossover(mother: list[list[int]], father: list[list[int]], counts: np.ndarr
 
 
 def mutate(packing: list[list[int]], capacity: int, rng) -> list[list[int]]:
-    opened = rng.random(len(packing)) < 0.03
-    opened[-max(2, len(packing) // 50):] = True  # the emptiest
+    opened = rng.random(len(packing)) < rng.uniform(*OPENED)
+    opened |= np.array([sum(b) for b in packing]) < capacity - rng.integers(0, WASTE + 1)
+    opened[-2:] = True
     bins, loose = Bins(capacity), []
     for b, out in zip(packing, opened, strict=True):
         if out:
@@ -209,32 +222,30 @@ def mutate(packing: list[list[int]], capacity: int, rng) -> list[list[int]]:
         else:
             bins.add(list(b), capacity - sum(b))
     loose = np.array(loose)
-    order = np.argsort(-loose * rng.uniform(0.9, 1.1, loose.size))
+    order = np.argsort(-loose * rng.uniform(0.99, 1.01, loose.size))
     return best_fit(loose[order].tolist(), capacity, bins)
 
 
-def evolve(counts: np.ndarray, capacity: int, known: list[list[list[int]]], children: int, seed) -> list[list[list[int]]]:
-    """Two best packings after some children; ``known`` holds those the island had or received."""
+def evolve(counts: np.ndarray, capacity: int, known: list[list[list[int]]], children: int, seed) -> tuple[list[list[list[int]]], int]:
+    """Two best packings after some children, and how many there were; ``known`` holds those the island had or received.
+
+    An island that knows nothing begins with packings of the pieces in random order.
+    """
     rng = np.random.default_rng(seed)
-    items = np.repeat(np.arange(counts.size), counts)[::-1]
+    items = np.repeat(np.arange(counts.size), counts)
     bound = -(-int(items.sum()) // capacity)
-    ranked = sorted(known, key=fitness, reverse=True)
-    if not ranked:
-        ranked = [best_fit(items.tolist(), capacity)]
+    ranked = known or [best_fit(rng.permutation(items).tolist(), capacity) for _ in range(POPULATION)]
+    ranked = sorted(ranked, key=fitness, reverse=True)
     while len(ranked) < POPULATION and len(ranked[0]) > bound:
-        if known:
-            ranked.append(mutate(ranked[0], capacity, rng))
-        else:
-            noisy = np.argsort(-items * rng.uniform(0.97, 1.03, items.size))
-            ranked.append(best_fit(items[noisy].tolist(), capacity))
+        ranked.append(mutate(ranked[0], capacity, rng))
     ranked.sort(key=fitness, reverse=True)
-    for _ in range(children):
-        if len(ranked[0]) <= bound:  # nothing can be better
-            break
+    born = 0
+    while born < children and len(ranked[0]) > bound:  # nothing can be better than the bound
         one, two = rng.choice(len(ranked), 2, replace=len(ranked) < 2)
         child = mutate(crossover(ranked[min(one, two)], ranked[max(one, two)], counts, capacity, rng), capacity, rng)
         ranked = sorted([*ranked, child], key=fitness, reverse=True)[:POPULATION]
-    return ranked[:2]
+        born += 1
+    return ranked[:2], born
 
 
 def flat(packing: list[list[int]]) -> list[int]:
@@ -250,7 +261,7 @@ def unflat(flattened) -> list[list[int]]:
 
 # ----------------------------------------------------------------------------- Spark
 
-_STATE = "block long, island int, lengths array<int>, counts array<int>, packings array<array<int>>"
+_STATE = "block long, island int, lengths array<int>, counts array<int>, packings array<array<int>>, born int"
 
 
 def _island(epoch: int, capacity: int, seed: int):
@@ -259,9 +270,9 @@ def _island(epoch: int, capacity: int, seed: int):
         counts = np.zeros(capacity + 1, dtype=np.int64)
         counts[np.asarray(lengths, dtype=np.int64)] = amounts
         known = [unflat(p) for row in rows["packings"] for p in row]
-        best = evolve(counts, capacity, known, CHILDREN, [seed, int(key[0]), int(key[1]), epoch])
+        best, born = evolve(counts, capacity, known, CHILDREN, [seed, int(key[0]), int(key[1]), epoch])
         return pd.DataFrame({"block": [key[0]], "island": [key[1]], "lengths": [lengths], "counts": [amounts],
-                             "packings": [[flat(p) for p in best]]})
+                             "packings": [[flat(p) for p in best]], "born": [int(rows["born"].max()) + born]})
 
     return run
 
@@ -279,27 +290,36 @@ def _places(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": key[0], "length": length, "nth": nth, "sequence": sequence, "offset": place})
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: int = 17) -> DataFrame:
-    """The columns of ``pieces`` with sequence_id and offset; ``length`` lies between 1 and ``capacity``.
-
-    Rows are packed as they are, equal ones too; an empty table gives an empty result. Columns beginning with ``_`` are reserved.
-    """
-    rows = settle(pieces.withColumn("_row", F.monotonically_increasing_id()))
-    blocks = max(1, -(-rows.count() // block))
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)))
-    part = rows.filter(F.col("length") < capacity)
+def searched(part: DataFrame, blocks: int, capacity: int, seed: int) -> DataFrame:
+    """The best packings of every block and island by length counts, and how many children were born for them."""
     histogram = (part.groupBy(F.col("_block").alias("block"), F.col("length").cast("int").alias("length"))
                  .agg(F.count("*").cast("int").alias("n")).groupBy("block")
                  .agg(F.sort_array(F.collect_list(F.struct("length", "n"))).alias("h")))
     state = histogram.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.col("h.length").alias("lengths"),
-                             F.col("h.n").alias("counts"), F.lit(None).cast("array<array<int>>").alias("packings"))
-    state = state.withColumn("packings", F.array().cast("array<array<int>>"))
+                             F.col("h.n").alias("counts"), F.array().cast("array<array<int>>").alias("packings"), F.lit(0).alias("born"))
     tasks = min(blocks * ISLANDS, 4_096)  # an island's work is long against its bytes: tasks are dealt by number, not by size
     for epoch in range(EPOCHS):
         state = settle(state.repartition(tasks, "block", "island").groupBy("block", "island").applyInPandas(_island(epoch, capacity, seed), _STATE))
         if epoch < EPOCHS - 1:  # the best of each island also goes to the next one
             state = state.unionByName(state.withColumn("island", (F.col("island") + 1) % ISLANDS)
                                       .withColumn("packings", F.slice("packings", 1, 1)))
+    return state
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, seed: int = 17) -> DataFrame:
+    """The columns of ``pieces`` with sequence_id and offset; ``length`` lies between 1 and ``capacity``.
+
+    Rows are packed as they are, equal ones too; an empty table gives an empty result. Columns beginning with ``_`` and the names of the
+    new columns are reserved: a table with such a column is refused.
+    """
+    taken = [c for c in pieces.columns if c in ("sequence_id", "offset") or c.startswith("_")]
+    if taken:
+        raise ValueError(f"reserved column names: {', '.join(taken)}")
+    rows = settle(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    blocks = max(1, -(-rows.count() // block))
+    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)))
+    part = rows.filter(F.col("length") < capacity)
+    state = searched(part, blocks, capacity, seed)
     places = state.groupBy("block").applyInPandas(_places, "block long, length long, nth long, sequence long, offset long")
     turn = Window.partitionBy("_block", "length").orderBy("_row")
     placed = (part.withColumn("_nth", F.row_number().over(turn) - 1)

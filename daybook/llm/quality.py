@@ -57,7 +57,7 @@ def statistics(data: bytes, hasher: WordHasher) -> list[float]:
     return [
         np.log1p(n), np.log1p(size), np.log1p(solid / n), upper / max(1, upper + lower), kinds[48:58].sum() / solid,
         kinds[_SYMBOLS].sum() / solid, kinds[_MARKS].sum() / solid, kinds[33] / solid, kinds[128:].sum() / solid, np.log1p(n / len(lines)),
-        amounts.size / n, amounts.max() / n, np.count_nonzero(words[1:] == words[:-1]) / n, 1 - len(set(lines)) / len(lines), repeated,
+        amounts.size / n, amounts.max() / n, np.count_nonzero(words[1:] == words[:-1]) / max(1, n - 1), 1 - len(set(lines)) / len(lines), repeated,
         kinds[32] / size, (kinds[46] + kinds[63]) / n, float(-(share * np.log2(share)).sum())]
 
 

@@ -30,6 +30,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from daybook.llm.common import byte_spelling
 from daybook.operators.staging import fresh_path, materialise
 
 END_ID = 2
@@ -136,13 +137,6 @@ _SEAM = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 _loaded: dict[str, TextIds] = {}
 
 
-def _spelling() -> dict[int, int]:
-    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for itself, others follow from 256 on."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
-
-
 class TextIds(dict):
     """Little-endian 32-bit ids of parts of texts, as the tokenizer gives them, held while there is room."""
 
@@ -155,7 +149,7 @@ class TextIds(dict):
         self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: a word is one unit for the vocabulary's rules: its bytes, spelt as characters, go straight to the model
         self.model = self.tokenizer.model if self.tokenizer.normalizer is None and type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel" else None
-        self.spelling = _spelling()
+        self.spelling = byte_spelling()
 
     def encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -77,3 +78,55 @@ def test_edge_rows(spark):
     (f"<article><p>{PROSE}</p></article><section id='comments'><p>{PROSE}</p><p>{PROSE}</p></section>", PROSE)])
 def test_names_of_wrappers_and_teasers(page, want):
     assert main_text(page) == want.strip()
+
+
+TALK = "".join(f"<div class='c'><p>{PROSE}</p></div>" for _ in range(3))
+
+
+@pytest.mark.parametrize("name", ["post-comments", "sidebar", "disclaimer", "footer", "cookie-banner", "comment-list", "left-sidebar", "newsletter-signup", "related-posts"])
+def test_regions_with_a_name_never_become_the_main_text(name):
+    short = "A short post, but the only one here."
+    for page in (f"<article><p>{short}</p></article><div class='{name}'>{TALK}</div>", f"<article><p>{short}</p><div id='{name}'>{TALK}</div></article>",
+                 f"<main><p>{short}</p><section class='{name}'><article>{TALK}</article></section></main>",
+                 f"<h1>Post</h1><p>{short}</p><div class='{name}'>{TALK}</div>"):
+        assert main_text(page).removeprefix("Post ") == short
+
+
+def test_text_outside_the_declared_article_goes():
+    assert main_text(f"<article><p>{PROSE}</p></article><div><p>{PROSE}</p></div>") == PROSE.strip()
+
+
+CHINESE = "他们在山上的老房子里住了很多年从来没有人看见过他们也没有人知道他们从哪里来。" * 3
+ITALIAN = "Quella sera il vecchio pescatore tornava verso casa mentre sopra le colline soffiava forte vento freddo, quindi accese subito tutte le lampade della cucina per scaldarsi insieme agli amici"
+
+
+@pytest.mark.parametrize("prose", [CHINESE, ITALIAN, "Старый дом стоял на холме и его не было видно с дороги никому " * 3])
+def test_pages_in_languages_without_known_stop_words(prose):
+    menu = "<div><a href=1>menu</a></div>"
+    assert main_text(f"{menu}<p>{prose}</p><p>{prose}</p>") == " ".join([prose.strip()] * 2)
+    assert main_text(f"{menu}<article><h1>t</h1><p>{prose}</p></article>") == f"t {prose.strip()}"
+
+
+def test_second_pass_labels_most_short_blocks_of_the_given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    blocks, second = 0, 0
+    for r in rows:
+        found, open_ones = htmltext.labelled(r.html)
+        blocks += len(found)
+        second += open_ones
+    assert 0.1 < second / blocks < 0.9
+
+
+def test_open_blocks_of_the_article_look_at_the_article_alone():
+    links = "<ul><li><a href=1>one</a></li><li><a href=2>two</a></li></ul>"
+    assert main_text(f"<nav>x</nav><article><h1>T</h1><p>short</p></article><footer>y</footer>") == "T short"
+    assert main_text(f"<article><p>{PROSE}</p>{links}<h3>More</h3>{links}<p>end</p></article>") == f"{PROSE.strip()} end"
+
+
+@pytest.mark.parametrize("piece, times", [("<div>", 60_000), ("<div></span>", 60_000), ("a<b ", 400_000), ("<!-- ", 400_000), ("<a href=\"x> ", 200_001), ("</p ", 400_000),
+                                          ("<p><span>", 60_000), ("<article>", 30_000), ("<div class=comments>", 30_000), ("<![CDATA[ ", 200_000), ("<?x ", 300_000), ("&#", 400_000),
+                                          ("<script>", 60_000), ("<!doctype ", 200_000), ("< ", 500_000), ("<p class='sidebar-x'>x y", 50_000)])
+def test_hostile_pages_take_linear_time(piece, times):
+    start = time.process_time()
+    main_text("<article><p>text</p></article>" + piece * times)
+    assert time.process_time() - start < 20

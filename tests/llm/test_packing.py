@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daybook.llm import packing
@@ -12,7 +13,6 @@ PATH = tokenizer_path("word_bpe_49k.json")
 
 def expected_pieces(rows, capacity):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     out = []
     for doc, text in rows:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
@@ -36,28 +36,40 @@ def check_layout(rows, capacity):
     return len(sequences)
 
 
+PLAIN = Tokenizer.from_file(PATH)
+
+
+def plain_ids(text):
+    return np.array(PLAIN.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 @pytest.mark.parametrize("text", [
+    "a <|endoftext|> b", "a<|startoftext|>B  <|endoftext|>.", "<|ENDOFTEXT|> | x", "don't<|endoftext|>'s",
     "Plain words, twice: Plain WORDS!!", "it's the dogs' don't we'll 'quoted' 3rd 12.5% a_b __x", "Éèaux straße ĞİŞ ΣΑΣ ς œuvre ½ ²",
     "tab\tnew\nline\x0bv\x0cf nbsp em　wide\u0085nel", "odd\x1cseparators\x1fhere", "é composed ́ alone",
     "<|endoftext|> is text", "日本語テキスト mixed 漢字", "emoji 👩‍👩‍👧 ok", "x" * 5_000, "", "   ", "---", "a'b'c 's 'S"])
 def test_words_give_the_ids_of_the_text(text):
     ids = packing.WordIds(PATH)
-    assert ids.text(text) == ids.encode(text)
-    assert ids.text(text) == ids.encode(text)  # from the cache
+    for _ in range(3):  # the last ones from the cache
+        assert ids.text(text) == plain_ids(text)
+
+
+def test_markers_have_their_own_ids():
+    assert np.frombuffer(packing.WordIds(PATH).text("a <|endoftext|> b"), dtype="<u4").tolist() == [320, 49407, 321]
 
 
 def test_documents_give_the_ids_of_the_text(spark):
     ids = packing.WordIds(PATH)
     for (text,) in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect():
-        assert ids.text(text) == ids.encode(text)
+        assert ids.text(text) == plain_ids(text)
 
 
 def test_small_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 3)
     monkeypatch.setattr(packing, "CACHED_STEMS", 2)
     ids = packing.WordIds(PATH)
-    text = "a bb ccc dddd a bb! CCC. eeee"
-    assert ids.text(text) == ids.encode(text)
+    text = "a bb ccc dddd a bb! CCC. eeee a bb! CCC."
+    assert ids.text(text) == plain_ids(text)
 
 
 def test_crossover_and_mutation_keep_every_piece():
@@ -79,16 +91,30 @@ def test_search_is_better_than_best_fit():
         triples += [int(a), int(b), 1000 - int(a) - int(b)]
     counts = np.bincount(triples, minlength=1001)
     first = packing.best_fit(sorted(triples, reverse=True), 1000)
-    best = packing.evolve(counts, 1000, [], 60, 5)[0]
-    assert len(best) < len(first)
-    again = packing.evolve(counts, 1000, [best], 5, 6)[0]
-    assert len(again) <= len(best)
+    found, born = packing.evolve(counts, 1000, [], 60, 5)
+    assert len(found[0]) < len(first) and born > 5
+    again = packing.evolve(counts, 1000, found[:1], 5, 6)[0]
+    assert len(again[0]) <= len(found[0])
+
+
+def test_given_documents_are_packed_by_evolution(spark):
+    """Random groupings do not reach the bound; crossover and mutation bring them there."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packing.pieces_of(df, PATH).withColumn("_block", F.lit(0).cast("long")).filter("length < 2048")
+    lengths = [r.length for r in pieces.collect()]
+    bound = -(-sum(lengths) // 2048)
+    assert len(packing.best_fit(np.random.default_rng(1).permutation(lengths).tolist(), 2048)) > bound
+    state = packing.searched(pieces, 1, 2048, 17).collect()
+    assert min(len(packing.unflat(p)) for r in state for p in r.packings) == bound and all(r.born > 0 for r in state)
 
 
 def test_edge_rows(spark):
     rows = [(1, "one two three"), (2, None), (3, ""), (4, "word " * 100), (4, "word " * 100), (None, "no id"), (5, "a b c d e f g"),
             (6, "x " * 31), (7, " \n\t ")]
     df = spark.createDataFrame([(d, t, "z", 1) for d, t in rows], "doc_id long, text string, length string, offset int")
+    for name in ("offset", "sequence_id", "_row"):
+        with pytest.raises(ValueError):
+            packing.pack(spark.createDataFrame([(1, 2)], f"length long, {name} long"))
     got = packing.packed_documents(df, PATH, capacity=32).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=repr) == expected_pieces(rows, 32)
     assert check_layout(got, 32) >= -(-sum(r.length for r in got) // 32)
