@@ -1,8 +1,11 @@
 """Quality rules as a short-circuit cascade, in Spark SQL expressions only.
 
-Every rule is a condition over measures of the whole text. A sample of bounded size gives each rule's cost (time of a run over the sample,
-less that of an empty run) and the share it rejects; the cascade then tries rules by rejection per cost, so that most rejected
-documents pay for one cheap rule and the dear measures are taken of the others only. The order never changes a verdict.
+Every rule is a condition over measures of the whole text. A sample of bounded size gives each rule's cost (time of a warm run over the
+sample, less that of a run that only cuts the text into words) and the share it rejects; the cascade then tries rules by rejection per cost, so
+that most rejected documents pay for one cheap rule and the dear measures are taken of the others only. The order never changes a verdict.
+
+A text is cut into words once: the words are bound by a ``transform`` over an array that holds nothing else, and all measures of the cascade are
+taken of them within one CASE, each only when its rule is reached.
 """
 
 from __future__ import annotations
@@ -17,12 +20,12 @@ from daybook.llm.common import settle
 SPACE = "[\\\\x20\\\\x09-\\\\x0D]"  # as a SQL literal
 SAMPLE_ROWS = 2_000
 
-#: Measure -> SQL over the column ``t`` (a text that is not null). The word triples of a text are hashed, a triple's place fills the
+#: Measure -> SQL over the text ``t`` (not null) and its words ``w``. The word triples of a text are hashed, a triple's place fills the
 #: low bits of its hash, and sorting brings equal triples together; whole hashes are compared, so the cut of the high bits decides
 #: nothing. Each start of a repeated triple then covers three words less those that the start before it covers.
 _WORDS = f"array_remove(split(t, '{SPACE}+'), '')"
-_REPEAT = f"""
-transform(array({_WORDS}), w -> if(size(w) < 3, 0L,
+_REPEAT = """
+if(size(w) < 3, 0L,
   transform(array(transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2]))), h ->
     if(size(array_distinct(h)) = size(h), 0L,
       transform(array(named_struct('bits', cast(ceil(log2(size(h) + 1)) as int), 'low', shiftleft(1L, cast(ceil(log2(size(h) + 1)) as int)) - 1)), b ->
@@ -34,18 +37,18 @@ transform(array({_WORDS}), w -> if(size(w) < 3, 0L,
               x & b.low, -1L)), p -> p >= 0)),
             named_struct('words', 0L, 'last', -3L),
             (a, p) -> named_struct('words', a.words + least(3L, p - a.last), 'last', p),
-            a -> a.words))[0])[0]))[0]))[0]"""
+            a -> a.words))[0])[0]))[0])"""
 
 MEASURES = {
-    "n_words": f"cast(size({_WORDS}) as bigint)",
-    "word_chars": f"cast(length(array_join({_WORDS}, '')) as bigint)",
+    "n_words": "cast(size(w) as bigint)",
+    "word_chars": "cast(length(array_join(w, '')) as bigint)",
     "n_symbols": "cast(regexp_count(t, '[#*$%&|<>]') as bigint)",
     "n_dup_lines": f"""transform(array(filter(split(t, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')),
                        l -> cast(size(l) - size(array_distinct(l)) as bigint))[0]""",
     "n_repeat_words": _REPEAT,
     "n_lines": f"cast(size(filter(split(t, '\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')) as bigint)",
     "n_capitals": "cast(regexp_count(t, '[A-Z]') as bigint)",
-    "longest_word": f"cast(coalesce(array_max(transform({_WORDS}, w -> length(w))), 0) as bigint)",
+    "longest_word": "cast(coalesce(array_max(transform(w, x -> length(x))), 0) as bigint)",
 }
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -73,20 +76,33 @@ class Estimate:
         return self.rejects / max(self.cost, 1e-6)
 
 
+def _bound(text_col: str, body: str) -> str:
+    """SQL that takes ``body`` over the text ``t`` of a column (null: empty) and its words ``w``."""
+    quoted = text_col.replace("`", "``")
+    return f"transform(array(coalesce(`{quoted}`, '')), t -> transform(array({_WORDS}), w -> {body})[0])[0]"
+
+
 def estimate(docs: DataFrame, text_col: str = "text", rules: dict[str, str] = RULES, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> list[Estimate]:
-    """Cost and selectivity of each rule on about ``sample_rows`` documents."""
+    """Cost and selectivity of each rule on about ``sample_rows`` documents.
+
+    Null texts count as empty ones, repeated rows as often as they occur. On an empty table every rule costs the least and rejects nothing.
+    """
     rows = docs.count()
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("t")
+    text = F.col(text_col).alias("text")
     drawn = docs.select(text) if rows <= sample_rows else docs.select(text).sample(fraction=sample_rows / rows, seed=seed)
     sample = settle(drawn.coalesce(4))
     size = max(1, sample.count())
 
     def run(condition: str) -> tuple[float, int]:
-        start = time.perf_counter()
-        rejected = sample.agg(F.count(F.when(F.expr(condition), 1))).first()[0]
-        return time.perf_counter() - start, rejected
-
-    idle = min(run("t is null")[0] for _ in range(2))
+        test = sample.agg(F.count(F.when(F.expr(_bound("text", condition)), 1)))
+        took = []
+        for _ in range(2):  # the first run warms up
+            start = time.perf_counter()
+            rejected = test.first()[0]
+            took.append(time.perf_counter() - start)
+        return took[-1], rejected
+
+    idle = run("size(w) < 0")[0]
     found = []
     for name, condition in rules.items():
         seconds, rejected = run(condition.format(**MEASURES))
@@ -99,33 +115,39 @@ def ordered(estimates: list[Estimate]) -> list[str]:
     return [e.rule for e in sorted(estimates, key=lambda e: (-e.rank, e.cost, e.rule))]
 
 
-def first_rejecting(order: list[str], measures: dict[str, str] = MEASURES, rules: dict[str, str] = RULES) -> Column:
-    """The first rule of the cascade that rejects, null for a kept document. Later conditions are evaluated only if earlier ones fail."""
+def cascade(order: list[str], measures: dict[str, str] = MEASURES, rules: dict[str, str] = RULES) -> str:
+    """SQL for the first rule that rejects, null for a kept document. A condition is evaluated only if all before it fail."""
     whens = " ".join(f"when {rules[name].format(**measures)} then '{name}'" for name in order)
-    return F.expr(f"case {whens} end")
+    return f"case {whens} end" if whens else "cast(null as string)"
+
+
+def first_rejecting(order: list[str], text_col: str = "text", rules: dict[str, str] = RULES) -> Column:
+    return F.expr(_bound(text_col, cascade(order, rules=rules)))
 
 
 def keep_passing(docs: DataFrame, text_col: str = "text", rules: dict[str, str] = RULES) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, all columns as they are. A null text counts as an empty one and has too few words."""
-    order = ordered(estimate(docs, text_col, rules))
-    measures = {name: sql.replace("(t,", "(_rule_text,") for name, sql in MEASURES.items()}
-    return (docs.withColumn("_rule_text", F.coalesce(F.col(text_col), F.lit("")))
-            .filter(first_rejecting(order, measures, rules).isNull()).drop("_rule_text"))
+    """The rows of ``docs`` that no rule rejects, all columns as they are, whatever their names.
+
+    A null text counts as an empty one and has too few words. Repeated rows are judged each; an empty table gives an empty result. Of rules that rank equal the
+    one that costs less is tried first, then the first by name; without rules every row passes.
+    """
+    return docs.filter(first_rejecting(ordered(estimate(docs, text_col, rules)), text_col, rules).isNull())
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the measures of BASE, base_failed and kept per row of ``docs``.
 
     Null and blank texts measure 0 and fail. Repeated rows are measured each; other columns are not read; an empty table gives an
-    empty result.
+    empty result. What only the verdict needs is measured within the cascade, of documents that get there.
     """
     order = ordered(estimate(docs, text_col))
-    names = list(MEASURES)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.select("doc_id", *[F.expr(MEASURES[name]).alias(name) for name in names])
-    columns = {name: name for name in names}
-    base = " or ".join(f"({RULES[name].format(**columns)})" for name in BASE_RULES)
-    return rows.select("doc_id", *BASE, F.expr(base).alias("base_failed"), first_rejecting(order, columns).isNull().alias("kept"))
+    taken = ", ".join(f"'{name}', {MEASURES[name]}" for name in BASE)
+    known = {name: f"m.{name}" if name in BASE else sql for name, sql in MEASURES.items()}
+    base = " or ".join(f"({RULES[name].format(**known)})" for name in BASE_RULES)
+    body = (f"transform(array(named_struct({taken})), m -> named_struct({', '.join(f"'{n}', m.{n}" for n in BASE)}, 'base_failed', {base}, "
+            f"'kept', {cascade(order, known)} is null))[0]")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.expr(_bound(text_col, body)).alias("r")).select(
+        "doc_id", *(F.col(f"r.{name}").alias(name) for name in (*BASE, "base_failed", "kept")))
 
 
 _SQL_WORDS = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"

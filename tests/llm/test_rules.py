@@ -39,7 +39,7 @@ def odd_texts():
 
 def test_measures_equal_brute_force(spark):
     texts = odd_texts()
-    df = spark.createDataFrame([(i, t, 1, "t") for i, t in enumerate(texts)], "doc_id long, text string, n_words int, t string")
+    df = spark.createDataFrame([(i, t, 1, "t", "w", "r") for i, t in enumerate(texts)], "doc_id long, text string, n_words int, t string, w string, _rule_text string")
     assert rows_of(rules.measured(df)) == sorted(((i, *brute(t)) for i, t in enumerate(texts)), key=repr)
     kept = rules.keep_passing(df)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if brute(t)[-1]}
@@ -50,10 +50,10 @@ def test_every_order_gives_the_same_verdict(spark):
     rng = np.random.default_rng(4)
     df = spark.createDataFrame([(t or "",) for t in odd_texts()], "t string")
     names = list(rules.RULES)
-    want = [r[0] for r in df.select(rules.first_rejecting(names).isNull()).collect()]
+    want = [r[0] for r in df.select(rules.first_rejecting(names, 't').isNull()).collect()]
     for _ in range(3):
         order = rng.permutation(names).tolist()
-        assert [r[0] for r in df.select(rules.first_rejecting(order).isNull()).collect()] == want
+        assert [r[0] for r in df.select(rules.first_rejecting(order, 't').isNull()).collect()] == want
 
 
 def test_rules_are_ordered_by_rejection_per_cost():
@@ -61,6 +61,18 @@ def test_rules_are_ordered_by_rejection_per_cost():
     assert rules.ordered(found) == ["best", "cheap", "dear", "idle"]
 
 
+def test_words_are_cut_once_and_dear_measures_wait(spark):
+    """A rule after one that rejects is never evaluated: it would raise an error here."""
+    df = spark.createDataFrame([("a b",), ("c",)], "text string")
+    broken = {"short": "{n_words} < 50", "broken": "raise_error('reached') is null"}
+    assert df.select(rules.first_rejecting(["short", "broken"], rules=broken)).collect() == [("short",), ("short",)]
+    with pytest.raises(Exception, match="reached"):
+        df.select(rules.first_rejecting(["broken", "short"], rules=broken)).collect()
+    for frame in (rules.keep_passing(df), rules.measured(df.selectExpr("1 as doc_id", "text"))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("09-") == 1 or plan.count("split(") - plan.count("\\n") <= 3, plan
+
+
 def test_plan_has_no_python(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = rules.measured(df)._jdf.queryExecution().executedPlan().toString()
