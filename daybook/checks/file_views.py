@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.operators.frames import global_row_number
 from daybook.operators.staging import shared_folder
 from daybook.sources import raw
-from daybook.sources.tables import ParquetStore, align, merge_rows, save_partitions, save_table, write_day, write_report
+from daybook.sources.keyed import KeyedTable
+from daybook.sources.tables import ParquetStore, align, merge_rows, save_partitions, save_table, upsert_report, write_day, write_report
 
 C = F.col
 
@@ -162,6 +163,39 @@ def report_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPORT_STORE = "select year(o_orderdate)::integer as y, o_orderstatus as status, count(*) as n from orders group by 1, 2"
 
 
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by key and, on top, those of the last months: changed, deleted where they are filled, and each once more under a new key."""
+    stored = KeyedTable(spark, new_folder(spark), ["id", "kind"], prefixes=24)
+    orders = table(spark, sf_dir, "orders").select(C("o_orderkey").alias("id"), F.lit("order").alias("kind"), C("o_custkey").alias("customer"),
+                                                   C("o_orderdate").cast("date").alias("day"), C("o_orderstatus").alias("state"))
+    stored.upsert(orders.drop("state"))
+    late = orders.filter("day >= '1998-06-01'")
+    stored.upsert(late.withColumn("note", F.lit("late")).withColumn("customer", C("customer") + 100), gone=C("state") == "F")
+    stored.upsert(late.selectExpr("id", "'copy' as kind", "customer", "day"))
+    return stored.read().drop("state")
+
+
+KEYED_UPSERT = """with o as (select o_orderkey as id, 'order' as kind, o_custkey as customer, o_orderdate::date as day, o_orderstatus as state from orders),
+late as (select * from o where day >= date '1998-06-01')
+select id, kind, customer, day, null as note from o where day < date '1998-06-01'
+union all select id, kind, customer + 100, day, 'late' from late where state <> 'F'
+union all select id, 'copy', customer, day, null from late"""
+
+
+def report_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per month and status, stored as one load and then loaded once more for the last year; months decide which prefixes a load touches."""
+    path = new_folder(spark)
+    sales = table(spark, sf_dir, "orders").groupBy(F.trunc("o_orderdate", "month").alias("month"), C("o_orderstatus").alias("status"), C("o_custkey").alias("customer")).agg(
+        F.sum(C("o_totalprice").cast("decimal(18,2)")).cast("decimal(28,2)").alias("total"))
+    first = upsert_report(spark, path, sales.withColumn("total", F.when(C("month") < "1998-01-01", C("total"))), ["month", "status", "customer"], by=["month"], prefixes=24)
+    last = sales.filter("month >= '1998-01-01'")
+    return upsert_report(spark, path, last, ["month", "status", "customer"], by=["month"]).select(*first.drop("updated_at").columns)
+
+
+REPORT_UPSERT = """select date_trunc('month', o_orderdate)::date as month, o_orderstatus as status, o_custkey as customer, sum(o_totalprice::decimal(18,2))::decimal(28,2) as total
+from orders group by 1, 2, 3"""
+
+
 def newer_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of dates that the own history does not reach."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", C("o_orderdate").cast("date").alias("day"))
@@ -202,5 +236,5 @@ FILES = {
     "utf16_table": (utf16_table, UTF16_TABLE), "mixed_encodings": (mixed_encodings, MIXED_ENCODINGS), "pipe_table": (pipe_table, PIPE_TABLE),
     "quoted_table": (quoted_table, QUOTED_TABLE), "seed_table": (seed_table, SEED_TABLE), "header_assignment": (header_assignment, HEADER_ASSIGNMENT),
     "ordered_export": (ordered_export, ORDERED_EXPORT), "day_partitions": (day_partitions, DAY_PARTITIONS), "report_store": (report_store, REPORT_STORE),
-    "newer_loads": (newer_loads, NEWER_LOADS), "catalog_tables": (catalog_tables, CATALOG_TABLES), "upserts": (upserts, UPSERTS),
+    "newer_loads": (newer_loads, NEWER_LOADS), "catalog_tables": (catalog_tables, CATALOG_TABLES), "upserts": (upserts, UPSERTS), "keyed_upsert": (keyed_upsert, KEYED_UPSERT), "report_upsert": (report_upsert, REPORT_UPSERT),
 }

@@ -46,3 +46,10 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate result that no later step reads."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``; none if it does not exist."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []

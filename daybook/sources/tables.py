@@ -13,6 +13,8 @@ from typing import Protocol
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from daybook.sources.keyed import PREFIXES, KeyedTable
+
 C = F.col
 ORDER = ("__lsn", "__ts_ms", "__offset")
 
@@ -146,6 +148,18 @@ def write_report(store: Store, name: str, df: DataFrame, keys: Sequence[str]) ->
     return store.read(name)[0]
 
 
+def upsert_report(spark: SparkSession, path: str, df: DataFrame, keys: Sequence[str], by: Sequence[str] | None = None,
+                  prefixes: int = PREFIXES) -> DataFrame:
+    """Store a report by key, rewriting only the hash prefixes that hold keys of this load, and return all that is stored.
+
+    Placed ``by`` the load date (one of the keys), a day's load reads and writes the prefix of that day and nothing else. The load time is
+    stamped here, so that the report itself stays reproducible.
+    """
+    stored = KeyedTable(spark, path, keys, prefixes, by)
+    stored.upsert(df.withColumn("updated_at", F.current_timestamp()))
+    return stored.read()
+
+
 def save_partitions(df: DataFrame, name: str, columns: Sequence[str]) -> None:
     """Catalog table by partition: created if absent, else exactly the partitions present in ``df`` are replaced."""
     if df.sparkSession.catalog.tableExists(name):
