@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from daybook.operators.frames import global_row_number
-from daybook.operators.staging import shared_folder
+from daybook.operators.staging import materialise, shared_folder
 from daybook.sources import raw
 from daybook.sources.keyed import KeyedTable
 from daybook.sources.tables import ParquetStore, align, merge_rows, save_partitions, save_table, upsert_report, write_day, write_report
@@ -51,37 +51,41 @@ from orders where o_orderstatus <> 'P'"""
 
 
 def metadata_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata records of the regions as one JSON array."""
+    """Customers as JSON arrays of at most 1,000 records, one array to a file."""
     path = new_folder(spark)
-    record = F.struct(C("r_name").alias("RECID"), F.concat(F.lit("<row>\n"), "r_regionkey", F.lit("</row>")).alias("XMLRECORD"))
-    table(spark, sf_dir, "region").agg(F.to_json(F.collect_list(record)).alias("value")).write.text(path)
+    record = F.struct(C("c_name").alias("RECID"), F.concat(F.lit("<row>\n"), "c_custkey", F.lit("</row>")).alias("XMLRECORD"))
+    arrays = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 1000")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return raw.read_metadata(spark, path)
 
 
-METADATA_ARRAY = """select r_name as "RECID", '<row>' || chr(10) || r_regionkey || '</row>' as "XMLRECORD" from region"""
+METADATA_ARRAY = """select c_name as "RECID", '<row>' || chr(10) || c_custkey || '</row>' as "XMLRECORD" from customer"""
 
 
 def utf16_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations in UTF-16 with marks in the cells, blanks and empty rows."""
+    """Customers in UTF-16 with marks in the cells, blanks and empty rows."""
     path = new_folder(spark)
-    rows = table(spark, sf_dir, "nation").selectExpr("if(n_regionkey = 4, '', concat('@', n_nationkey)) as a", "if(n_regionkey in (3, 4), ' ', concat(n_name, ' é')) as b")
+    rows = table(spark, sf_dir, "customer").selectExpr("if(c_nationkey = 4, '', concat('@', c_custkey)) as a", "if(c_nationkey in (3, 4), ' ', concat(c_name, ' é')) as b")
     rows.write.csv(path, sep="~", encoding="UTF-16LE", header=True, lineSep="\n")
     return raw.read_utf16_table(spark, path, "a string, b string")
 
 
-UTF16_TABLE = "select cast(n_nationkey as varchar) as a, if(n_regionkey = 3, null, n_name || ' é') as b from nation where n_regionkey <> 4"
+UTF16_TABLE = "select cast(c_custkey as varchar) as a, if(c_nationkey = 3, null, c_name || ' é') as b from customer where c_nationkey <> 4"
 
 
 def mixed_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations in two encodings below one folder."""
+    """Customers in three encodings below one folder; the lines of a file are numbered, empty ones too."""
     path = new_folder(spark)
-    lines = table(spark, sf_dir, "nation").selectExpr("n_regionkey", "concat('olá}', n_name, '~', n_nationkey) as value")
-    lines.filter("n_regionkey < 2").select("value").write.csv(f"{path}/old", encoding="ISO-8859-1", quote="", escapeQuotes=False)
-    lines.filter("n_regionkey >= 2").select("value").write.csv(f"{path}/new", encoding="UTF-8", quote="", escapeQuotes=False)
-    return raw.read_mixed_encodings(spark, f"{path}/*/*.csv").select("line", C("cells")[0].alias("head"), C("cells")[1].alias("key"))
+    lines = table(spark, sf_dir, "customer").selectExpr("c_nationkey % 3 as kind", "concat('olá}', c_name, '~', c_custkey) as value")
+    for kind, encoding in enumerate(("ISO-8859-1", "UTF-8", "UTF-16")):
+        lines.filter(C("kind") == kind).select("value").write.csv(f"{path}/{encoding}", encoding=encoding, quote="", escapeQuotes=False)
+    read = raw.read_mixed_encodings(spark, f"{path}/*/*.csv")
+    each = read.select("source_file", "line_seq", "line", C("cells")[0].alias("head"), C("cells")[1].alias("key"))
+    return each.withColumn("lines", F.max("line_seq").over(Window.partitionBy("source_file"))).select(
+        "line", "head", "key", (C("line_seq").between(1, C("lines"))).alias("numbered"))
 
 
-MIXED_ENCODINGS = "select 'olá: ' || n_name || '~' || n_nationkey as line, 'olá: ' || n_name as head, cast(n_nationkey as varchar) as key from nation"
+MIXED_ENCODINGS = "select 'olá: ' || c_name || '~' || c_custkey as line, 'olá: ' || c_name as head, cast(c_custkey as varchar) as key, true as numbered from customer"
 
 
 def pipe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,23 +98,24 @@ PIPE_TABLE = "select cast(l_orderkey as varchar) as order_key, cast(l_linenumber
 
 
 def quoted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with quotes, separators and line ends inside their cells."""
+    """Line items with quotes, separators and line ends inside their cells, in one file for every 200,000 rows."""
     path = new_folder(spark)
-    table(spark, sf_dir, "part").selectExpr("p_partkey", "concat('a \"', p_name, '\", b\nc') as text").write.csv(
-        path, header=True, quote='"', escape='"', quoteAll=True)
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "concat('a \"', l_returnflag, '\", b\n\n\"c', if(l_linenumber = 1, '\n\"\"', '')) as text", "l_partkey", "l_linenumber")
+    lines.coalesce(1).write.option("maxRecordsPerFile", 200_000).csv(path, header=True, quote='"', escape='"', quoteAll=True)
     return raw.read_quoted_table(spark, path)
 
 
-QUOTED_TABLE = """select cast(p_partkey as varchar) as p_partkey, 'a "' || p_name || '", b' || chr(10) || 'c' as text from part"""
+QUOTED_TABLE = """select cast(l_orderkey as varchar) as l_orderkey, 'a "' || l_returnflag || '", b' || chr(10) || chr(10) || '"c' || if(l_linenumber = 1, chr(10) || '""', '') as text,
+  cast(l_partkey as varchar) as l_partkey, cast(l_linenumber as varchar) as l_linenumber from lineitem"""
 
 
 def seed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
-    table(spark, sf_dir, "nation").selectExpr("n_nationkey as code", "n_name as label").write.csv(path, header=True)
+    table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as int) as code", "s_name as label").write.csv(path, header=True)
     return raw.read_seed(spark, path, "code int, label string")
 
 
-SEED_TABLE = "select n_nationkey::integer as code, n_name as label from nation"
+SEED_TABLE = "select s_suppkey::integer as code, s_name as label from supplier"
 
 
 def header_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,17 +142,17 @@ ORDERED_EXPORT = """select cast(s_suppkey as varchar) as s_suppkey, row_number()
 
 
 def day_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations pulled on two days; the second day is pulled again with fewer rows."""
+    """Customers pulled on two days; the second day is pulled again with fewer rows."""
     path = new_folder(spark)
-    nations = table(spark, sf_dir, "nation").select("n_nationkey")
-    write_day(nations, path, "1998-06-01")
-    write_day(nations, path, "1998-06-02")
-    write_day(nations.filter("n_nationkey < 5"), path, "1998-06-02")
-    return spark.read.parquet(path).select("n_nationkey", "business_date")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    write_day(customers, path, "1998-06-01")
+    write_day(customers, path, "1998-06-02")
+    write_day(customers.filter("c_nationkey < 5"), path, "1998-06-02")
+    return spark.read.parquet(path).select("c_custkey", "business_date")
 
 
-DAY_PARTITIONS = """select n_nationkey, date '1998-06-01' as business_date from nation
-union all select n_nationkey, date '1998-06-02' from nation where n_nationkey < 5"""
+DAY_PARTITIONS = """select c_custkey, date '1998-06-01' as business_date from customer
+union all select c_custkey, date '1998-06-02' from customer where c_nationkey < 5"""
 
 
 def report_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,20 +210,34 @@ def newer_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEWER_LOADS = "select o_orderkey, o_orderdate::date as day from orders where o_orderdate > (select max(o_orderdate) from orders where year(o_orderdate) < 1997)"
 
 
+def newer_loads_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a table partitioned by month of the order: older partitions are not read."""
+    path = new_folder(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("month"))
+    orders.repartition("month").write.partitionBy("month").parquet(path)
+    return raw.newer_than_own(spark.read.parquet(path), "month", orders.filter(F.year("month") < 1997))
+
+
+NEWER_LOADS_BY_DAY = "select o_orderkey, date_trunc('month', o_orderdate)::date as month from orders where year(o_orderdate) >= 1997"
+
+
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rebuilt table, and one by partition that is created and then partly replaced, with its columns aligned."""
     whole, parts = new_table(), new_table()
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     for _ in range(2):
-        save_table(nations, whole)
-    save_partitions(nations, parts, ["n_regionkey"])
-    save_partitions(align(nations.filter("n_regionkey = 1").limit(0).unionByName(nations.filter("n_nationkey = 1")),
-                          [("n_nationkey", "int"), ("n_regionkey", "int")]), parts, ["n_regionkey"])
-    return spark.table(whole).withColumn("kind", F.lit("whole")).unionByName(spark.table(parts).withColumn("kind", F.lit("parts")))
+        save_table(customers, whole)
+    save_partitions(customers, parts, ["c_nationkey"])
+    save_partitions(align(customers.filter("c_nationkey = 1 and c_custkey > 50"), [("c_custkey", "bigint"), ("c_nationkey", "bigint")]), parts, ["c_nationkey"])
+    both = spark.table(whole).withColumn("kind", F.lit("whole")).unionByName(spark.table(parts).withColumn("kind", F.lit("parts")))
+    kept = materialise(both.select(C("c_custkey").cast("bigint"), C("c_nationkey").cast("int"), "kind"))
+    for name in (whole, parts):
+        spark.sql(f"drop table {name}")
+    return kept
 
 
-CATALOG_TABLES = """select n_nationkey::integer as n_nationkey, n_regionkey::integer as n_regionkey, 'whole' as kind from nation
-union all select n_nationkey, n_regionkey, 'parts' from nation where n_regionkey <> (select n_regionkey from nation where n_nationkey = 1) or n_nationkey = 1"""
+CATALOG_TABLES = """select c_custkey, c_nationkey::integer as c_nationkey, 'whole' as kind from customer
+union all select c_custkey, c_nationkey::integer, 'parts' from customer where c_nationkey <> 1 or c_custkey > 50"""
 
 
 def upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,5 +255,5 @@ FILES = {
     "utf16_table": (utf16_table, UTF16_TABLE), "mixed_encodings": (mixed_encodings, MIXED_ENCODINGS), "pipe_table": (pipe_table, PIPE_TABLE),
     "quoted_table": (quoted_table, QUOTED_TABLE), "seed_table": (seed_table, SEED_TABLE), "header_assignment": (header_assignment, HEADER_ASSIGNMENT),
     "ordered_export": (ordered_export, ORDERED_EXPORT), "day_partitions": (day_partitions, DAY_PARTITIONS), "report_store": (report_store, REPORT_STORE),
-    "newer_loads": (newer_loads, NEWER_LOADS), "catalog_tables": (catalog_tables, CATALOG_TABLES), "upserts": (upserts, UPSERTS), "keyed_upsert": (keyed_upsert, KEYED_UPSERT), "report_upsert": (report_upsert, REPORT_UPSERT),
+    "newer_loads": (newer_loads, NEWER_LOADS), "newer_loads_by_day": (newer_loads_by_day, NEWER_LOADS_BY_DAY), "catalog_tables": (catalog_tables, CATALOG_TABLES), "upserts": (upserts, UPSERTS), "keyed_upsert": (keyed_upsert, KEYED_UPSERT), "report_upsert": (report_upsert, REPORT_UPSERT),
 }

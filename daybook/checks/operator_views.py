@@ -7,9 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.columns import robust_date
-from daybook.operators.staging import shared_folder
+from daybook.operators import distinct
+from daybook.operators.staging import materialise, shared_folder
 from daybook.plans import readiness
 from daybook.sources import raw, records
+from daybook.sources.keyed import KeyedTable
 from daybook.sources.tables import overwrite_partitions
 from daybook.streaming import cdc
 
@@ -173,6 +175,51 @@ select if(topic = 'topic_a', 'table_a', 'table_b') as table_name, recid, event_t
 from l where op <> 'd'"""
 
 
+def _in_two_runs(spark: SparkSession, sf_dir: str, start) -> None:
+    """A stream over files that stops, goes on with more files and the same checkpoint, and starts over on the first files with a new one."""
+    folder = scratch(spark)
+    parts = messages(spark, sf_dir).repartition(4, "offset")
+    halves = [parts.filter(C("offset") % 2 == turn) for turn in (1, 0)]
+    halves[0].write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("topic string, value binary, offset bigint").option("maxFilesPerTrigger", 3).parquet(f"{folder}/in")
+    start(cdc.unwrap(stream, ["topic"]), f"{folder}/checkpoint").awaitTermination()
+    halves[1].write.mode("append").parquet(f"{folder}/in")
+    start(cdc.unwrap(stream, ["topic"]), f"{folder}/checkpoint").awaitTermination()
+    halves[0].write.parquet(f"{folder}/again")
+    again = spark.readStream.schema("topic string, value binary, offset bigint").parquet(f"{folder}/again")
+    start(cdc.unwrap(again, ["topic"]), f"{folder}/fresh").awaitTermination()
+
+
+def cdc_stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table_ = KeyedTable(spark, scratch(spark), ["RECID"], prefixes=16)
+    _in_two_runs(spark, sf_dir, lambda events, checkpoint: cdc.stream_newest(events.drop("topic"), table_, checkpoint, every=None))
+    return table_.read()
+
+
+def cdc_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table_ = KeyedTable(spark, scratch(spark), ["topic"], prefixes=4)
+    _in_two_runs(spark, sf_dir, lambda events, checkpoint: cdc.stream_progress(events, C("topic"), table_, checkpoint, every=None))
+    return cdc.stored_progress(table_)
+
+
+def distinct_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with orders per month, quarter and year, counted once."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.trunc("o_orderdate", "month").alias("month"))
+    numbered = orders.join(distinct.dense_numbers(orders, "o_custkey", "number"), "o_custkey")
+    months = materialise(distinct.bitmaps(numbered, ["month"], "number"))
+    quarters = distinct.rolled_up(months.withColumn("quarter", F.trunc("month", "quarter")), ["quarter"])
+    years = distinct.rolled_up(quarters.withColumn("year", F.trunc("quarter", "year")), ["year"])
+    out = None
+    for kind, bits in (("month", months), ("quarter", quarters), ("year", years)):
+        rows = distinct.counted(bits, [kind], "customers").select(F.lit(kind).alias("kind"), C(kind).alias("period"), "customers")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+DISTINCT_BY_PERIOD = " union all ".join(
+    f"select '{kind}' as kind, date_trunc('{kind}', o_orderdate)::date as period, count(distinct o_custkey) as customers from orders group by 2" for kind in ("month", "quarter", "year"))
+
+
 def progress_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = cdc.unwrap(messages(spark, sf_dir), ["topic"])
     first = cdc.progress_rows(events.filter(C("__offset") % 2 == 0), C("topic"))
@@ -352,7 +399,8 @@ OPERATORS = {
     "spec_compile": (spec_compile, SPEC_COMPILE),
     "cdc_unwrap": (cdc_unwrap, CDC_UNWRAP), "cdc_latest": (cdc_latest, CDC_LATEST), "cdc_apply": (cdc_apply, CDC_STATE),
     "cdc_stream_replay": (cdc_stream_replay, CDC_STATE), "cdc_restart": (cdc_restart, CDC_STATE), "progress_max": (progress_max, PROGRESS_MAX),
-    "topic_lag": (topic_lag, TOPIC_LAG), "caught_up": (caught_up, CAUGHT_UP),
+    "cdc_stream_newest": (cdc_stream_newest, CDC_LATEST), "cdc_stream_progress": (cdc_stream_progress, PROGRESS_MAX),
+    "distinct_by_period": (distinct_by_period, DISTINCT_BY_PERIOD), "topic_lag": (topic_lag, TOPIC_LAG), "caught_up": (caught_up, CAUGHT_UP),
     "partition_overwrite_idempotent": (partition_overwrite, PARTITION_OVERWRITE),
     "incremental_extract": (incremental_extract, INCREMENTAL), "robust_date_parse": (robust_dates, ROBUST_DATES),
     "logical_table_names": (logical_names, LOGICAL_NAMES), "seal_ledger": (seal_ledger, _LEDGER), "all_sealed": (all_sealed, ALL_SEALED),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from daybook.functions.columns import blank_null, k, robust_date
+from daybook.operators.staging import materialise
 
 C = F.col
 RECORD = "RECID string, XMLRECORD string"
@@ -98,23 +102,49 @@ _LATIN = "".join(map(chr, _OWN_BYTES))
 _WINDOWS = bytes(_OWN_BYTES).decode("cp1252")
 
 
-def decode(content: Column) -> Column:
-    """Text of bytes in UTF-16 (with its mark), UTF-8, Windows-1252, or else Latin-1: the first that fits."""
-    utf16 = F.when(F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF"), F.decode(content, "UTF-16"))
+def _single_byte(content: Column) -> tuple[Column, Column, Column]:
+    """Bytes as Latin-1 and as Windows-1252, and whether they hold one that Windows-1252 leaves undefined."""
     latin = F.decode(content, "ISO-8859-1")
-    undefined = latin.rlike("[" + "".join(f"\\x{b:02x}" for b in _UNDEFINED) + "]")
-    single = F.when(undefined, latin).otherwise(F.translate(latin, _LATIN, _WINDOWS))
-    return F.coalesce(utf16, F.try_validate_utf8(content), single)
+    return latin, F.translate(latin, _LATIN, _WINDOWS), latin.rlike("[" + "".join(f"\\x{b:02x}" for b in _UNDEFINED) + "]")
+
+
+def _file_lines(spark: SparkSession, path: str | Sequence[str], **options: str) -> DataFrame:
+    """Lines of text files as they lie in the file, with the place of the part of the file they were read in and their order there."""
+    return spark.read.options(**options).text(path).select(
+        C("_metadata.file_path").alias("_file"), C("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"), "value")
 
 
 def read_mixed_encodings(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of legacy files whose encoding differs per file; '}' stands for ': ', '~' separates cells."""
-    files = spark.read.format("binaryFile").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file"), decode(C("content")).alias("text"))
-    lines = files.select("source_file", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("line_seq", "line"))
+    """Lines of legacy files whose encoding differs per file; '}' stands for ': ', '~' separates cells.
+
+    A file is UTF-16 (with its mark), UTF-8, Windows-1252, or else Latin-1: the first that fits all of its lines. Files are read in parts, as lines
+    of bytes: a first pass sums up each part (number of lines, whether they are UTF-8), these few rows give every part the encoding of its
+    file and the number of its first line, and the second pass decodes line by line. Only UTF-16 files, whose line ends are no single bytes,
+    are decoded as a whole; big ones with one known layout are for ``read_utf16_table``.
+    """
+    lines = _file_lines(spark, path)  # both passes read the same parts, so a line has the same place in both
+    content = C("value").cast("binary")
+    _, _, undefined = _single_byte(content)
+    parts = materialise(lines.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"), F.bool_and(F.try_validate_utf8("value").isNotNull()).alias("utf8"), F.bool_or(undefined).alias("undefined"),
+        F.hex(F.substring(F.min_by(content, "_at"), 1, 2)).alias("mark")))
+    whole, earlier = Window.partitionBy("_file"), Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    known = parts.select(
+        "_file", "_block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+        F.when(F.bool_or((C("_block") == 0) & C("mark").isin("FFFE", "FEFF")).over(whole), "UTF-16").when(F.bool_and("utf8").over(whole), "UTF-8")
+        .when(F.bool_or("undefined").over(whole), "ISO-8859-1").otherwise("WINDOWS-1252").alias("encoding"))
+    latin, windows, _ = _single_byte(content)
+    text = F.when(C("encoding") == "UTF-8", C("value")).when(C("encoding") == "ISO-8859-1", latin).otherwise(windows)
+    decoded = lines.join(known.filter("encoding <> 'UTF-16'"), ["_file", "_block"]).select(
+        "_file", (C("before") + C("_at") - C("first") + 1).cast("int").alias("line_seq"), text.alias("line"))
+    marked = [r[0] for r in known.filter("encoding = 'UTF-16' and _block = 0").select("_file").collect()]  # paths, as Spark's own listing holds them
+    if marked:
+        wide = spark.read.format("binaryFile").load([unquote(m) for m in marked]).select(
+            C("_metadata.file_path").alias("_file"), F.posexplode(F.split(F.decode("content", "UTF-16"), "\r\n|\r|\n")).alias("line_seq", "line"))
+        decoded = decoded.unionByName(wide.select("_file", (C("line_seq") + 1).alias("line_seq"), "line"))
     fixed = F.replace("line", F.lit("}"), F.lit(": "))
-    return lines.filter(F.trim("line") != "").select("source_file", (C("line_seq") + 1).alias("line_seq"), fixed.alias("line"),
-                                                     F.split(fixed, "~").alias("cells"))
+    return decoded.filter(F.trim("line") != "").select(F.url_decode(F.replace(F.element_at(F.split("_file", "/"), -1), F.lit("+"), F.lit("%2B"))).alias("source_file"), "line_seq",
+                                                       fixed.alias("line"), F.split(fixed, "~").alias("cells"))
 
 
 def read_pipe_table(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
@@ -156,9 +186,57 @@ def assign_headers(lines: DataFrame, headers: Sequence[str], width: int, delimit
     return lines.select(*[F.trim(F.get(cells, F.lit(i + skip))).alias(n) for i, n in enumerate(names)])
 
 
-def read_quoted_table(spark: SparkSession, path: str) -> DataFrame:
-    """Quoted CSV whose cells may span lines."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
+def _quoted_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of quoted CSV files, read in parts: ``_file``, ``text`` of the record, and ``head`` for a file's first.
+
+    Whether a line begins a record follows from the number of quotes before it. The first pass counts the quotes of each part of a
+    file, a sum over the parts before tells how each part begins, and the second pass cuts every part into records on its own. What is left over at a
+    part's beginning belongs to the last record begun before; only these records, at most one per part, are put together across parts.
+    """
+    lines = _file_lines(spark, path, lineSep="\n")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = lines.groupBy("_file", "_block").agg((F.sum(quotes) % 2).alias("odd")).select(
+        "_file", "_block", (F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2).alias("open"))
+    above = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    here = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.join(parts, ["_file", "_block"]).withColumns({"before": C("open") + F.coalesce(F.sum(quotes).over(above), F.lit(0)),
+                                                                  "top": (C("_block") == 0) & (F.count(F.lit(1)).over(here) == 1)})
+    begun = counted.withColumn("record", F.max(F.when(C("before") % 2 == 0, C("_at"))).over(here))
+
+    def joined(pieces: str, order: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, pieces))), lambda x: x[pieces]), "\n")
+
+    cut = materialise(begun.groupBy("_file", "_block", "record").agg(joined("value", "_at").alias("text"), F.max("top").alias("head")))
+    last = cut.groupBy("_file", "_block").agg(F.max("record").alias("record"))
+    owner = F.last(F.when(C("record").isNotNull(), F.struct(C("_block"), C("record"))), ignorenulls=True).over(earlier)
+    rests = cut.filter(C("record").isNull()).join(last.select("_file", "_block", owner.alias("owner")), ["_file", "_block"]).select(
+        "_file", "_block", "text", C("owner._block").alias("of_block"), C("owner.record").alias("of_record"))
+    owners = rests.select("_file", C("of_block").alias("_block"), C("of_record").alias("record")).distinct()
+    opened = cut.join(owners, ["_file", "_block", "record"], "left_semi").select(
+        "_file", "_block", "text", C("_block").alias("of_block"), C("record").alias("of_record"), "head")
+    spanning = opened.unionByName(rests, allowMissingColumns=True).groupBy("_file", "of_block", "of_record").agg(joined("text", "_block").alias("text"), F.max("head").alias("head"))
+    inside = cut.filter(C("record").isNotNull()).join(owners, ["_file", "_block", "record"], "left_anti")
+    both = inside.select("_file", "text", "head").unionByName(spanning.select("_file", "text", "head"))
+    return both.withColumn("text", F.rtrim("text", F.lit("\r"))).filter(C("text") != "")
+
+
+def read_quoted_table(spark: SparkSession, path: str, file_column: str | None = None) -> DataFrame:
+    """Quoted CSV whose cells may span lines, every column as text; a quote within a cell is doubled, the first record of a file is its header.
+
+    Big files are read in parts. Columns are named by the header of the first file; lines end with ``\\n`` or ``\\r\\n``; empty lines between records are
+    no records. ``file_column`` asks for the path of the file a row comes from.
+    """
+    records = materialise(_quoted_records(spark, path))
+    first = records.filter("head").orderBy("_file").select("text").first()
+    if first is None:
+        raise ValueError(f"no header below {path}")
+    names = next(csv.reader(io.StringIO(first[0].removeprefix("\ufeff"), newline="")))
+    layout = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+    # exploding the one-element array keeps later columns and filters from repeating the read
+    row = F.explode(F.array(F.from_csv("text", layout, {"quote": '"', "escape": '"'})))
+    read = records.filter(~C("head")).select(C("_file"), row.alias("row"))
+    return read.select(*[C("row")[n].alias(n) for n in names], *([C("_file").alias(file_column)] if file_column else []))
 
 
 def file_date(name: Column | str) -> Column:
@@ -176,10 +254,10 @@ def read_channel_log(spark: SparkSession, path: str, date_col: str) -> DataFrame
 
     Rows whose date cannot be read belong to the first day of the file's month.
     """
-    raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
-    month = file_month("_metadata.file_name")
+    raw = read_quoted_table(spark, path, file_column="_path")
+    month = file_month(F.element_at(F.split("_path", "/"), -1))
     first = F.to_date(F.concat(month, F.lit("-01")))
-    return raw.select(*raw.columns, month.alias("partition_month"), robust_date(date_col, fallback=first).alias("partition_date"))
+    return raw.select(*[c for c in raw.columns if c != "_path"], month.alias("partition_month"), robust_date(date_col, fallback=first).alias("partition_date"))
 
 
 def account_from_number(col: Column | str) -> tuple[Column, Column, Column]:
@@ -218,9 +296,20 @@ def export_csv(df: DataFrame, path: str, order: Sequence[str | Column] = (), one
     out.write.mode("overwrite").csv(path, header=True)
 
 
+# Below anything of their type that is stored.
+_LEAST = {"date": "0001-01-01", "timestamp": "0001-01-01 00:00:00", "timestamp_ntz": "0001-01-01 00:00:00", "string": ""}
+
+
 def newer_than_own(df: DataFrame, column: str, history: DataFrame | None) -> DataFrame:
-    """Loads newer than the newest in the own history; all of them if there is none yet."""
+    """Loads newer than the newest in the own history; all of them if there is none yet.
+
+    The newest is one value that Spark looks up before it plans the read: of a table partitioned by ``column`` the older partitions are
+    not listed in the scan, of another the comparison reaches the files' statistics.
+    """
     if history is None:
         return df
-    seen = history.agg(F.max(column)).scalar()
-    return df.filter(seen.isNull() | (F.col(column) > seen))
+    kind = history.schema[column].dataType.simpleString()
+    least = F.lit(_LEAST[kind]).cast(kind) if kind in _LEAST else F.lit("-Infinity").cast("double") if kind in ("double", "float") else F.lit(-(2**63) + 1)
+    seen = history.agg(F.coalesce(F.max(column), least)).scalar()
+    none = history.agg(F.count(column) == 0).scalar()
+    return df.filter((F.col(column) > seen) | none & (F.col(column).isNull() | (F.col(column) == least)))
