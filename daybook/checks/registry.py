@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,6 +13,7 @@ from daybook.checks import accounting_sql, bank_views, file_views, operator_view
 from daybook.context import Context
 from daybook.plans import MARTS
 from daybook.sources import textreports
+from daybook.sources.dimensions import store_dimensions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +39,26 @@ OVER_HISTORY = ("assets_compared", "liabilities_compared", "balance_sheet_assets
 HOT_MARTS = ("account_statement", "statement_book", "trial_balance_detail", "closed_account_listing")
 
 
+#: Marts that are registered once more over stored dimensions.
+STORED_MARTS = ("statement_book", "account_statement", "large_daily_txn", "lending_arrangements", "acct_cust")
+STORED = ("company", "category", "customer", "cus_dist", "cus_subdist", "cus_vill", "transaction", "eb_system_id", "acct_stmt_print", "ac_sub_account", "mnemonic_company",
+          "account_statement", "stmt_printed", "company_sms_group", "user", "account")
+_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def stored_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dimensions of a folder, stored by the first query of a session that asks for them."""
+    session = (spark.sparkContext.applicationId, sf_dir)
+    if session not in _stored:
+        frames, prefix = bank_views.frames(spark, sf_dir), f"dim_{uuid.uuid4().hex}_"
+        _stored[session] = store_dimensions(spark, {name: frames[name] for name in STORED}, prefix)
+    return _stored[session]
+
+
+def _stored_mart(name: str) -> Query:
+    return lambda spark, sf_dir: flat(MARTS[name](bank(spark, sf_dir, pins=PINS, stored=stored_dimensions(spark, sf_dir))))
+
+
 def _mart(name: str, hot: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ctx = bank(spark, sf_dir, pins=PINS, hot=hot)
@@ -117,11 +139,12 @@ OPERATORS: dict[str, tuple[Query, str | None]] = {
 
 def queries() -> dict[str, Query]:
     return {**{name: _mart(name) for name in MARTS}, **{f"{name}_hot": _mart(name, hot=True) for name in HOT_MARTS},
-            **{f"{name}_past": _past(name) for name in (*BY_DAY, *BY_YEAR)}, **{f"{name}_on_day": _on_day(name) for name in ON_DAY},
+            **{f"{name}_stored": _stored_mart(name) for name in STORED_MARTS}, **{f"{name}_past": _past(name) for name in (*BY_DAY, *BY_YEAR)}, **{f"{name}_on_day": _on_day(name) for name in ON_DAY},
             **{name: run for name, (run, _) in OPERATORS.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
     marts = {**{name: silver_sql.silver_sql(name) for name in silver_sql.SILVER}, **report_sql.REPORTS, **accounting_sql.ACCOUNTING}
-    return {**marts, **{f"{name}_hot": marts[name] for name in HOT_MARTS}, **{f"{name}_past": _past_sql(name) for name in (*BY_DAY, *BY_YEAR)},
+    return {**marts, **{f"{name}_hot": marts[name] for name in HOT_MARTS}, **{f"{name}_stored": marts[name] for name in STORED_MARTS},
+            **{f"{name}_past": _past_sql(name) for name in (*BY_DAY, *BY_YEAR)},
             **{f"{name}_on_day": _on_day_sql(name) for name in ON_DAY}, **{name: sql for name, (_, sql) in OPERATORS.items() if sql}}

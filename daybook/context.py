@@ -18,7 +18,7 @@ class Context:
     ``read(name, version)`` returns a table, at a pinned version when one is given. ``marts`` holds
     marts that are already stored; a mart that is not there is planned when a report asks for it, which starts no job, so that
     only the columns the report needs are computed. ``stage`` names marts that several reports of one run read: those are written
-    once. ``hot`` tells that some account, branch or file has more rows than one task should take.
+    once. ``stored`` holds dimensions with one row per record (``sources.dimensions``). ``hot`` tells that some account, branch or file has more rows than one task should take.
     """
 
     spark: SparkSession
@@ -30,6 +30,7 @@ class Context:
     marts: dict[str, DataFrame] = field(default_factory=dict)
     history: Mapping[str, DataFrame] = field(default_factory=dict)
     stage: Collection[str] = ()
+    stored: Mapping[str, DataFrame] = field(default_factory=dict)
     hot: bool = False
 
     @classmethod
@@ -49,6 +50,10 @@ class Context:
         """Current-state table at its pinned version."""
         return self.read(name, self.pins.get(name))
 
+    def versions(self, name: str) -> DataFrame:
+        """Versions of a dimension's records: those of the table, or the newest ones only if they are ``stored``."""
+        return self.stored[name] if name in self.stored else self.dim(name)
+
     def event(self, name: str, date_col: str) -> DataFrame:
         """Rows of an event table for the business date."""
         return self.dim(name).filter(as_date(date_col) == self.day)

@@ -155,20 +155,33 @@ def global_row_number(df: DataFrame, order: Sequence[str], out: str) -> DataFram
 
 
 def with_totals(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, str], marks: Mapping[str, object],
-                also: Sequence[str] = ()) -> DataFrame:
-    """Append one total row per ``keys``: summed columns, fixed marks, everything else null."""
-    total = rows.groupBy(*keys, *also).agg(*[F.sum(c).cast(t).alias(c) for c, t in sums.items()])
-    total = total.select(*keys, *also, *sums, *[F.lit(v).alias(n) for n, v in marks.items()])
-    return rows.unionByName(total.select(*[
-        F.col(f.name).cast(f.dataType) if f.name in total.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in rows.schema.fields]))
+                also: Sequence[str] = (), hot: bool = False) -> DataFrame:
+    """Append one total row per ``keys``: summed columns, fixed marks, everything else null.
+
+    The totals are window sums over the group and its first row hands on the total beside itself, so ``rows`` is planned and read
+    once and shuffled once, also by windows over the same keys that it has already. With ``hot`` (some group has more rows
+    than a task should take) totals are aggregated before the shuffle instead, for which ``rows`` is read twice.
+    """
+    fields = rows.schema.fields
+    if hot:
+        total = rows.groupBy(*keys, *also).agg(*[F.sum(c).cast(t).alias(c) for c, t in sums.items()])
+        total = total.select(*keys, *also, *sums, *[F.lit(v).alias(n) for n, v in marks.items()])
+        return rows.unionByName(total.select(*[
+            F.col(f.name).cast(f.dataType) if f.name in total.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]))
+    group = Window.partitionBy(*keys, *also)
+    summed = rows.withColumns({**{f"_total_{c}": F.sum(c).over(group).cast(t) for c, t in sums.items()},
+                               "_turn": F.row_number().over(group.orderBy(*keys))})  # any row of the group
+    given = {**{c: F.col(c) for c in (*keys, *also)}, **{c: F.col(f"_total_{c}") for c in sums}, **{n: F.lit(v) for n, v in marks.items()}}
+    own = F.struct(*[F.col(f.name) for f in fields])
+    total = F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+    return summed.select(F.inline(F.when(F.col("_turn") == 1, F.array(own, total)).otherwise(F.array(own))))
 
 
 def listing(df: DataFrame, keys: Sequence[str], order: str, sums: Mapping[str, str], account: str = "account_no",
             also: Sequence[str] = (), hot: bool = False) -> DataFrame:
     """DATA rows numbered inside their group plus one TOTAL row per group."""
     rows = numbered(df.withColumn("row_type", F.lit("DATA")), keys, [order], "row_no", hot)
-    return with_totals(rows, keys, sums, {account: "TOTAL", "row_type": "TOTAL"}, also)
+    return with_totals(rows, keys, sums, {account: "TOTAL", "row_type": "TOTAL"}, also, hot)
 
 
 def pivot_sums(value: Column, by: Column, names: Mapping[str, object], dtype: str, zero: bool = True) -> list[Column]:

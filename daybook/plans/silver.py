@@ -11,6 +11,7 @@ from daybook.context import Context
 from daybook.functions.columns import (as_date, blank_null, company_of_branch, compact_date,
                                        currency_amount, dr_cr, first_text, item, k, later, lookup, money,
                                        name_concat, null_of, num_or_null, padded_account, part)
+from daybook.sources.dimensions import KEY
 from daybook.operators.frames import earliest, group_stats, latest, parent_below, running_sum
 
 C = F.col
@@ -18,7 +19,9 @@ C = F.col
 
 def _newest(df: DataFrame, prefix: str, order: Sequence[Column] | None = None, key: Column | None = None,
             **cols: Column) -> DataFrame:
-    """Newest version per record; the key column is ``<prefix>_key``."""
+    """Newest version per record; the key column is ``<prefix>_key``. Stored dimensions have one row per record already."""
+    if KEY in df.columns and key is None:
+        return df.select(C(KEY).alias(f"{prefix}_key"), *[c.alias(n) for n, c in cols.items()])
     key = k("recid") if key is None else key
     order = [C("curr_no")] if order is None else order
     return latest(df.filter(key.isNotNull()), [key], order, cols, [f"{prefix}_key"])
@@ -64,7 +67,7 @@ def _documents(ctx: Context, prefix: str) -> DataFrame:
 def acct_cust(ctx: Context) -> DataFrame:
     """Savings accounts with their customer."""
     customer = _newest(
-        ctx.dim("customer"), "c", name1=k(item("name_1")), name2=k(item("name_2")), short_name=k(item("short_name")),
+        ctx.versions("customer"), "c", name1=k(item("name_1")), name2=k(item("name_2")), short_name=k(item("short_name")),
         born=F.coalesce(as_date("birth_incorp_date"), as_date("date_of_birth")), nationality=k("nationality"),
         birth_country=k("cust_birth_country"),
         address=first_text(item("street"), item("address"), item("town_country"), blank_is_null=False),
@@ -108,7 +111,7 @@ def closed_accounts(ctx: Context) -> DataFrame:
 
 def locked_amounts(ctx: Context) -> DataFrame:
     """Lock events with the account title."""
-    account = _newest(ctx.dim("account"), "a", name=k(item("short_title")))
+    account = _newest(ctx.versions("account"), "a", name=k(item("short_title")))
     events = ctx.dim("ac_locked_events").select(
         k("trans_ref").alias("transaction_ref"), k("account_number").alias("account"),
         k("description").alias("reasons_for_locking"), as_date("from_date").alias("from_date"),
@@ -128,9 +131,9 @@ def category_entry_book(ctx: Context) -> DataFrame:
     archive = ctx.dim("categ_entry_detail").withColumn("source", F.lit("ARCHIVE"))
     both = live.select("recid", *cols).unionByName(archive.select("recid", *cols))
     entry = latest(both, [k("recid")], [(C("source") == "LIVE").cast("int")], cols, ["entry_id"])
-    category = _newest(ctx.dim("category"), "g", category_desc=k(item("short_name")))
-    txn = _newest(ctx.dim("transaction"), "t", description=k("stmt_narr"))
-    xref = _newest(ctx.dim("categ_entry_detail_xref"), "x", [k("detail_id")], detail_xref_id=k("detail_id"))
+    category = _newest(ctx.versions("category"), "g", category_desc=k(item("short_name")))
+    txn = _newest(ctx.versions("transaction"), "t", description=k("stmt_narr"))
+    xref = _newest(ctx.versions("categ_entry_detail_xref"), "x", [k("detail_id")], detail_xref_id=k("detail_id"))
     out = _enrich(entry.withColumn("category", C("pl_category").try_cast("int")), category, "g", C("category").cast("string"))
     out = _enrich(_enrich(out, txn, "t", k("transaction_code")), xref, "x", C("entry_id"))
     return out.select(
@@ -156,11 +159,11 @@ def loan_risk(ctx: Context) -> DataFrame:
                 .groupBy(_arrangement_of().alias("s_key")).agg(F.sum(money(item("calc_amount", 1))).alias("rep_amount")))
     category = _newest(ctx.pull("category"), "g", product_name=k(item("short_name")))
     customer = _newest(
-        ctx.dim("customer"), "c", officer=k("account_officer"), id_type=k("id_types"), legal_id=k(item("legal_id")),
+        ctx.versions("customer"), "c", officer=k("account_officer"), id_type=k("id_types"), legal_id=k(item("legal_id")),
         employer_name=k("employ_name"), occupation=k(item("occupation")), spouse_name=k("sp_name"),
         mobile_phone=k("tel_mobile"), customer_name=k(item("name_1")), customer_short_name=k(item("name_2")),
         sector=k("sector"))
-    details = _newest(ctx.dim("aa_account_details"), "d", [k("recid")], maturity_date=as_date("maturity_date"),
+    details = _newest(ctx.versions("aa_account_details"), "d", [k("recid")], maturity_date=as_date("maturity_date"),
                       arrangement_status=k("arr_age_status"))
     officer = _newest(ctx.pull("dept_acct_officer"), "o", account_officer=k("name"))
     sector = ctx.dim("map_sector_credit").select(C("sector_code").cast("string").alias("e_key"),
@@ -197,8 +200,8 @@ def loan_risk(ctx: Context) -> DataFrame:
 
 def lending_arrangements(ctx: Context) -> DataFrame:
     """Open lending arrangements with application, term, group, product, commitment and overdue."""
-    loan_app = _newest(ctx.dim("em_lo_application"), "l", rep_start=as_date("rep_start_date"))
-    dl_app = _newest(ctx.dim("em_dl_application"), "q", dl_app_date=as_date("app_date"))
+    loan_app = _newest(ctx.versions("em_lo_application"), "l", rep_start=as_date("rep_start_date"))
+    dl_app = _newest(ctx.versions("em_dl_application"), "q", dl_app_date=as_date("app_date"))
     party = _newest(ctx.dim("aa_arr_customer"), "p", [_property_date(), C("recid")], _arrangement_of(),
                     dl_appl_id=k("dl_appl_id"), loan_appl_id=k("loan_appl_id"), group_id=k("group_id"))
     term = _newest(ctx.dim("aa_arr_term_amount").filter(C("recid").contains("-TERM.AMOUNT-")), "t",
@@ -206,9 +209,9 @@ def lending_arrangements(ctx: Context) -> DataFrame:
     dates = ctx.dim("aa_account_details").select(
         k("recid").alias("d_key"), as_date("payment_start_date").alias("pay_start"),
         as_date("maturity_date").alias("maturity_date"))
-    customer = _newest(ctx.dim("customer"), "c", owner_name=k(item("name_1")))
+    customer = _newest(ctx.versions("customer"), "c", owner_name=k(item("name_1")))
     group = _newest(ctx.pull("mcb_group"), "g", [C("recid")], group_name=C("g_name"))
-    role = _newest(ctx.dim("aa_customer_role"), "r", [C("recid")], customer_role=item("description"))
+    role = _newest(ctx.versions("aa_customer_role"), "r", [C("recid")], customer_role=item("description"))
     product = _newest(ctx.pull("aa_product"), "u", [C("recid")], product_desc=k(item("description")))
     overdue = (ctx.dim("aa_bill_details").groupBy(k("arrangement_id").alias("b_key"))
                .agg(F.sum(money("os_total_amount")).cast("decimal(28,2)").alias("overdue")))
@@ -241,7 +244,7 @@ def lending_arrangements(ctx: Context) -> DataFrame:
 
 def inward_remittance(ctx: Context, require_current: bool = True) -> DataFrame:
     """Inward funds transfers with both account titles."""
-    titles = _newest(ctx.dim("account"), "a", title=k(item("short_title")))
+    titles = _newest(ctx.versions("account"), "a", title=k(item("short_title")))
     payer = titles.select(C("a_key").alias("v_key"), C("title").alias("received_from"))
     payee = titles.select(C("a_key").alias("w_key"), C("title").alias("beneficiary"))
     ft = ctx.dim("funds_transfer")
@@ -271,7 +274,7 @@ def inward_remittance(ctx: Context, require_current: bool = True) -> DataFrame:
 def inactive_accounts(ctx: Context, recent_days: int = 30) -> DataFrame:
     """Accounts marked inactive whose last movement is close to the newest one in the data."""
     customer = _newest(
-        ctx.dim("customer"), "c",
+        ctx.versions("customer"), "c",
         customer_name=F.trim(F.regexp_replace(F.concat_ws(" ", *[
             F.coalesce(k(x), F.lit("")) for x in (C("title"), item("name_1"), item("name_2"), item("short_name"))]),
             r"\s+", " ")),
@@ -309,7 +312,7 @@ def missing_documents(ctx: Context) -> DataFrame:
     """Customers whose first identity document is missing or expired, with their accounts."""
     expiry = as_date(item("legal_exp_date"))
     customer = _newest(
-        ctx.dim("customer"), "c", customer_name=name_concat(C("title"), item("name_1"), item("name_2"), item("short_name")),
+        ctx.versions("customer"), "c", customer_name=name_concat(C("title"), item("name_1"), item("name_2"), item("short_name")),
         born=F.coalesce(as_date("date_of_birth"), as_date("birth_incorp_date")), doc_code=k(item("legal_doc_name")),
         legal_id=k(item("legal_id")), expiry=expiry, customer_short_name=k(item("short_name")),
         occupation=k(item("occupation")), gender=k("gender"))
@@ -317,7 +320,7 @@ def missing_documents(ctx: Context) -> DataFrame:
     customer = customer.filter(no_id | (C("expiry") <= ctx.day))
     company = _newest(ctx.pull("company"), "o", branch_name=k(item("company_name")))
     gic = _newest(ctx.pull("gic_id"), "g", gic_text=item("description"))
-    ref = _newest(ctx.dim("customer_account"), "r", [k("recid")], cust_account_ref=k("account_number"))
+    ref = _newest(ctx.versions("customer_account"), "r", [k("recid")], cust_account_ref=k("account_number"))
     account = ctx.dim("account").filter(C("category").try_cast("bigint").cast("string").isin(*specs.DOCUMENT_CATEGORIES))
     account = account.select(
         k("customer").alias("holder"), k("co_code").alias("company_code"), k("recid").alias("account_number"),
@@ -363,7 +366,7 @@ def large_daily_txn(ctx: Context) -> DataFrame:
         money("working_balance").alias("working_balance"), k("category").alias("account_category"),
         k("currency").alias("account_currency"))
     customer = _newest(
-        ctx.dim("customer"), "c", customer_id=k("recid"),
+        ctx.versions("customer"), "c", customer_id=k("recid"),
         cust_name=name_concat(C("title"), item("name_1"), item("name_2"), item("short_name")),
         occupation=k(item("occupation")), legal_id=k(item("legal_id")), doc_code=k(item("legal_doc_name")),
         customer_name_1=k(item("name_1")), customer_name_2=k(item("name_2")),
@@ -433,7 +436,7 @@ def opened_accounts(ctx: Context) -> DataFrame:
     first = earliest(plain.unionByName(netted).filter(C("amount_lcy") > 0), [C("acct")], [C("booked"), C("entry")],
                      {"first_deposit_amt": C("amount_lcy")}, ["f_key"])
     customer = _newest(
-        ctx.dim("customer"), "c",
+        ctx.versions("customer"), "c",
         cus_name=F.trim(F.concat_ws(" ", k("title"), k(item("name_1")), k(item("name_2")), k(item("short_name")))),
         doc_1=k(item("legal_doc_name")), doc_2=k(item("legal_doc_name", 1)), ident_doc_no=k(item("legal_id")),
         alter_id_no=k(item("legal_id", 1)), pep=k("pep"),
@@ -464,9 +467,9 @@ def written_off_loans(ctx: Context) -> DataFrame:
     history = ctx.dim("aa_activity_history")
     driver = (history.select(k("recid").alias("arrangement_id"), F.explode("activity").alias("act"))
               .filter(F.upper("act").startswith("LENDING-WRITE.OFF")).select("arrangement_id").distinct())
-    arr = _newest(ctx.dim("aa_arrangement"), "a", [C("recid")], cust_id=k(item("customer")),
+    arr = _newest(ctx.versions("aa_arrangement"), "a", [C("recid")], cust_id=k(item("customer")),
                   product_id=k("product_group"), currency=k("currency"))
-    customer = _newest(ctx.dim("customer"), "c", customer_name=k(item("name_1")), officer=k("account_officer"))
+    customer = _newest(ctx.versions("customer"), "c", customer_name=k(item("name_1")), officer=k("account_officer"))
     product = _newest(ctx.pull("aa_product"), "u", [C("recid")], product_desc=k(item("description")))
     account = _newest(ctx.dim("aa_arr_account"), "n", [C("recid")], _arrangement_of(), reference=k("account_reference"))
     party = _newest(ctx.dim("aa_arr_customer"), "p", [C("recid")], _arrangement_of(), group_id=k("group_id"))
@@ -514,16 +517,16 @@ def account_statement(ctx: Context) -> DataFrame:
     entries = plain.unionByName(netted)
     entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run", ctx.hot)
     entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, ctx.hot)
-    opening = _newest(ctx.dim("account_statement"), "b", bfwd_balance=money("fqu1_last_balance"))
+    opening = _newest(ctx.versions("account_statement"), "b", bfwd_balance=money("fqu1_last_balance"))
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("currency").alias("acct_ccy"), k(item("short_title")).alias("account_short_title"),
         k("customer").alias("customer_id"), k("co_code").alias("co_code"))
-    customer = _newest(ctx.dim("customer"), "c", customer_short_name=k(item("short_name")))
-    txn = _newest(ctx.dim("transaction"), "n", description=k("stmt_narr"))
+    customer = _newest(ctx.versions("customer"), "c", customer_short_name=k(item("short_name")))
+    txn = _newest(ctx.versions("transaction"), "n", description=k("stmt_narr"))
     system = ctx.dim("eb_system_id").select(k("recid").alias("s_key"), k("application").alias("drilldown_application"))
-    printed = _newest(ctx.dim("stmt_printed"), "p", [k("recid")], last_printed_entry_no=k("stmt_entry_no"))
-    sms = _newest(ctx.dim("company_sms_group"), "m", sms_group_description=item("description"))
-    user = _newest(ctx.dim("user"), "u", inputter_user_name=k("user_name"))
+    printed = _newest(ctx.versions("stmt_printed"), "p", [k("recid")], last_printed_entry_no=k("stmt_entry_no"))
+    sms = _newest(ctx.versions("company_sms_group"), "m", sms_group_description=item("description"))
+    user = _newest(ctx.versions("user"), "u", inputter_user_name=k("user_name"))
     forward = (ctx.dim("ac_stmt_parameter").filter(k("recid") == "SYSTEM")
                .agg(F.max(F.struct("curr_no", k("fwd_mvmt_reqd").alias("f")))["f"]).scalar())
     out = entries
@@ -545,7 +548,7 @@ def account_statement(ctx: Context) -> DataFrame:
 
 def statement_book(ctx: Context) -> DataFrame:
     """Statement book: amount in the company's currency, running balance, totals by side."""
-    company = _newest(ctx.dim("company"), "o", company_name=k(item("company_name")), comp_ccy=k("local_currency"))
+    company = _newest(ctx.versions("company"), "o", company_name=k(item("company_name")), comp_ccy=k("local_currency"))
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("co_code").alias("co_code"), k("customer").alias("customer_id"),
         C("category").try_cast("bigint").cast("string").alias("category"), k(item("alt_acct_id", 1)).alias("iban"))
@@ -565,18 +568,18 @@ def statement_book(ctx: Context) -> DataFrame:
         "total_dr_amt": F.sum(debit), "total_cr_amt": F.sum(credit),
         "dr_txn_count": F.count(F.when(C("amount") < 0, 1)), "cr_txn_count": F.count(F.when(C("amount") > 0, 1)),
         "balance_at_period_end": F.sum("amount")}, ctx.hot)
-    category = _newest(ctx.dim("category"), "g", category_name=k(item("short_name")))
-    customer = _newest(ctx.dim("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
+    category = _newest(ctx.versions("category"), "g", category_name=k(item("short_name")))
+    customer = _newest(ctx.versions("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
                        town=k("suburb_town"), city=k("city_municipal"), province=k("province_state"))
-    district = _newest(ctx.dim("cus_dist"), "d", dist_name=k(item("dist_name")))
-    subdistrict = _newest(ctx.dim("cus_subdist"), "e", subdist_name=k("district_id"))
-    village = _newest(ctx.dim("cus_vill"), "v", [k("recid")], vill_name=k("subdistrict_id"))
-    txn = _newest(ctx.dim("transaction"), "n", transaction_narrative=k("stmt_narr"))
-    system = _newest(ctx.dim("eb_system_id"), "s", [k("recid")], base_appl=k("application"))
+    district = _newest(ctx.versions("cus_dist"), "d", dist_name=k(item("dist_name")))
+    subdistrict = _newest(ctx.versions("cus_subdist"), "e", subdist_name=k("district_id"))
+    village = _newest(ctx.versions("cus_vill"), "v", [k("recid")], vill_name=k("subdistrict_id"))
+    txn = _newest(ctx.versions("transaction"), "n", transaction_narrative=k("stmt_narr"))
+    system = _newest(ctx.versions("eb_system_id"), "s", [k("recid")], base_appl=k("application"))
     sweep = ctx.dim("ac_account_sweep_hist").select(k("recid").alias("w_key"), k("recid").alias("sweep_ref"))
-    printed = _newest(ctx.dim("acct_stmt_print"), "p", [k("recid")], stmt_print_balance=money("stmt_date_bal"))
-    sub = _newest(ctx.dim("ac_sub_account"), "u", [k("recid")], sub_account_ref=k("sub_account"))
-    owner = _newest(ctx.dim("mnemonic_company"), "m", [k("recid")], mnemonic_company_ref=k("company"))
+    printed = _newest(ctx.versions("acct_stmt_print"), "p", [k("recid")], stmt_print_balance=money("stmt_date_bal"))
+    sub = _newest(ctx.versions("ac_sub_account"), "u", [k("recid")], sub_account_ref=k("sub_account"))
+    owner = _newest(ctx.versions("mnemonic_company"), "m", [k("recid")], mnemonic_company_ref=k("company"))
     purge = ctx.dim("archive").filter(k("recid") == "STATEMENT").agg(F.max(as_date("purge_date"))).scalar()
     own = F.when(C("has_account"), C("account"))
     out = _enrich(_enrich(priced, printed, "p", own, sparse=True), sub, "u", own, sparse=True)
