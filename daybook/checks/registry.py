@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType
 
-from daybook.checks import accounting_sql, bank_views, file_views, operator_views, report_sql, silver_sql, text_views
+from daybook.checks import accounting_sql, bank_views, file_views, log_views, operator_views, report_sql, silver_sql, text_views
 from daybook.context import Context
 from daybook.plans import MARTS
 from daybook.sources import textreports
@@ -134,6 +134,7 @@ OPERATORS: dict[str, tuple[Query, str | None]] = {
     "report_reconcile": (lambda s, d: _deposits(s, d).checks, text_views.CHECKS_SQL),
     **operator_views.OPERATORS,
     **file_views.FILES,
+    **log_views.LOGS,
 }
 
 

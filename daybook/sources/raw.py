@@ -73,6 +73,12 @@ def logical_names(tables: DataFrame, overrides: Mapping[str, tuple[str, str]] |
     return tables.withColumns({"metadata_key": key, "target": target})
 
 
+def listed_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """path, file_name, bytes and modified of the files below ``path`` that match; no file is opened."""
+    found = spark.read.format("binaryFile").load(f"{path}/{pattern}").select("path", C("length").alias("bytes"), C("modificationTime").alias("modified"))
+    return found.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+
+
 def wanted_files(files: DataFrame, manifest: DataFrame, report: str, day: str) -> tuple[DataFrame, DataFrame]:
     """Files the manifest names for a report and day, and the entries whose file has not arrived."""
     entries = manifest.filter((C("report_name") == report) & (C("date_created") == F.lit(day).cast("date"))).select("file_name")
@@ -252,10 +258,11 @@ def file_month(name: Column | str) -> Column:
 def read_channel_log(spark: SparkSession, path: str, date_col: str) -> DataFrame:
     """Monthly log of a digital channel (agency, teller machine, internet banking, transfers) with its partition columns.
 
-    Rows whose date cannot be read belong to the first day of the file's month.
+    The month stands in the name of the file, or else of its folder. Rows whose date cannot be read belong to the first day of the file's month.
     """
     raw = read_quoted_table(spark, path, file_column="_path")
-    month = file_month(F.element_at(F.split("_path", "/"), -1))
+    names = F.split("_path", "/")
+    month = F.coalesce(file_month(F.element_at(names, -1)), file_month(F.element_at(names, -2)))
     first = F.to_date(F.concat(month, F.lit("-01")))
     return raw.select(*[c for c in raw.columns if c != "_path"], month.alias("partition_month"), robust_date(date_col, fallback=first).alias("partition_date"))
 
