@@ -38,6 +38,8 @@ RATIOS = (1.0, 1.02, 1.04, 1.06, 1.08, 1.1, 1.12, 1.15, 1.18, 1.22, 1.26, 1.3, 1
 DEGREE = 16  # edges of a centroid
 WALK = 256  # centroids that a walk keeps
 CHUNK = 4_096  # vectors searched together
+ASKED = 8_192  # queries that meet a chunk together, about
+SLICE = 512  # queries whose distances to a chunk are held at once
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -211,16 +213,17 @@ def _search(nearest: int):
     def run(key: tuple[Any, ...], queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(queries) and len(vectors):
-            x, q = scaled(matrix(vectors["vec"])), scaled(matrix(queries["vec"]))
-            rough = unit(q) @ unit(x).T
-            least = vectors["least"].to_numpy()
-            for row, own, near in zip(queries["query"], q, rough, strict=True):
-                few = min(nearest, near.size)
-                line = np.partition(near, near.size - few)[near.size - few] - 1e-9
-                kept = np.flatnonzero(near >= line)
-                exact = cosines(x[kept], own)
-                for at in np.lexsort((least[kept], -exact))[:few]:
-                    out.append((row, int(vectors["node"].iloc[kept[at]]), float(exact[at])))
+            x, least, node = scaled(matrix(vectors["vec"])), vectors["least"].to_numpy(), vectors["node"].to_numpy()
+            units = unit(x).T
+            for low in range(0, len(queries), SLICE):
+                q = scaled(matrix(queries["vec"].iloc[low:low + SLICE]))
+                for row, own, near in zip(queries["query"].iloc[low:low + SLICE], q, unit(q) @ units, strict=True):
+                    few = min(nearest, near.size)
+                    line = np.partition(near, near.size - few)[near.size - few] - 1e-9
+                    kept = np.flatnonzero(near >= line)
+                    exact = cosines(x[kept], own)
+                    for at in np.lexsort((least[kept], -exact))[:few]:
+                        out.append((row, int(node[kept[at]]), float(exact[at])))
         return pd.DataFrame(out, columns=["query", "node", "score"])
 
     return run
@@ -282,11 +285,20 @@ def neighbours(table: DataFrame, is_query, id_col: str = "vec_id", vector_col: s
 
     asked = rows.filter(is_query(F.col("vec_id"))).select("vec_id", "key").distinct()
     wanted = nodes.join(asked.select("key").distinct(), "key", "left_semi").select("node", "vec")
-    routed = wanted.repartition(spark.sparkContext.defaultParallelism, "node").mapInPandas(route, "query long, vec binary, list int, part int")
-    long_lists = spark.createDataFrame([(int(c), int(chunks[c])) for c in np.flatnonzero(chunks > 1)], "list int, chunks int")
-    dealt = posted.join(long_lists, "list", "left").withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))).cast("int")).drop("chunks")
-    met = routed.groupBy("list", "part").cogroup(dealt.groupBy("list", "part")).applyInPandas(
+    routed = settle(wanted.repartition(spark.sparkContext.defaultParallelism, "node").mapInPandas(route, "query long, vec binary, list int, part int"))
+    # neither the vectors nor the queries of a list meet in one group as a whole: vectors by chunk, queries by block
+    crowds = routed.groupBy("list", "part").count().groupBy("list").agg(F.max("count").alias("most")).select("list", F.ceil(F.col("most") / ASKED).cast("int").alias("blocks"))
+    blocks = np.ones(len(index.centroids), dtype=np.int64)
+    for row in crowds.filter("blocks > 1").collect():  # MAX_LISTS rows at most
+        blocks[row["list"]] = row["blocks"]
+    cut = np.flatnonzero((chunks > 1) | (blocks > 1))
+    long_lists = spark.createDataFrame([(int(c), int(chunks[c]), int(blocks[c])) for c in cut], "list int, chunks int, blocks int")
+    dealt = posted.join(long_lists, "list", "left").withColumns(
+        {"part": F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))).cast("int"),
+         "block": F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))}).drop("chunks", "blocks")
+    asking = routed.join(long_lists.select("list", "blocks"), "list", "left").withColumn(
+        "block", F.pmod(F.xxhash64("query"), F.coalesce("blocks", F.lit(1))).cast("int")).drop("blocks")
+    met = asking.groupBy("list", "part", "block").cogroup(dealt.groupBy("list", "part", "block")).applyInPandas(
         _search(nearest + 1), "query long, node long, score double")
     # A node found in several lists counts once; then its ids stand for it.
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

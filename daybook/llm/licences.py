@@ -104,7 +104,8 @@ def matches(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # a unit is known by its path and a hash: equal lines of a repeated path count together, which leaves their cosine as it is
     units = units.select("path", F.xxhash64("t").alias("unit"), F.expr(f"regexp_extract_all(t, '{WORD}', 0)").alias("words"))
     words = units.filter(F.expr(reachable("words", threshold))).select("path", "unit", F.explode("words").alias("word"))
-    counted = words.filter(~F.col("word").isin(*STOP_WORDS)).groupBy("path", "unit", "word").agg(F.count("*").alias("n"))
+    # norms and products both read the counts: written once, so that the texts are read once
+    counted = settle(words.filter(~F.col("word").isin(*STOP_WORDS)).groupBy("path", "unit", "word").agg(F.count("*").alias("n")))
     spark = files.sparkSession
     inverse = spark.createDataFrame(sorted(idf().items()), "word string, idf double")
     weighted = counted.join(F.broadcast(inverse), "word", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(UNKNOWN)))

@@ -20,6 +20,7 @@ from daybook.operators.staging import shared_folder
 SHARDS = 24
 BUCKET_BYTES = 16 << 20
 BROADCAST_BUCKETS = 500_000  # rows of three numbers
+MOST_TASKS = 100_000  # a task takes one bucket; beyond that several, one after another
 ROW_BYTES = 8  # counted for a row besides its text
 SEED = 90210
 
@@ -65,6 +66,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     rows = (docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_shard", shard_of(F.col(id_col), shards, seed))
             .withColumn("_bucket", F.pmod(F.xxhash64("_row", F.lit(seed + 1)), F.lit(buckets)).cast("int")))
+    rows = rows.repartition(int(min(MOST_TASKS, shards * buckets)), "_shard", "_bucket")  # as many tasks as buckets, whatever the session's default
     mixed = rows.groupBy("_shard", "_bucket").applyInArrow(_shuffled(seed), rows.schema)
     mixed.withColumn("shard", F.col("_shard")).write.partitionBy("shard").parquet(path)
     written = docs.sparkSession.read.schema(mixed.schema).parquet(path)

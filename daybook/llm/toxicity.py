@@ -16,11 +16,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from daybook.llm.common import WordHasher, text_bytes
+from daybook.llm.common import settle, WordHasher, text_bytes
 
 TRAIN_ROWS = 20_000  # labelled rows that are learned from at most
+TRAIN_BYTES = 256 << 20  # and their slots together: a very long text holds up to 1 MB of them
 SLOT_BITS = 18  # terms are hashed into so many bits
 SUPPORT = 3  # documents that hold a learned slot at least
 EVIDENCE = 25.0  # chi-square from which a slot learns at full rate
@@ -162,22 +163,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     none = np.empty(0, dtype=np.int32)
     if drawn.empty:
         return Machine(none, 0.0, np.empty(0), np.empty((0, FACTORS)))
-    known = spark.sparkContext.broadcast(dict(zip(drawn["doc_id"].tolist(), drawn["toxic"].tolist(), strict=True)))
+    known = F.broadcast(spark.createDataFrame(drawn, "doc_id long, toxic int"))  # TRAIN_ROWS rows of two numbers
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, wanted = hasher(), known.value
+        own = hasher()
         for batch in batches:
-            batch = batch.filter(pa.array([d in wanted for d in batch.column(0).to_pylist()], pa.bool_()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([wanted[d] for d in batch.column(0).to_pylist()], pa.int32()), batch.column(2),
-                 pa.array([slots_of(text or b"", own).tobytes() for text in text_bytes(batch.column(1))], pa.binary())],
+                [batch.column(0), batch.column(1), batch.column(3),
+                 pa.array([slots_of(text or b"", own).tobytes() for text in text_bytes(batch.column(2))], pa.binary())],
                 names=["doc_id", "toxic", "hash", "slots"])
 
-    train = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")).mapInArrow(
-        read, "doc_id long, toxic int, hash long, slots binary")
+    # only the texts of the drawn documents leave the JVM
+    labelled_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(known, "doc_id").select(
+        "doc_id", "toxic", "text", F.xxhash64("text").alias("hash"))
+    train = labelled_docs.mapInArrow(read, "doc_id long, toxic int, hash long, slots binary")
     # rows that repeat an id are one document: the text of the least hash
-    one = train.groupBy("doc_id").agg(F.min(F.struct("hash", "slots", "toxic")).alias("row"))
-    held = one.select("row.toxic", "row.slots").toPandas()  # TRAIN_ROWS rows of slots
+    one = settle(train.groupBy("doc_id").agg(F.min(F.struct("hash", "slots", "toxic")).alias("row")).select("doc_id", "row.toxic", "row.slots"))
+    # in the order they were drawn in, as many as TRAIN_BYTES hold: a sum over TRAIN_ROWS rows at most
+    upto = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = one.select("doc_id", F.sum(F.octet_length("slots")).over(upto).alias("bytes")).filter(F.col("bytes") <= TRAIN_BYTES)
+    held = one.join(F.broadcast(fits.select("doc_id")), "doc_id", "left_semi").select("toxic", "slots").toPandas()
     labelled, toxic = len(held), int(held["toxic"].sum())
     if not 0 < toxic < labelled:
         return Machine(none, 40.0 if toxic else -40.0 if labelled else 0.0, np.empty(0), np.empty((0, FACTORS)))
