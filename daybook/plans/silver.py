@@ -28,6 +28,7 @@ def _newest(df: DataFrame, prefix: str, order: Sequence[Column] | None = None, k
 
 
 NULL_SALTS = 256
+ROW_IDS = ("transaction_id", "entry_id", "trans_ref", "arrangement_id")  # columns that tell rows of a mart apart, or nearly
 
 
 def _enrich(df: DataFrame, dim: DataFrame, prefix: str, on: Column, sparse: bool = False) -> DataFrame:
@@ -35,7 +36,8 @@ def _enrich(df: DataFrame, dim: DataFrame, prefix: str, on: Column, sparse: bool
     since nulls would all meet in one task."""
     if not sparse:
         return df.join(dim, on == C(f"{prefix}_key"), "left").drop(f"{prefix}_key")
-    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS)).cast("string"))
+    spread = [c for c in ROW_IDS if c in df.columns] or df.columns
+    nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*spread), F.lit(NULL_SALTS)).cast("string"))
     return df.withColumn("_on", F.coalesce(on, nowhere)).join(dim, C("_on") == C(f"{prefix}_key"), "left").drop("_on", f"{prefix}_key")
 
 

@@ -13,6 +13,7 @@ from typing import Protocol
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from daybook.operators.staging import names_in, remove
 from daybook.sources.keyed import PREFIXES, KeyedTable
 
 C = F.col
@@ -71,7 +72,7 @@ class ParquetStore:
 
     Appended rows belong to the generation that is current; ``replace`` writes a full copy as the next generation and then
     makes it current with one small mark, so a copy that was cut short is never read. Older generations stay for readers that
-    planned on them and can be removed by age.
+    planned on them until ``forget`` removes them.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -90,13 +91,10 @@ class ParquetStore:
         return 0 if marks is None else marks.agg(F.max("generation")).first()[0]
 
     def read(self, name: str) -> tuple[DataFrame | None, DataFrame | None]:
-        rows = self._frame(f"{self.root}/{name}/rows")
-        if rows is None:
-            return None, None
+        """Only the current generation's folders are listed, and only its footers are read."""
         current = self._generation(name)
-        rows = rows.filter(C("generation") == current)
-        full = rows.filter("full_copy = 1").drop("generation", "full_copy") if current else None
-        return full, rows.filter("full_copy = 0").drop("generation", "full_copy")
+        folder = f"{self.root}/{name}/rows/generation={current}"
+        return self._frame(f"{folder}/full_copy=1") if current else None, self._frame(f"{folder}/full_copy=0")
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows.withColumns({"generation": F.lit(self._generation(name)), "full_copy": F.lit(0)}).write.mode("append") \
@@ -107,6 +105,15 @@ class ParquetStore:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/rows/generation={following}/full_copy=1")
         self.spark.range(1).select(F.lit(following).alias("generation")).write.mode("append").parquet(f"{self.root}/{name}/marks")
 
+    def forget(self, name: str, keep: int = 1) -> int:
+        """Remove generations older than the last ``keep`` before the current one, which no reader may be using; returns how many."""
+        oldest, gone = self._generation(name) - keep, 0
+        for folder in names_in(self.spark, f"{self.root}/{name}/rows"):
+            if folder.startswith("generation=") and int(folder.partition("=")[2]) < oldest:
+                remove(self.spark, f"{self.root}/{name}/rows/{folder}")
+                gone += 1
+        return gone
+
 
 def align(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Columns of a target table in its order; missing ones are null."""

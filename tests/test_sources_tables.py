@@ -211,3 +211,15 @@ def test_align_and_merge(spark):
     assert got == {"k": ("2", "keep", 4), "m": ("1", "z", 9), "new": ("3", "q", 1)}
     guarded = {r.id: r.n for r in merge_rows(old, new, ["id"], only_if=C("n.n") > C("o.n")).collect()}
     assert guarded == {"k": 5, "m": 9, "new": 1}
+
+
+def test_a_store_reads_its_current_generation_only(spark, tmp_path):
+    store = ParquetStore(spark, str(tmp_path))
+    for n in range(4):
+        store.append("t", spark.range(2).selectExpr("id", f"{n} as v"))
+        store.replace("t", spark.range(3).selectExpr("id", f"{n} as v"))
+    full, news = store.read("t")
+    assert news is None and all("generation=4/" in f for f in full.inputFiles()) and full.columns == ["id", "v"]
+    store.append("t", spark.range(1).selectExpr("id", "9 as v", "1 as extra"))
+    assert store.read("t")[1].collect() == [(0, 9, 1)]
+    assert store.forget("t") == 3 and store.forget("t") == 0 and store.read("t")[0].count() == 3
