@@ -102,10 +102,14 @@ class Model:
         directions = rng.normal(0, 1 / BANDWIDTH, (stats.shape[1], FEATURES))
         phases = rng.uniform(0, 2 * np.pi, FEATURES)
         z = np.clip((stats - self.mean) / self.scale, -8, 8)
-        return np.hstack([np.sqrt(2 / FEATURES) * np.cos(z @ directions + phases), np.ones((len(stats), 1))])
+        angles = np.tile(phases, (len(stats), 1))
+        for place, direction in enumerate(directions):
+            angles += z[:, place, None] * direction
+        return np.hstack([np.sqrt(2 / FEATURES) * np.cos(angles), np.ones((len(stats), 1))])
 
     def raw(self, stats: np.ndarray) -> np.ndarray:
-        return np.full(len(stats), 0.5) if self.weights is None else self.waves(stats) @ self.weights
+        """Sums in a fixed order per row: a matrix product may round equal rows of a batch differently."""
+        return np.full(len(stats), 0.5) if self.weights is None else (self.waves(stats) * self.weights).sum(axis=1)
 
     def score(self, stats: np.ndarray) -> np.ndarray:
         raw = np.clip(self.raw(stats), -0.5, 1.5)
