@@ -82,8 +82,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(xxhash.xxh3_128_digest(found.tobytes()) if found.size else None)
             signatures.append(signature(found) if found.size else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int32()))],
-            names=["doc", "n", "set_key", "sig"])
+            [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int32())),
+             batch.column(2)], names=["doc", "n", "set_key", "sig", "text_key"])
 
 
 def _in_filter(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -104,9 +104,9 @@ def _in_filter(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, n (set size), set_key (128-bit hash of the set, null if empty) and sig per document."""
-    return (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-            .mapInArrow(_sketch, "doc long, n long, set_key binary, sig array<int>"))
+    """doc, n (set size), set_key (128-bit hash of the set, null if empty), sig and text_key (hash of the text) per document."""
+    return (docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+            .mapInArrow(_sketch, "doc long, n long, set_key binary, sig array<int>, text_key long"))
 
 
 def _postings(sets: DataFrame, matches: int) -> DataFrame:
@@ -165,7 +165,10 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
 def _meeting(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of different components among ``apart`` (node, n, comp) that share a shingle early enough in both sets.
 
-    Shingles are taken rarest first. If the first shared one has ``pos`` others before it, the overlap is at most n - pos.
+    Shingles are taken rarest first. If the first shared one has ``pos`` others before it, the overlap is at most n - pos. Every pair
+    has a larger set a (of equal ones the lesser node) and a smaller one b. The overlap that b needs grows with the size of a, so b
+    posts only the shingles that leave room for the overlap with a set of its own size: about half of what a looks up. Letters of one
+    form that differ in more than that share no posted shingle and do not meet at all.
     """
     shingle = apart.join(full, "node").select("node", "n", "comp", F.explode("shingles").alias("x"))
     shared = shingle.groupBy("x").agg(F.count("*").alias("df")).filter("df > 1")
@@ -174,9 +177,10 @@ def _meeting(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     prefix = held.select("node", "n", "comp", F.explode(F.expr(early)).alias("q")).select(
         F.col("q.x").alias("x"), (F.col("n") - F.col("q.pos")).alias("room"), "node", "n", "comp")
     left = prefix.select("x", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.col("room").alias("room_a"))
-    right = prefix.select("x", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("room").alias("room_b"))
+    right = prefix.filter(f"{100 + percent} * room >= {percent} * 2 * n").select(
+        "x", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"), F.col("room").alias("room_b"))
     return left.join(right, "x").filter(
-        f"a < b and comp_a <> comp_b and {100 + percent} * least(room_a, room_b) >= {percent} * (n_a + n_b)")
+        f"(n_a > n_b or (n_a = n_b and a < b)) and comp_a <> comp_b and {100 + percent} * least(room_a, room_b) >= {percent} * (n_a + n_b)")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -209,6 +213,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null doc_id takes part in linking, but a component takes its name from the least id that is not null. Other columns of
     ``docs`` are not read. An empty table gives an empty result.
     """
+    return _judged(docs, id_col, text_col, percent).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """doc, n, text_key, comp, component_id per row; comp names the component even where two go by the same id, null for empty sets."""
     if not 0 < percent <= 100:
         raise ValueError("percent lies above 0 and up to 100")
     matches = matches_for(percent)
@@ -247,19 +258,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = labels.join(sets.select("node", "set_key", "doc"), "node")
     names = named.groupBy("comp").agg(F.min("doc").alias("component"))
-    of_set = settle(named.join(names, "comp").select("set_key", "component"))
-    return rows.select("doc", "n", "set_key").join(of_set, "set_key", "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("set_key").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    of_set = settle(named.join(names, "comp").select("set_key", "comp", "component"))
+    return rows.select("doc", "n", "text_key", "set_key").join(of_set, "set_key", "left").select(
+        "doc", "n", "text_key", "comp",
+        F.when(F.col("set_key").isNull(), F.col("doc")).otherwise(F.col("component")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The documents with the least id of each group of near-duplicates, in the columns of ``docs``.
+    """One document of each group of near-duplicates, in the columns of ``docs``: the least id, and of its texts that of the least hash.
 
-    Rows that share an id are one document, of which one row stays; rows without an id cannot be chosen by it and all stay.
+    Each row is judged by its own text: rows that share an id but belong to different groups stay, one of each group. Empty texts of
+    one id are one document, of which one row stays, as of rows that repeat id and text. Rows without an id cannot be chosen by it and
+    all stay. An empty table gives an empty result.
     """
+    key = "text_key"
+    while key.lower() in {name.lower() for name in docs.columns}:
+        key += "_"
     named = docs.filter(F.col(id_col).isNotNull())
-    kept = near_duplicates(named, id_col, text_col, percent).filter("kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return named.join(kept, id_col, "left_semi").dropDuplicates([id_col]).select(docs.columns).unionByName(
-        docs.filter(F.col(id_col).isNull()))
+    kept = (_judged(named, id_col, text_col, percent).filter("doc = component_id").groupBy("doc", "comp")
+            .agg(F.min("text_key").alias(key)).select(F.col("doc").alias(id_col), key))
+    return (named.withColumn(key, F.xxhash64(text_col)).join(kept, [id_col, key], "left_semi").dropDuplicates([id_col, key])
+            .select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull())))

@@ -82,6 +82,26 @@ def test_rows_without_id_link_but_never_name_a_component(spark):
     assert minhash.one_of_each(df).count() == 3
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(spark):
+    first, second, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(5, first, "x"), (5, second, "y"), (3, third, "x"), (5, third + " end", "x"), (5, first, "z"), (5, "", "x"), (5, None, "x"), (6, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Text_Key string")
+    kept = minhash.one_of_each(df.repartition(4))
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id, r.text or "") for r in kept.collect())
+    assert got == sorted([(5, first), (5, second), (3, third), (5, ""), (6, "")])
+
+
+def test_letters_of_one_form_do_not_meet(spark):
+    form = [f"w{i}" for i in range(178)]
+    rows = [(i, minhash.shingle_set(WordHasher(fold=True).words(" ".join([*form, *(f"u{i}x{k}" for k in range(22))]).encode())).view(np.int64).tolist())
+            for i in range(40)]  # similarity 0.8: some shared shingles are among the rarest 15 % of a set, none among the rarest 8 %
+    full = spark.createDataFrame(rows, "node long, shingles array<long>")
+    apart = full.selectExpr("node", "cast(size(shingles) as long) as n", "node as comp")
+    assert minhash._meeting(apart, full, 85).count() == 0
+    assert minhash._meeting(apart, full, 79).select("a", "b").distinct().count() == 40 * 39 // 2
+
+
 def test_chain_and_hot_groups_equal_brute_force(spark):
     rng = np.random.default_rng(1)
     base = [f"w{i}" for i in range(200)]
