@@ -179,8 +179,8 @@ def _labelled(stats: DataFrame, labels: DataFrame) -> DataFrame:
         "stats", "label", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION_PART)).alias("part"))
 
 
-def held_out():
-    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+def held_out(id_col: str = "doc_id"):
+    return F.coalesce(F.crc32(F.col(id_col).cast("long").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, Model]:
@@ -208,7 +208,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, all columns as they are; all rows if there is no usable label."""
-    _, model = trained(docs, labels, id_col, text_col)
+    model = fit(_labelled(document_statistics(docs.filter(~held_out(id_col)), id_col, text_col), labels))
     if model.weights is None:
         return docs
     at = docs.columns.index(text_col)
