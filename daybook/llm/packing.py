@@ -34,7 +34,8 @@ BLOCK = 16_384  # pieces packed together
 ISLANDS, EPOCHS, POPULATION, CHILDREN = 2, 3, 4, 6
 OPENED = 0.02, 0.2  # share of the well-filled sequences that a mutation opens, besides all others
 WASTE = 4  # a sequence with at most so many free places counts as well filled
-CACHED_WORDS, CACHED_STEMS, LONGEST_CACHED = 400_000, 1_000_000, 64  # about 300 MB in a worker at most
+CACHED_WORDS, CACHED_STEMS, LONGEST_CACHED = 200_000, 400_000, 64  # in one table, about 180 MB in a worker at most
+SEEN = 1 << 22  # marks of words that occurred once
 
 # ----------------------------------------------------------------------------- tokens
 
@@ -46,24 +47,12 @@ _ODD = re.compile("[\x1c-\x1f]")
 _loaded: dict[str, "WordIds"] = {}
 
 
-class _Stems(dict):
-    """Ids of pieces of words, asked from the tokenizer once while they are held."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_STEMS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 class WordIds(dict):
-    """Little-endian 32-bit ids of words. The vocabulary drops white space, so a text's ids are those of its words in order."""
+    """Little-endian 32-bit ids of words. The vocabulary drops white space, so a text's ids are those of its words in order.
+
+    Words and the pieces they are cut into are held once, and from their second occurrence on: most occur once, and a worker
+    keeps what it holds while later stages run in it.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -72,7 +61,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.markers = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spelling = byte_spelling()
-        self.stems = _Stems(self.stem)
+        self.seen, self.marks = bytearray(SEEN), 0
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -86,18 +75,29 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         found = _PLAIN.fullmatch(word)
-        if found:
-            stem = found[1].lower()
-            keep = stem in self.stems  # a word seen for the first time is held as a stem only
-            ids = self.stems[stem] + (self.stems[found[2]] if found[2] else b"")
+        stem = found[1].lower() if found else word
+        keep = stem == word or stem in self  # a spelling of a piece that is not held is not held either
+        if stem != word:
+            ids = self[stem] + (self[found[2]] if found[2] else b"")
         else:
-            keep, ids = True, self.stems[word]
-        if keep and len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
+            ids = self.stem(word)
+        if keep and len(word) <= LONGEST_CACHED and self._repeated(word):
+            if len(self) >= CACHED_WORDS + CACHED_STEMS:
                 self.clear()
             self[word] = ids
         return ids
 
+    def _repeated(self, word: str) -> bool:
+        """Whether the word, or another of the same mark, occurred before; marks start anew when half of them are set."""
+        mark = hash(word) % SEEN
+        if self.seen[mark]:
+            return True
+        if self.marks >= SEEN // 2:
+            self.seen, self.marks = bytearray(SEEN), 0
+        self.seen[mark] = 1
+        self.marks += 1
+        return False
+
     def text(self, text: str) -> bytes:
         if _ODD.search(text) or any(m in text for m in self.markers):
             return self.encode(text)  # a marker has an id of its own and parts the text around it

@@ -72,6 +72,27 @@ def test_small_caches_change_nothing(monkeypatch):
     assert ids.text(text) == plain_ids(text)
 
 
+def test_words_that_occur_once_are_not_held(monkeypatch):
+    """A worker keeps its words while later stages run in it: it holds each once, and only those that come again."""
+    ids = packing.WordIds(PATH)
+    once = " ".join(f"{a}{b}{c}q" for a in "bcdfg" for b in "aeiou" for c in "klmnprst")
+    assert ids.text(once) == plain_ids(once) and sum(map(len, [ids, getattr(ids, "stems", {})])) < 10
+    assert ids.text(once) == plain_ids(once) and sum(map(len, [ids, getattr(ids, "stems", {})])) == len(once.split())
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    monkeypatch.setattr(packing, "CACHED_STEMS", 30)
+    for text in (once, once.upper(), once.replace(" ", ", "), once):
+        assert ids.text(text) == plain_ids(text)
+    assert sum(map(len, [ids, getattr(ids, "stems", {})])) <= 50
+
+
+def test_marks_that_start_anew_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "SEEN", 4)
+    ids = packing.WordIds(PATH)
+    for text in ("a bb ccc dddd eeee ffff a bb! CCC.", "CCC. bb a a gg hh ii jj kk"):
+        assert ids.text(text) == plain_ids(text)
+    assert ids.marks <= 2
+
+
 def test_crossover_and_mutation_keep_every_piece():
     rng = np.random.default_rng(3)
     items = rng.integers(1, 100, 500)
