@@ -551,46 +551,50 @@ def account_statement(ctx: Context) -> DataFrame:
 def statement_book(ctx: Context) -> DataFrame:
     """Statement book: amount in the company's currency, running balance, totals by side."""
     company = _newest(ctx.versions("company"), "o", company_name=k(item("company_name")), comp_ccy=k("local_currency"))
+    category = _newest(ctx.versions("category"), "g", category_name=k(item("short_name")))
+    customer = _newest(ctx.versions("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
+                       town=k("suburb_town"), city=k("city_municipal"), province=k("province_state"))
+    district = _newest(ctx.versions("cus_dist"), "d", dist_name=k(item("dist_name")))
+    subdistrict = _newest(ctx.versions("cus_subdist"), "e", subdist_name=k("district_id"))
+    village = _newest(ctx.versions("cus_vill"), "v", [k("recid")], vill_name=k("subdistrict_id"))
+    printed = _newest(ctx.versions("acct_stmt_print"), "p", [k("recid")], stmt_print_balance=money("stmt_date_bal"))
+    sub = _newest(ctx.versions("ac_sub_account"), "u", [k("recid")], sub_account_ref=k("sub_account"))
+    # what an account looks up is joined to accounts: entries are many more and shuffled by account only
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("co_code").alias("co_code"), k("customer").alias("customer_id"),
         C("category").try_cast("bigint").cast("string").alias("category"), k(item("alt_acct_id", 1)).alias("iban"))
-    account = _enrich(account, company, "o", C("co_code"))
+    account = account.filter(C("a_key").isNotNull())
+    account = _enrich(_enrich(account, company, "o", C("co_code")), category, "g", C("category"))
+    account = _enrich(_enrich(account, customer, "c", C("customer_id")), district, "d", C("town"))
+    account = _enrich(_enrich(account, subdistrict, "e", C("city")), village, "v", C("province"))
+    account = _enrich(_enrich(account, printed, "p", C("a_key")), sub, "u", C("a_key"))
+    account = account.drop("co_code", "category", "town", "city", "province")
     entry = ctx.dim("stmt_entry").select(
         k("account_number").alias("account"), k("recid").alias("entry_id"), as_date("booking_date").alias("post_date"),
         as_date("value_date").alias("value_date"), k("trans_reference").alias("trans_ref"), "narrative",
         k("transaction_code").alias("txn_code"), k("their_reference").alias("their_reference"),
         k("system_id").alias("system_id"), k("currency").alias("ccy"), money("amount_lcy").alias("lcy"),
         money("amount_fcy").alias("fcy"))
-    priced = _enrich(entry, account.withColumn("has_account", F.lit(True)), "a", C("account"))
+    # a sweep is looked up while rows are narrow; how often it is there is kept, as its rows must not enter the sums
+    swept = F.when(C("system_id").isin("ACCP", "ACSW"), F.concat("trans_ref", F.lit("-SW")))
+    sweep = ctx.dim("ac_account_sweep_hist").groupBy(k("recid").alias("w_key")).agg(F.count(F.lit(1)).cast("int").alias("sweeps"))
+    priced = _enrich(_enrich(entry, sweep, "w", swept, sparse=True), account, "a", C("account"))
     home = F.substring("comp_ccy", 1, 3) == F.substring("ccy", 1, 3)
-    priced = priced.withColumn("amount", F.when(home, C("lcy")).otherwise(C("fcy")))
-    priced = running_sum(priced, ["account"], ["post_date", "entry_id"], "amount", "running_balance", ctx.hot)
+    priced, order = priced.withColumn("amount", F.when(home, C("lcy")).otherwise(C("fcy"))), ["post_date", "entry_id"]
+    hot = ctx.hot
+    priced = running_sum(priced, ["account"], order, "amount", "running_balance", hot)
     debit, credit, _ = dr_cr(C("amount"), zero=False)
     priced = group_stats(priced, ["account"], {
         "total_dr_amt": F.sum(debit), "total_cr_amt": F.sum(credit),
         "dr_txn_count": F.count(F.when(C("amount") < 0, 1)), "cr_txn_count": F.count(F.when(C("amount") > 0, 1)),
-        "balance_at_period_end": F.sum("amount")}, ctx.hot)
-    category = _newest(ctx.versions("category"), "g", category_name=k(item("short_name")))
-    customer = _newest(ctx.versions("customer"), "c", customer_short_name=k(item("short_name")), customer_name=k(item("name_1")),
-                       town=k("suburb_town"), city=k("city_municipal"), province=k("province_state"))
-    district = _newest(ctx.versions("cus_dist"), "d", dist_name=k(item("dist_name")))
-    subdistrict = _newest(ctx.versions("cus_subdist"), "e", subdist_name=k("district_id"))
-    village = _newest(ctx.versions("cus_vill"), "v", [k("recid")], vill_name=k("subdistrict_id"))
+        "balance_at_period_end": F.sum("amount")}, hot)
     txn = _newest(ctx.versions("transaction"), "n", transaction_narrative=k("stmt_narr"))
     system = _newest(ctx.versions("eb_system_id"), "s", [k("recid")], base_appl=k("application"))
-    sweep = ctx.dim("ac_account_sweep_hist").select(k("recid").alias("w_key"), k("recid").alias("sweep_ref"))
-    printed = _newest(ctx.versions("acct_stmt_print"), "p", [k("recid")], stmt_print_balance=money("stmt_date_bal"))
-    sub = _newest(ctx.versions("ac_sub_account"), "u", [k("recid")], sub_account_ref=k("sub_account"))
     owner = _newest(ctx.versions("mnemonic_company"), "m", [k("recid")], mnemonic_company_ref=k("company"))
     purge = ctx.dim("archive").filter(k("recid") == "STATEMENT").agg(F.max(as_date("purge_date"))).scalar()
-    own = F.when(C("has_account"), C("account"))
-    out = _enrich(_enrich(priced, printed, "p", own, sparse=True), sub, "u", own, sparse=True)
-    out = _enrich(_enrich(out, customer, "c", C("customer_id")), category, "g", C("category"))
-    out = _enrich(_enrich(out, txn, "n", C("txn_code")), system, "s", C("system_id"))
-    out = _enrich(out, district, "d", C("town"))
-    out = _enrich(_enrich(out, subdistrict, "e", C("city")), village, "v", C("province"))
-    swept = F.when(C("system_id").isin("ACCP", "ACSW"), F.concat("trans_ref", F.lit("-SW")))
-    out = _enrich(_enrich(out, sweep, "w", swept, sparse=True), owner, "m", C("system_id"))
+    out = _enrich(_enrich(priced, txn, "n", C("txn_code")), system, "s", C("system_id"))
+    out = _enrich(out, owner, "m", C("system_id"))
+    out = out.withColumn("sweep_ref", F.explode(F.array_repeat(F.when(C("sweeps").isNotNull(), swept), F.coalesce("sweeps", F.lit(1)))))
     gap, money_gap = null_of("string"), null_of("decimal(18,2)")
     return out.select(
         "account", gap.alias("original_acct"), gap.alias("auto_pay_acct"), "category_name", "iban", "customer_id",
