@@ -26,6 +26,21 @@ def test_entries_are_shuffled_by_account_only(spark, name, keys):
     assert found == [True] * len(keys)
 
 
+def test_stored_entries_are_shuffled_by_account_only(spark):
+    stored = registry.stored_dimensions(spark, FOLDER)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = MARTS["statement_book"](registry.bank(spark, FOLDER, pins=registry.PINS, stored=stored))
+        plan = df._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    while not plan.nodeName() == "Window":
+        plan = plan.children().head()
+    below = plan.toString()
+    assert all(f"= {k}#" in below for k in ("c_key", "p_key", "u_key", "w_key"))
+
+
 def test_sweeps_that_repeat_repeat_rows_but_enter_no_sum(spark):
     ctx = registry.bank(spark, FOLDER, pins=registry.PINS)
     once = MARTS["statement_book"](ctx)
