@@ -7,10 +7,14 @@ size-checked broadcast choice. The only forced broadcasts are tables written out
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from daybook.operators.staging import materialise
 
@@ -57,43 +61,136 @@ def with_rows(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> Dat
     return df.select("*", F.expr(f"inline(array({cells}))"))
 
 
-def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], hot: bool = False) -> DataFrame:
+SLICE = "_slice"
+SAMPLED = 20  # rows per slice in the sample that the bounds are taken from
+
+
+@dataclass(frozen=True)
+class Slices:
+    """Bounds that cut the keys that are longer than a slice into slices of their order; all other keys stay whole.
+
+    The slice of a row follows from its own key and order, so rows that are computed again stay where they were and what the slices
+    of a key add up to is aggregated from ``rows``, the frame as it was cut, without a second copy of it. False if no key is cut.
+    """
+
+    rows: DataFrame
+    keys: Sequence[str]
+    fields: StructType
+    bounds: Sequence[tuple]
+
+    def __bool__(self) -> bool:
+        return bool(self.bounds)
+
+    def _literal(self, values: tuple) -> list[Column]:
+        return [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, self.fields)]
+
+    def number(self, df: DataFrame) -> DataFrame:
+        """Rows with their slice: the number of bounds up to them, looked up in two steps."""
+        if SLICE in df.columns:
+            return df
+        step = math.isqrt(len(self.bounds)) + 1
+        bounds = [F.struct(*self._literal(b)) for b in self.bounds]
+        steps = F.array(*(bounds[step - 1::step] or bounds[-1:]))
+        row = F.transform(F.array(F.struct(*[F.col(f.name) for f in self.fields])), lambda r: F.struct(
+            r.alias("row"), (F.size(F.filter(steps, lambda b: b <= r)) * step).alias("n")))
+        place = F.transform(row, lambda x: x["n"] + F.size(F.filter(
+            F.slice(F.array(*bounds), x["n"] + 1, F.lit(step)), lambda b: b <= x["row"])))
+        return df.withColumn(SLICE, place[0])
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Rows dealt by key and slice; they stay so in what follows as long as the slice is kept."""
+        return df if SLICE in df.columns or not self else self.number(df).repartition(*self.keys, SLICE)
+
+    def is_cut(self) -> Column:
+        """Whether the key of a row is one of those that are cut."""
+        keys = list(dict.fromkeys(b[:len(self.keys)] for b in self.bounds))
+        if len(self.keys) == 1:
+            key, known = F.col(self.keys[0]), [k for k, in keys if k is not None]
+            found = key.isin(known) if known else F.lit(False)
+            return F.coalesce(found, F.lit(False)) | key.isNull() if len(known) < len(keys) else found
+        return reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [
+            F.col(c).eqNullSafe(v) for c, v in zip(self.keys, self._literal(k))]) for k in keys])
+
+    def same(self) -> Column:
+        """Join condition of a row with what its slice was handed, see ``handed``."""
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.keys)],
+                      F.col(SLICE) == F.col("_s"))
+
+    def handed(self, df: DataFrame, columns: Sequence[str], part: Column, give: Column, out: str) -> DataFrame:
+        """What a slice of a cut key is handed by the others: ``part`` is aggregated per slice as ``_part``, ``give`` is taken over
+        these by key. At most a row per bound and one per key, written out, as later passes read it again."""
+        source = self.rows if set(columns) <= set(self.rows.columns) else df
+        parts = self.number(source.filter(self.is_cut())).groupBy(*self.keys, SLICE).agg(part.alias("_part"))
+        return F.broadcast(materialise(parts.select(
+            *[F.col(c).alias(f"_k{i}") for i, c in enumerate(self.keys)], F.col(SLICE).alias("_s"), give.alias(out))))
+
+
+def slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], sample: DataFrame | None = None) -> Slices:
+    """Cuts keys that are longer than a slice, of which there are as many as shuffles have partitions.
+
+    The bounds come from some rows of ``sample`` (a frame of the same keys and order that costs less to read; by default ``df``). They
+    decide which task sums a row, never what comes out. Rows that would not come out the same a second time are written out first.
+    """
+    if not df._jdf.queryExecution().analyzed().deterministic():
+        df = materialise(df)
+        sample = None
+    number = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fields = df.select(*keys, *order).schema
+    some = (df if sample is None else sample).select(*keys, *order).orderBy(F.rand(7)).limit(number * SAMPLED)
+    rows = [tuple(r) for r in some.orderBy(*keys, *order).collect()]
+    # leading columns of the order that tell nearly all rows apart
+    apart = [len({repr(r[:n]) for r in rows}) for n in range(len(keys) + 1, len(fields) + 1)]
+    width = len(keys) + next((i for i, n in enumerate(apart, 1) if 10 * n >= 9 * apart[-1]), len(order))
+    found = {repr(r): r for r in (rows[len(rows) * i // number][:width] for i in range(1, number) if rows)}
+    inside = Counter(repr(r[:len(keys)]) for r in found.values())
+    return Slices(df, list(keys), StructType(fields.fields[:width]), [r for r in found.values() if inside[repr(r[:len(keys)])] > 1])
+
+
+def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], hot: bool | Slices = False) -> DataFrame:
     """Aggregates of a key on each of its rows.
 
     A window shares the partitioning of other windows over the same keys. With ``hot`` (some key has more rows than a task should
-    take) the aggregates are combined before the shuffle and joined back.
+    take) the aggregates are combined before the shuffle and joined back; if the rows are cut into ``Slices`` already, this is done
+    for the keys that are cut only. ``stats`` then read columns that the rows had when they were cut.
     """
     if not hot:
         whole = Window.partitionBy(*keys)
         return df.withColumns({n: c.over(whole) for n, c in stats.items()})
-    totals = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(*[c.alias(n) for n, c in stats.items()])
+    cut = isinstance(hot, Slices)
+    source = hot.rows.filter(hot.is_cut()) if cut else df
+    totals = source.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)]).agg(
+        *[c.alias(f"_total_{n}" if cut else n) for n, c in stats.items()])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)])
-    return df.join(totals, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    if not cut:
+        return df.join(totals, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    inside = Window.partitionBy(*keys, SLICE)
+    rows = hot.place(df).withColumns({n: c.over(inside) for n, c in stats.items()})
+    totals = F.broadcast(materialise(totals.withColumn("_cut", F.lit(True))))  # at most a row per two bounds
+    return rows.join(totals, same, "left").select(*df.columns, *([] if SLICE in df.columns else [SLICE]), *[
+        F.when(F.col("_cut"), F.col(f"_total_{n}")).otherwise(F.col(n)).alias(n) for n in stats])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
-                hot: bool = False) -> DataFrame:
+                hot: bool | Slices = False) -> DataFrame:
     """Running total per key in ``order``, which must be unique inside a key.
 
-    A plain window puts a whole key into one task. With ``hot`` rows are range-partitioned on (key, order) instead, so a hot key
+    A plain window puts a whole key into one task. With ``hot`` keys that are longer than a slice are cut, so a hot key
     spans many tasks; each slice is summed on its own and receives the total of the slices before it.
     """
     whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    if not hot:
-        return df.withColumn(out, F.sum(value).over(whole))
-    sliced = materialise(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
-    totals = sliced.groupBy(*keys, "_slice").agg(F.sum(value).alias("_t"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)],
-                            F.col("_slice").alias("_s"), F.sum("_t").over(earlier).alias("_carried"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumn("_local", F.sum(value).over(inside))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)],
-                  F.col("_slice") == F.col("_s"))
+    cuts = hot if isinstance(hot, Slices) else slices(df, keys, order) if hot else None
+    rows = cuts.rows if cuts is not None and cuts is not hot else df
+    if not cuts:
+        return rows.withColumn(out, F.sum(value).over(whole))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = cuts.handed(rows, [value], F.sum(value), F.sum("_part").over(earlier), "_carried")
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = cuts.place(rows).withColumn("_local", F.sum(value).over(inside))
     total = F.when(F.col("_local").isNull() & F.col("_carried").isNull(), F.lit(None)).otherwise(
         F.coalesce("_local", F.lit(0)) + F.coalesce("_carried", F.lit(0)))
     kind = df.select(F.sum(value).alias(out)).schema[out].dataType
-    return local.join(carried, same, "left").select(*df.columns, total.cast(kind).alias(out))
+    kept = [*df.columns, SLICE] if cuts is hot and SLICE not in df.columns else df.columns
+    return local.join(carried, cuts.same(), "left").select(*kept, total.cast(kind).alias(out))
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot: bool = False) -> DataFrame:
@@ -104,11 +201,11 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
 
 
 def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, backward: bool = False,
-          hot: bool = False) -> DataFrame:
+          hot: bool | Slices = False) -> DataFrame:
     """Last non-null ``col`` up to each row, or with ``backward`` the next one from it on.
 
-    With ``hot`` keys are cut into range slices; a row without a value in its own slice takes the nearest one of the slices
-    before (or after) it.
+    With ``hot`` keys that are longer than a slice are cut; a row without a value in its own slice takes the nearest one of the
+    slices before (or after) it.
     """
     # walking backward is a descending order: a frame that looks ahead would be recomputed per row
     along = F.col(seq).desc() if backward else F.col(seq).asc()
@@ -116,19 +213,17 @@ def carry(df: DataFrame, keys: Sequence[str], seq: str, col: str, out: str, back
     def fill(w, c):
         return F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
 
-    if not hot:
-        return df.withColumn(out, fill(Window.partitionBy(*keys).orderBy(along), col))
-    sliced = materialise(df.repartitionByRange(*keys, seq).withColumn("_slice", F.spark_partition_id()))
+    cuts = hot if isinstance(hot, Slices) else slices(df, keys, [seq]) if hot else None
+    rows = cuts.rows if cuts is not None and cuts is not hot else df
+    if not cuts:
+        return rows.withColumn(out, fill(Window.partitionBy(*keys).orderBy(along), col))
     named = F.when(F.col(col).isNotNull(), F.struct(F.col(seq), F.col(col).alias("v")))
-    edge = sliced.groupBy(*keys, "_slice").agg((F.min(named) if backward else F.max(named))["v"].alias("_e"))
-    w = Window.partitionBy(*keys).orderBy(F.col("_slice").desc() if backward else F.col("_slice").asc())
-    near = F.last("_e", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    edges = edge.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.col("_slice").alias("_s"),
-                        near.alias("_near"))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)],
-                  F.col("_slice") == F.col("_s"))
-    local = sliced.withColumn("_local", fill(Window.partitionBy(*keys, "_slice").orderBy(along), col))
-    return local.join(edges, same, "left").select(*df.columns, F.coalesce("_local", "_near").alias(out))
+    w = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if backward else F.col(SLICE).asc())
+    near = F.last("_part", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    edges = cuts.handed(rows, [col], (F.min(named) if backward else F.max(named))["v"], near, "_near")
+    local = cuts.place(rows).withColumn("_local", fill(Window.partitionBy(*keys, SLICE).orderBy(along), col))
+    kept = [*df.columns, SLICE] if cuts is hot and SLICE not in df.columns else df.columns
+    return local.join(edges, cuts.same(), "left").select(*kept, F.coalesce("_local", "_near").alias(out))
 
 
 def parent_below(df: DataFrame, keys: Sequence[str], seq: str, header: str, out: str,

@@ -12,7 +12,7 @@ from daybook.functions.columns import (as_date, blank_null, company_of_branch, c
                                        currency_amount, dr_cr, first_text, item, k, later, lookup, money,
                                        name_concat, null_of, num_or_null, padded_account, part)
 from daybook.sources.dimensions import KEY
-from daybook.operators.frames import earliest, group_stats, latest, parent_below, running_sum
+from daybook.operators.frames import earliest, group_stats, latest, parent_below, running_sum, slices
 
 C = F.col
 
@@ -581,7 +581,7 @@ def statement_book(ctx: Context) -> DataFrame:
     priced = _enrich(_enrich(entry, sweep, "w", swept, sparse=True), account, "a", C("account"))
     home = F.substring("comp_ccy", 1, 3) == F.substring("ccy", 1, 3)
     priced, order = priced.withColumn("amount", F.when(home, C("lcy")).otherwise(C("fcy"))), ["post_date", "entry_id"]
-    hot = ctx.hot
+    hot = ctx.hot and slices(priced, ["account"], order, sample=entry)
     priced = running_sum(priced, ["account"], order, "amount", "running_balance", hot)
     debit, credit, _ = dr_cr(C("amount"), zero=False)
     priced = group_stats(priced, ["account"], {
