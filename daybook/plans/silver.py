@@ -516,13 +516,16 @@ def account_statement(ctx: Context) -> DataFrame:
         k("account_number").alias("account_number"), k("recid").alias("stmt_entry_id"), *cols)
     netted = _netted(ctx, cols).withColumnsRenamed({"parent_account": "account_number", "detail_key": "stmt_entry_id"}) \
         .drop("parent_id", "x_id", "x_detail")
-    entries = plain.unionByName(netted)
-    entries = running_sum(entries, ["account_number"], ["booking_date", "stmt_entry_id"], "amount", "run", ctx.hot)
-    entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, ctx.hot)
+    entries, order = plain.unionByName(netted), ["booking_date", "stmt_entry_id"]
+    booked = ctx.dim("stmt_entry").select(k("account_number").alias("account_number"), as_date("booking_date").alias("booking_date"),
+                                          k("recid").alias("stmt_entry_id"))
+    hot = ctx.hot and slices(entries, ["account_number"], order, sample=booked)
+    entries = running_sum(entries, ["account_number"], order, "amount", "run", hot)
+    entries = group_stats(entries, ["account_number"], {"period_total": F.sum("amount")}, hot)
     opening = _newest(ctx.versions("account_statement"), "b", bfwd_balance=money("fqu1_last_balance"))
     account = ctx.dim("account").select(
         k("recid").alias("a_key"), k("currency").alias("acct_ccy"), k(item("short_title")).alias("account_short_title"),
-        k("customer").alias("customer_id"), k("co_code").alias("co_code"))
+        k("customer").alias("customer_id"), k("co_code").alias("co_code")).filter(C("a_key").isNotNull())
     customer = _newest(ctx.versions("customer"), "c", customer_short_name=k(item("short_name")))
     txn = _newest(ctx.versions("transaction"), "n", description=k("stmt_narr"))
     system = ctx.dim("eb_system_id").select(k("recid").alias("s_key"), k("application").alias("drilldown_application"))
@@ -531,12 +534,13 @@ def account_statement(ctx: Context) -> DataFrame:
     user = _newest(ctx.versions("user"), "u", inputter_user_name=k("user_name"))
     forward = (ctx.dim("ac_stmt_parameter").filter(k("recid") == "SYSTEM")
                .agg(F.max(F.struct("curr_no", k("fwd_mvmt_reqd").alias("f")))["f"]).scalar())
+    # what an account looks up is joined to accounts: entries are many more and shuffled by account only
+    account = _enrich(_enrich(account, customer, "c", C("customer_id")), sms, "m", C("co_code"))
     out = entries
     for dim, prefix in ((opening, "b"), (account, "a"), (printed, "p")):
         out = _enrich(out, dim, prefix, C("account_number"))
-    out = _enrich(out, customer, "c", C("customer_id"))
     out = _enrich(_enrich(out, txn, "n", C("transaction_code")), system, "s", C("system_id"))
-    out = _enrich(_enrich(out, sms, "m", C("co_code")), user, "u", C("inputter_user"))
+    out = _enrich(out, user, "u", C("inputter_user"))
     return out.select(
         "account_number", "stmt_entry_id", "bfwd_balance", "value_date", "booking_date", "transaction_code", "description",
         "narrative", "trans_reference", "amount", F.coalesce("entry_ccy", "acct_ccy").alias("currency"),

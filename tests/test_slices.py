@@ -94,7 +94,7 @@ def test_rows_that_may_change_are_written_before_they_are_cut(spark, written):
     assert written[0] == 400 and sorted((r.v, r.run) for r in got) == [(i, i * (i + 1) // 2) for i in range(400)]
 
 
-@pytest.mark.parametrize("name", ["statement_book"])
+@pytest.mark.parametrize("name", ["statement_book", "account_statement"])
 def test_short_keys_need_nothing_more_than_on_the_plain_path(spark, written, name):
     def exchanges(hot):
         plan = MARTS[name](registry.bank(spark, FOLDER, pins=registry.PINS, hot=hot))._jdf.queryExecution().executedPlan().toString()

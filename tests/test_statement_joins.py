@@ -8,7 +8,7 @@ from daybook.plans import MARTS
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name, keys", [("statement_book", ("c_key", "p_key", "u_key", "w_key"))])
+@pytest.mark.parametrize("name, keys", [("statement_book", ("c_key", "p_key", "u_key", "w_key")), ("account_statement", ("c_key",))])
 def test_entries_are_shuffled_by_account_only(spark, name, keys):
     """What has many rows is joined to accounts, or to entries before they are widened: below the windows, or beside them."""
     df = MARTS[name](registry.bank(spark, FOLDER, pins=registry.PINS))
