@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.checks import registry
 from daybook.operators import frames as f
 from daybook.plans import MARTS
+from daybook.sources import textreports
 
 FOLDER = "/root/testdata/sf0.001"
 C = F.col
@@ -101,3 +102,15 @@ def test_short_keys_need_nothing_more_than_on_the_plain_path(spark, written, nam
         return plan.count("Exchange")
 
     assert exchanges(True) == exchanges(False) and not written
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_lines_of_one_long_file(spark, hot, written):
+    lines = spark.range(3000).select(
+        F.lit("f").alias("file"), F.lit("f.txt").alias("source_file"), (C("id") + 1).cast("int").alias("line_seq"),
+        F.expr("""case when id = 0 then 'RE000010 02 CITY EXBANK   GENERAL LEDGER' when id % 100 = 50 then concat('   AC.1-TR.', id)
+                  when id % 100 = 20 then ' 2730 Loans   1.00 2.00 3.00 4.00' else '   (a remark)' end""").alias("line"))
+    got = textreports.parse_ledger(lines, "EXBANK", hot=hot).collect()
+    codes = sorted((r.line_seq, r.description) for r in got)
+    assert codes == [(i * 100 + 21, "Loans" if i == 0 else f"AC.1-TR.{i * 100 - 50} Loans") for i in range(30)]
+    assert not hot or max(written) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
