@@ -11,6 +11,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.columns import k
+from daybook.operators.staging import shuffles_removed
 
 KEY = "_key"
 
@@ -34,7 +35,8 @@ def store_dimensions(spark: SparkSession, tables: Mapping[str, DataFrame], prefi
     """
     number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, df in tables.items():
-        newest_rows(df).repartition(number, KEY).write.mode("overwrite").bucketBy(number, KEY).sortBy(KEY).saveAsTable(prefix + name)
+        with shuffles_removed(spark):
+            newest_rows(df).repartition(number, KEY).write.mode("overwrite").bucketBy(number, KEY).sortBy(KEY).saveAsTable(prefix + name)
     return {name: spark.table(prefix + name) for name in tables}
 
 

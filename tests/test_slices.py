@@ -114,3 +114,16 @@ def test_lines_of_one_long_file(spark, hot, written):
     codes = sorted((r.line_seq, r.description) for r in got)
     assert codes == [(i * 100 + 21, "Loans" if i == 0 else f"AC.1-TR.{i * 100 - 50} Loans") for i in range(30)]
     assert not hot or max(written) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_what_is_written_leaves_no_shuffle_behind(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = folders.getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    before = shuffled()
+    done = f.materialise(spark.range(5000).repartition(7).groupBy((C("id") % 100).alias("g")).count())
+    assert shuffled() <= before and done.count() == 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
