@@ -40,7 +40,7 @@ def skewed(spark):
     """Two long keys, one of them null, and many short ones; some orders repeat a date, some values are null."""
     data = [(None, i // 40, f"e{i:04d}", None if i % 9 == 0 else i % 23 - 11) for i in range(900)] \
         + [("hot", i // 300, f"e{i:04d}", i % 17) for i in range(1200)] + [(f"k{i % 60}", i % 7, f"e{i:04d}", 1) for i in range(300)]
-    return spark.createDataFrame(data, "k string, d int, e string, v int").repartition(5), data
+    return spark.createDataFrame(data, "k string, d int, e string, v int"), data
 
 
 def expected(data):
@@ -95,6 +95,14 @@ def test_rows_that_may_change_are_written_before_they_are_cut(spark, written):
     assert written[0] == 400 and sorted((r.v, r.run) for r in got) == [(i, i * (i + 1) // 2) for i in range(400)]
 
 
+def test_rows_that_are_shuffled_to_be_made_are_written_once(spark, written):
+    df, data = skewed(spark)
+    want, _ = expected(data)
+    got = f.running_sum(df.repartition(5, "e"), ["k"], ["d", "e"], "v", "run", True)
+    assert written[0] == len(data) and "RepartitionByExpression [e#" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(((r.k, r.d, r.e, r.run) for r in got.collect()), key=repr) == want
+
+
 @pytest.mark.parametrize("name", ["statement_book", "account_statement"])
 def test_short_keys_need_nothing_more_than_on_the_plain_path(spark, written, name):
     def exchanges(hot):
